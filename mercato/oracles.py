@@ -104,3 +104,130 @@ register("order_distance", ["geo", "idist", "dist"], "select * from dist", ["dis
 register("order_training", TRAINING_DEPS, "select * from training",
          ["wait_time", "expected_wait_time", "delay_vs_expected", "price", "freight_value",
           "distance_seller_customer"])
+
+
+# ---------------------------------------------------------------- products
+F["pfeat"] = """
+pfeat as (
+  select p.product_id, p.product_name_lenght as product_name_length,
+    p.product_description_lenght as product_description_length, p.product_photos_qty,
+    p.product_weight_g, p.product_length_cm, p.product_height_cm, p.product_width_cm,
+    t.product_category_name_english as category
+  from m_products p join m_translation t on p.product_category_name = t.product_category_name)"""
+F["pstats"] = """
+pstats as (
+  select product_id, avg(price) as price, count(distinct order_id) as n_orders,
+    count(order_id) as quantity, coalesce(sum(price), 0.0) as sales
+  from m_order_items where product_id is not null group by product_id)"""
+F["ppairs"] = """
+ppairs as (select distinct order_id, product_id from m_order_items)"""
+F["pwait"] = """
+pwait as (
+  select product_id, avg(wait_time) as wait_time
+  from ppairs join wait using (order_id) where product_id is not null group by product_id)"""
+F["prev"] = """
+prev as (
+  select product_id, avg(dim_is_one_star) as share_of_one_stars,
+    avg(dim_is_five_star) as share_of_five_stars, avg(review_score) as review_score
+  from ppairs join rev using (order_id) where product_id is not null group by product_id)"""
+F["ptrain"] = """
+ptrain as (
+  select product_id, product_name_length, product_description_length, product_photos_qty,
+    product_weight_g, product_length_cm, product_height_cm, product_width_cm, category,
+    wait_time, price, share_of_one_stars, share_of_five_stars, review_score, n_orders, quantity, sales
+  from pfeat join pwait using (product_id) join pstats using (product_id) join prev using (product_id))"""
+
+register("product_features", ["pfeat"], "select * from pfeat", [])
+register("product_price", ["pstats"], "select product_id, price from pstats", ["price"])
+register("product_quantity", ["pstats"], "select product_id, n_orders, quantity from pstats", [])
+register("product_sales", ["pstats"], "select product_id, sales from pstats", ["sales"])
+register("product_wait_time", ["wait", "ppairs", "pwait"], "select * from pwait", ["wait_time"])
+register("product_review_score", ["rev", "ppairs", "prev"], "select * from prev",
+         ["share_of_one_stars", "share_of_five_stars", "review_score"])
+register("product_training", ["wait", "rev", "pfeat", "pstats", "ppairs", "pwait", "prev", "ptrain"],
+         "select * from ptrain",
+         ["wait_time", "price", "share_of_one_stars", "share_of_five_stars", "review_score", "sales"])
+
+
+# ---------------------------------------------------------------- sellers
+F["sfeat"] = """
+sfeat as (select distinct seller_id, seller_city, seller_state from m_sellers)"""
+F["sdelay"] = f"""
+sdelay as (
+  select seller_id, case when avg(d) > 0 then avg(d) else 0.0 end as delay_to_carrier, avg(w) as wait_time
+  from (select i.seller_id,
+          {days('i.shipping_limit_date', 'o.order_delivered_carrier_date')} as d,
+          {days('o.order_purchase_timestamp', 'o.order_delivered_customer_date')} as w
+        from m_order_items i join m_orders o on i.order_id = o.order_id
+        where o.order_status = 'delivered') x
+  where seller_id is not null group by seller_id)"""
+F["sdates"] = f"""
+sdates as (
+  select seller_id, min(a) as date_first_sale, max(a) as date_last_sale,
+    cast(round_even(date_diff('microsecond', min(a), max(a)) / {MONTH}, 0) as double) as months_on_olist
+  from (select distinct o.order_id, i.seller_id, o.order_approved_at as a
+        from m_orders o join m_order_items i on o.order_id = i.order_id
+        where o.order_approved_at is not null and o.order_id is not null) x
+  where seller_id is not null group by seller_id)"""
+F["sstats"] = """
+sstats as (
+  select seller_id, count(distinct order_id) as n_orders, count(order_id) as quantity,
+    case when count(distinct order_id) = 0 then null
+         else count(order_id) / count(distinct order_id) end as quantity_per_order,
+    coalesce(sum(price), 0.0) as sales
+  from m_order_items where seller_id is not null group by seller_id)"""
+F["spairs"] = """
+spairs as (select distinct order_id, seller_id from m_order_items)"""
+F["srev"] = """
+srev as (
+  select seller_id, avg(dim_is_one_star) as share_of_one_stars,
+    avg(dim_is_five_star) as share_of_five_stars, avg(review_score) as review_score
+  from spairs join rev using (order_id) where seller_id is not null group by seller_id)"""
+F["scounts"] = """
+scounts as (
+  select seller_id,
+    cast(sum(case when review_score = 5 then 1 else 0 end) as bigint) as dim_is_five_star,
+    cast(sum(case when review_score = 4 then 1 else 0 end) as bigint) as dim_is_four_star,
+    cast(sum(case when review_score = 3 then 1 else 0 end) as bigint) as dim_is_three_star,
+    cast(sum(case when review_score = 2 then 1 else 0 end) as bigint) as dim_is_two_star,
+    cast(sum(case when review_score = 1 then 1 else 0 end) as bigint) as dim_is_one_star
+  from spairs join training using (order_id) where seller_id is not null group by seller_id)"""
+F["scosts"] = """
+scosts as (
+  select seller_id, dim_is_three_star * 40 + dim_is_two_star * 50 + dim_is_one_star * 100 as review_costs
+  from scounts)"""
+F["srevenue"] = """
+srevenue as (
+  select seller_id, sales * 0.1 + months_on_olist * 80 as revenue from sstats join sdates using (seller_id))"""
+F["sprofits"] = """
+sprofits as (
+  select seller_id, revenue, review_costs, revenue - review_costs as profits
+  from srevenue join scosts using (seller_id))"""
+F["strain"] = """
+strain as (
+  select seller_id, seller_city, seller_state, delay_to_carrier, wait_time, date_first_sale,
+    date_last_sale, months_on_olist, n_orders, quantity, quantity_per_order, sales, revenue,
+    review_costs, profits, share_of_one_stars, share_of_five_stars, review_score
+  from sfeat join sdelay using (seller_id) join sdates using (seller_id) join sstats using (seller_id)
+    join sprofits using (seller_id) join srev using (seller_id))"""
+
+SELLER_TRAINING_DEPS = TRAINING_DEPS + [
+    "sfeat", "sdelay", "sdates", "sstats", "spairs", "srev", "scounts", "scosts", "srevenue", "sprofits",
+    "strain"]
+
+register("seller_features", ["sfeat"], "select * from sfeat", [])
+register("seller_delay_wait", ["sdelay"], "select * from sdelay", ["delay_to_carrier", "wait_time"])
+register("seller_active_dates", ["sdates"], "select * from sdates", ["months_on_olist"])
+register("seller_quantity", ["sstats"], "select seller_id, n_orders, quantity, quantity_per_order from sstats",
+         ["quantity_per_order"])
+register("seller_sales", ["sstats"], "select seller_id, sales from sstats", ["sales"])
+register("seller_review_score", ["rev", "spairs", "srev"], "select * from srev",
+         ["share_of_one_stars", "share_of_five_stars", "review_score"])
+register("seller_review_counts", TRAINING_DEPS + ["spairs", "scounts"], "select * from scounts", [])
+register("seller_review_costs", TRAINING_DEPS + ["spairs", "scounts", "scosts"], "select * from scosts", [])
+register("seller_revenue", ["sdates", "sstats", "srevenue"], "select * from srevenue", ["revenue"])
+register("seller_profits", TRAINING_DEPS + ["sdates", "sstats", "spairs", "scounts", "scosts", "srevenue",
+                                            "sprofits"], "select * from sprofits", ["revenue", "profits"])
+register("seller_training", SELLER_TRAINING_DEPS, "select * from strain",
+         ["delay_to_carrier", "wait_time", "months_on_olist", "quantity_per_order", "sales", "revenue",
+          "profits", "share_of_one_stars", "share_of_five_stars", "review_score"])

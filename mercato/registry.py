@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercato.compare import canonical
 from mercato.operators import orders as O
+from mercato.operators import products as P
+from mercato.operators import sellers as S
 from mercato.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +44,25 @@ query("order_price_freight")(O.order_price_freight)
 query("haversine_km")(O.order_item_distance)
 query("order_distance")(O.order_distance)
 query("order_training")(O.order_training)
+
+# ---------------------------------------------------------------- products
+query("product_features")(P.product_features)
+query("product_price")(P.product_price)
+query("product_quantity")(P.product_quantity)
+query("product_sales")(P.product_sales)
+query("product_wait_time")(P.product_wait_time)
+query("product_review_score")(P.product_review_score)
+query("product_training")(P.product_training)
+
+# ---------------------------------------------------------------- sellers
+query("seller_features")(S.seller_features)
+query("seller_delay_wait")(S.seller_delay_wait)
+query("seller_active_dates")(S.seller_active_dates)
+query("seller_quantity")(S.seller_quantity)
+query("seller_sales")(S.seller_sales)
+query("seller_review_score")(S.seller_review_score)
+query("seller_review_counts")(S.seller_review_counts)
+query("seller_review_costs")(S.seller_review_costs)
+query("seller_revenue")(S.seller_revenue)
+query("seller_profits")(S.seller_profits)
+query("seller_training")(S.seller_training)
