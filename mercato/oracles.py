@@ -231,3 +231,59 @@ register("seller_profits", TRAINING_DEPS + ["sdates", "sstats", "spairs", "scoun
 register("seller_training", SELLER_TRAINING_DEPS, "select * from strain",
          ["delay_to_carrier", "wait_time", "months_on_olist", "quantity_per_order", "sales", "revenue",
           "profits", "share_of_one_stars", "share_of_five_stars", "review_score"])
+
+
+# ---------------------------------------------------------------- what-if
+def it_sql(n: str, q: str) -> str:
+    return f"(3157.27 * sqrt(cast({n} as double)) + 978.23 * sqrt(cast({q} as double)))"
+
+
+F["wtot"] = """
+wtot as (select count(*) as n, coalesce(sum(profits), 0.0) as p, coalesce(sum(quantity), 0) as q from strain)"""
+F["wrank"] = """
+wrank as (
+  select seller_id, profits, quantity, row_number() over (order by profits, seller_id) as k from strain)"""
+F["wpts"] = f"""
+wpts as (
+  select k, (wtot.p - cp) - {it_sql('wtot.n - k', 'wtot.q - cq')} as profit,
+    (wtot.p - (cp - profits)) - {it_sql('wtot.n - k + 1', 'wtot.q - (cq - quantity)')} as previous_profit
+  from (select k, profits, quantity,
+          sum(profits) over (order by k rows between unbounded preceding and current row) as cp,
+          sum(quantity) over (order by k rows between unbounded preceding and current row) as cq
+        from wrank) r, wtot)"""
+F["wcurve"] = f"""
+wcurve as (
+  select cast(0 as bigint) as Dropped_sellers, p - {it_sql('n', 'q')} as profit from wtot
+  union all
+  select cast(k as bigint), profit from wpts)"""
+
+WHATIF_DEPS = SELLER_TRAINING_DEPS + ["wtot", "wrank", "wpts", "wcurve"]
+
+
+def cents(x: str) -> str:
+    return f"cast(round_even({x} * 100, 0) as double) / 100"
+
+
+register("it_costs", SELLER_TRAINING_DEPS + ["wtot"],
+         f"select n as n_sellers, cast(q as bigint) as n_products, {it_sql('n', 'q')} as it_costs from wtot",
+         ["it_costs"])
+register("global_profit", SELLER_TRAINING_DEPS + ["wtot"],
+         f"""select n as n_sellers, cast(q as bigint) as n_products, p as total_profits,
+               {it_sql('n', 'q')} as it_costs, p - {it_sql('n', 'q')} as global_profit from wtot""",
+         ["total_profits", "it_costs", "global_profit"])
+register("sellers_by_profit", SELLER_TRAINING_DEPS + ["wrank"],
+         "select seller_id, profits, cast(quantity as bigint) as quantity, k as profit_rank from wrank",
+         ["profits"])
+register("whatif_curve", WHATIF_DEPS,
+         f"select Dropped_sellers, {cents('profit')} as Profit from wcurve", ["Profit"])
+register("whatif_greedy_optimum", WHATIF_DEPS,
+         f"""select coalesce(min(k) - 1, (select n from wtot)) as Dropped_sellers,
+               {cents('coalesce(arg_min(previous_profit, k), 0.0)')} as Profit
+             from wpts where profit < previous_profit""", ["Profit"])
+register("whatif_global_optimum", WHATIF_DEPS,
+         f"""select Dropped_sellers, {cents('profit')} as Profit from wcurve
+             order by profit desc, Dropped_sellers asc limit 1""", ["Profit"])
+register("worst_sellers", SELLER_TRAINING_DEPS,
+         "select * from strain order by profits, seller_id limit 200",
+         ["delay_to_carrier", "wait_time", "months_on_olist", "quantity_per_order", "sales", "revenue",
+          "profits", "share_of_one_stars", "share_of_five_stars", "review_score"])

@@ -16,6 +16,8 @@ from mercato.compare import canonical
 from mercato.operators import orders as O
 from mercato.operators import products as P
 from mercato.operators import sellers as S
+from mercato.operators import whatif as W
+from mercato.plans.lineage import materialize
 from mercato.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +68,18 @@ query("seller_review_costs")(S.seller_review_costs)
 query("seller_revenue")(S.seller_revenue)
 query("seller_profits")(S.seller_profits)
 query("seller_training")(S.seller_training)
+
+
+# ---------------------------------------------------------------- what-if
+def _sellers(tables: dict) -> DataFrame:
+    """Seller training table written once; the what-if reads it several times."""
+    return materialize(S.seller_training(tables))
+
+
+query("it_costs")(lambda t: W.it_costs(_sellers(t)))
+query("global_profit")(lambda t: W.global_profit(_sellers(t)))
+query("sellers_by_profit")(lambda t: W.sellers_by_profit(_sellers(t)))
+query("whatif_curve")(lambda t: W.whatif_curve(_sellers(t)))
+query("whatif_greedy_optimum")(lambda t: W.whatif_greedy_optimum(_sellers(t)))
+query("whatif_global_optimum")(lambda t: W.whatif_global_optimum(_sellers(t)))
+query("worst_sellers")(lambda t: W.worst_sellers(S.seller_training(t), 200))
