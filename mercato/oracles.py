@@ -287,3 +287,122 @@ register("worst_sellers", SELLER_TRAINING_DEPS,
          "select * from strain order by profits, seller_id limit 200",
          ["delay_to_carrier", "wait_time", "months_on_olist", "quantity_per_order", "sales", "revenue",
           "profits", "share_of_one_stars", "share_of_five_stars", "review_score"])
+
+
+# ---------------------------------------------------------------- statistics
+ORDER_NUMERIC = [
+    "wait_time", "expected_wait_time", "delay_vs_expected", "review_score", "dim_is_five_star",
+    "dim_is_one_star", "number_of_products", "number_of_sellers", "price", "freight_value",
+    "distance_seller_customer",
+]
+ZCOLS = ["wait_time", "delay_vs_expected", "number_of_products", "number_of_sellers", "price",
+         "freight_value", "distance_seller_customer"]
+TRAINING_DOUBLES = ["wait_time", "expected_wait_time", "delay_vs_expected", "price", "freight_value",
+                    "distance_seller_customer"]
+
+
+def dbl(v: float) -> str:
+    return f"cast({float(v)!r} as double)"
+
+
+def edge_sql(i: str, lo: float, hi: float, bins: int) -> str:
+    step = (hi - lo) / bins
+    return f"(case when {i} >= {bins} then {dbl(hi)} else cast({i} as double) * {dbl(step)} + {dbl(lo)} end)"
+
+
+def bin_sql(x: str, lo: float, hi: float, bins: int) -> str:
+    norm = bins / (hi - lo)
+    guess = f"floor(({x} - {dbl(lo)}) * {dbl(norm)})"
+    g2 = f"(case when {guess} >= {bins} then {bins - 1} else {guess} end)"
+    lowered = f"(case when {x} < {edge_sql(g2, lo, hi, bins)} then {g2} - 1 else {g2} end)"
+    raised = (f"(case when {x} >= {edge_sql(f'{lowered} + 1', lo, hi, bins)} and {lowered} <> {bins - 1} "
+              f"then {lowered} + 1 else {lowered} end)")
+    return f"(case when {x} >= {dbl(lo)} and {x} <= {dbl(hi)} then cast({raised} as integer) end)"
+
+
+def hist_sql(src: str, x: str, lo: float, hi: float, bins: int) -> str:
+    return f"""
+select b.bin, {edge_sql('b.bin', lo, hi, bins)} as bin_lo, {edge_sql('b.bin + 1', lo, hi, bins)} as bin_hi,
+  cast(count(h.bin) as bigint) as count
+from (select cast(range as integer) as bin from range({bins})) b
+left join (select {bin_sql(x, lo, hi, bins)} as bin from {src}) h on h.bin = b.bin
+group by b.bin"""
+
+
+def hist_by_sql(src: str, x: str, by: str, lo: float, hi: float, bins: int) -> str:
+    return f"""
+select g.{by}, g.bin, {edge_sql('g.bin', lo, hi, bins)} as bin_lo, {edge_sql('g.bin + 1', lo, hi, bins)} as bin_hi,
+  cast(coalesce(c.n, 0) as bigint) as count
+from (select {by}, cast(r.range as integer) as bin
+      from (select distinct {by} from {src} where {by} is not null) d, range({bins}) r) g
+left join (select {by}, bin, count(*) as n
+           from (select {by}, {bin_sql(x, lo, hi, bins)} as bin from {src}) s
+           where bin is not null and {by} is not null group by {by}, bin) c
+  on c.{by} = g.{by} and c.bin = g.bin"""
+
+
+F["rounded"] = """
+rounded as (select * replace (cast(round_even(wait_time, 0) as double) as wait_time) from training)"""
+
+register("describe_column", TRAINING_DEPS,
+         """select 'wait_time' as variable, count(wait_time) as count, avg(wait_time) as mean,
+              stddev_samp(wait_time) as std, min(wait_time) as min,
+              quantile_cont(wait_time, 0.25) as p25, quantile_cont(wait_time, 0.5) as p50,
+              quantile_cont(wait_time, 0.75) as p75, max(wait_time) as max from training""",
+         ["mean", "std", "min", "p25", "p50", "p75", "max"])
+register("histogram", TRAINING_DEPS, hist_sql("training", "freight_value", 0.0, 80.0, 20), ["bin_lo", "bin_hi"])
+register("histogram_by", TRAINING_DEPS + ["rounded"],
+         hist_by_sql("rounded", "wait_time", "review_score", 0.0, 50.0, 10), ["bin_lo", "bin_hi"])
+register("histogram_by_price", TRAINING_DEPS,
+         hist_by_sql("training", "price", "review_score", 0.0, 50.0, 10), ["bin_lo", "bin_hi"])
+register("histogram_by_freight", TRAINING_DEPS,
+         hist_by_sql("training", "freight_value", "review_score", 0.0, 50.0, 10), ["bin_lo", "bin_hi"])
+register("round_column", TRAINING_DEPS + ["rounded"], "select * from rounded", TRAINING_DOUBLES)
+register("preview", TRAINING_DEPS, "select * from training order by order_id, review_score limit 5",
+         TRAINING_DOUBLES)
+
+
+def _corr_sql() -> str:
+    aggs, rows = [], []
+    for i, a in enumerate(ORDER_NUMERIC):
+        for b in ORDER_NUMERIC[i:]:
+            xa, xb = f"cast({a} as double)", f"cast({b} as double)"
+            aggs.append(f"covar_pop({xa}, {xb}) as cov__{a}__{b}, var_pop({xa}) as va__{a}__{b}, "
+                        f"var_pop({xb}) as vb__{a}__{b}")
+    for i, a in enumerate(ORDER_NUMERIC):
+        for j, b in enumerate(ORDER_NUMERIC):
+            p, q = (a, b) if i <= j else (b, a)
+            den = f"sqrt(va__{p}__{q} * vb__{p}__{q})"
+            rows.append(f"select '{a}' as x, '{b}' as y, case when {den} > 0 then cov__{p}__{q} / {den} end as corr from mom")
+    return "select * from (with mom as materialized (select " + ", ".join(aggs) + " from training)\n" + \
+        "\nunion all\n".join(rows) + ")"
+
+
+register("correlation_matrix", TRAINING_DEPS, _corr_sql(), ["corr"])
+
+_zst = ", ".join(f"avg(cast({c} as double)) as m_{c}, stddev_pop(cast({c} as double)) as s_{c}" for c in ZCOLS)
+_zrep = ", ".join(f"case when s_{c} > 0 then (cast({c} as double) - m_{c}) / s_{c} end as {c}" for c in ZCOLS)
+register("zscore", TRAINING_DEPS,
+         f"select t.* replace ({_zrep}) from training t, (select {_zst} from training) st",
+         sorted(set(TRAINING_DOUBLES) | set(ZCOLS)))
+
+F["kde"] = f"""
+ksrc as (select review_score as g, wait_time as v from training
+         where wait_time is not null and not isnan(wait_time) and review_score is not null),
+kpar as (
+  select g, n, bw, lo - bw * {dbl(3.0)} as g_lo, hi + bw * {dbl(3.0)} as g_hi,
+    ((hi + bw * {dbl(3.0)}) - (lo - bw * {dbl(3.0)})) / 199 as g_step
+  from (select g, count(*) as n, stddev_samp(v) * pow(cast(count(*) as double), {dbl(-0.2)}) as bw,
+          min(v) as lo, max(v) as hi
+        from ksrc group by g having count(*) >= 2 and stddev_samp(v) > 0) s),
+kval as (select g, v, count(*) as w from ksrc group by g, v),
+kgrid as (
+  select g, n, bw, cast(p.range as integer) as point,
+    case when p.range = 199 then g_hi else cast(p.range as double) * g_step + g_lo end as gx
+  from kpar, range(200) p)"""
+register("kde_curve", TRAINING_DEPS + ["kde"],
+         f"""select kgrid.g as review_score, point, gx as x,
+               sum(w * exp({dbl(-0.5)} * ((gx - v) / kgrid.bw) * ((gx - v) / kgrid.bw)))
+                 / (kgrid.n * kgrid.bw * {dbl(2.5066282746310002)}) as density
+             from kgrid join kval on kval.g = kgrid.g
+             group by kgrid.g, point, gx, kgrid.n, kgrid.bw""", ["x", "density"])

@@ -16,6 +16,7 @@ from mercato.compare import canonical
 from mercato.operators import orders as O
 from mercato.operators import products as P
 from mercato.operators import sellers as S
+from mercato.operators import stats as ST
 from mercato.operators import whatif as W
 from mercato.plans.lineage import materialize
 from mercato.sources.fixture import fixture_tables
@@ -83,3 +84,25 @@ query("whatif_curve")(lambda t: W.whatif_curve(_sellers(t)))
 query("whatif_greedy_optimum")(lambda t: W.whatif_greedy_optimum(_sellers(t)))
 query("whatif_global_optimum")(lambda t: W.whatif_global_optimum(_sellers(t)))
 query("worst_sellers")(lambda t: W.worst_sellers(S.seller_training(t), 200))
+
+
+# ---------------------------------------------------------------- statistics
+def _orders(tables: dict) -> DataFrame:
+    """Order training table written once; these operators read it more than once."""
+    return materialize(O.order_training(tables))
+
+
+query("describe_column")(lambda t: ST.describe_column(_orders(t), "wait_time"))
+query("histogram")(lambda t: ST.histogram(O.order_training(t), "freight_value", 20, 0.0, 80.0))
+query("histogram_by")(
+    lambda t: ST.histogram_by(ST.round_column(O.order_training(t), "wait_time"), "wait_time", "review_score",
+                              10, 0.0, 50.0))
+query("histogram_by_price")(
+    lambda t: ST.histogram_by(O.order_training(t), "price", "review_score", 10, 0.0, 50.0))
+query("histogram_by_freight")(
+    lambda t: ST.histogram_by(O.order_training(t), "freight_value", "review_score", 10, 0.0, 50.0))
+query("round_column")(lambda t: ST.round_column(O.order_training(t), "wait_time"))
+query("preview")(lambda t: ST.preview(O.order_training(t), ["order_id", "review_score"], 5))
+query("correlation_matrix")(lambda t: ST.correlation_matrix(O.order_training(t)))
+query("zscore")(lambda t: ST.zscore(_orders(t)))
+query("kde_curve")(lambda t: ST.kde_curve(O.order_training(t), "wait_time", "review_score"))
