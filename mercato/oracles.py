@@ -406,3 +406,60 @@ register("kde_curve", TRAINING_DEPS + ["kde"],
                  / (kgrid.n * kgrid.bw * {dbl(2.5066282746310002)}) as density
              from kgrid join kval on kval.g = kgrid.g
              group by kgrid.g, point, gx, kgrid.n, kgrid.bw""", ["x", "density"])
+
+
+# ---------------------------------------------------------------- regression
+def simple_ols_sql(y: str, x: str) -> str:
+    mom = f"""(select count(*) as n, avg({x}) as mx, avg(cast({y} as double)) as my, var_pop({x}) as vx,
+                var_pop(cast({y} as double)) as vy, covar_pop({x}, cast({y} as double)) as cxy
+              from training where {x} is not null and {y} is not null)"""
+    co = f"""(select n, mx, my, vx, cxy / vx as b, my - (cxy / vx) * mx as a,
+               n * (vy - (cxy / vx) * cxy) / (n - 2) as s2 from {mom} m)"""
+    return f"""
+select 'Intercept' as variable, a as coef, sqrt(s2 * (1.0 / n + mx * mx / (n * vx))) as std_err,
+  a / sqrt(s2 * (1.0 / n + mx * mx / (n * vx))) as t_value from {co} c1
+union all
+select '{x}', b, sqrt(s2 / (n * vx)), b / sqrt(s2 / (n * vx)) from {co} c2"""
+
+
+def two_ols_sql(y: str, x1: str, x2: str) -> str:
+    yy = f"cast({y} as double)"
+    mom = f"""(select count(*) as n, avg({x1}) as m1, avg({x2}) as m2, avg({yy}) as my,
+                var_pop({x1}) as v1, var_pop({x2}) as v2, covar_pop({x1}, {x2}) as c12,
+                covar_pop({x1}, {yy}) as c1y, covar_pop({x2}, {yy}) as c2y, var_pop({yy}) as vy
+              from training where {x1} is not null and {x2} is not null and {y} is not null)"""
+    sol = f"""(select *, (v2 * c1y - c12 * c2y) / det as b1, (v1 * c2y - c12 * c1y) / det as b2
+              from (select *, v1 * v2 - c12 * c12 as det from {mom} m0) m1)"""
+    fin = f"""(select *, my - b1 * m1 - b2 * m2 as a, n * (vy - b1 * c1y - b2 * c2y) / (n - 3) as s2
+              from {sol} s)"""
+    se_a = "sqrt(s2 / n * (1 + (v2 * m1 * m1 - 2 * c12 * m1 * m2 + v1 * m2 * m2) / det))"
+    se1, se2 = "sqrt(s2 / n * v2 / det)", "sqrt(s2 / n * v1 / det)"
+    return f"""
+select 'Intercept' as variable, a as coef, {se_a} as std_err, a / {se_a} as t_value from {fin} f1
+union all select '{x1}', b1, {se1}, b1 / {se1} from {fin} f2
+union all select '{x2}', b2, {se2}, b2 / {se2} from {fin} f3"""
+
+
+COEF_DOUBLES = ["coef", "std_err", "t_value"]
+register("ols_coefficients", TRAINING_DEPS, simple_ols_sql("review_score", "wait_time"), COEF_DOUBLES)
+register("ols_coefficients_delay", TRAINING_DEPS, simple_ols_sql("review_score", "delay_vs_expected"),
+         COEF_DOUBLES)
+register("ols_coefficients_two", TRAINING_DEPS, two_ols_sql("review_score", "wait_time", "delay_vs_expected"),
+         COEF_DOUBLES)
+
+F["score1"] = """
+score1 as (
+  select order_id, cast(review_score as double) as review_score,
+    a + b * wait_time as predicted, cast(review_score as double) - (a + b * wait_time) as residual
+  from training,
+    (select covar_pop(wait_time, cast(review_score as double)) / var_pop(wait_time) as b,
+            avg(cast(review_score as double))
+              - covar_pop(wait_time, cast(review_score as double)) / var_pop(wait_time) * avg(wait_time) as a
+     from training where wait_time is not null and review_score is not null) co
+  where wait_time is not null and review_score is not null)"""
+register("ols_score", TRAINING_DEPS + ["score1"], "select * from score1",
+         ["review_score", "predicted", "residual"])
+register("ols_error_simple", TRAINING_DEPS + ["score1"],
+         """select avg(residual) as residual_mean, avg(residual * residual) as mse,
+               sqrt(avg(residual * residual)) as rmse from score1""",
+         ["residual_mean", "mse", "rmse"])

@@ -16,6 +16,7 @@ from mercato.compare import canonical
 from mercato.operators import orders as O
 from mercato.operators import products as P
 from mercato.operators import sellers as S
+from mercato.operators import regression as R
 from mercato.operators import stats as ST
 from mercato.operators import whatif as W
 from mercato.plans.lineage import materialize
@@ -106,3 +107,73 @@ query("preview")(lambda t: ST.preview(O.order_training(t), ["order_id", "review_
 query("correlation_matrix")(lambda t: ST.correlation_matrix(O.order_training(t)))
 query("zscore")(lambda t: ST.zscore(_orders(t)))
 query("kde_curve")(lambda t: ST.kde_curve(O.order_training(t), "wait_time", "review_score"))
+
+
+# ---------------------------------------------------------------- regression
+# The models of the order regression analysis.
+MODEL_WAIT = ("review_score", ["wait_time"])
+MODEL_DELAY = ("review_score", ["delay_vs_expected"])
+MODEL_TWO = ("review_score", ["wait_time", "delay_vs_expected"])
+MODEL_STANDARDIZED = ("review_score", ST.ZSCORE_COLUMNS)
+
+
+def _standardized(tables: dict) -> DataFrame:
+    return materialize(ST.zscore(_orders(tables)))
+
+
+query("ols_fit")(lambda t: R.ols_fit(_orders(t), *MODEL_WAIT))
+query("ols_fit_delay")(lambda t: R.ols_fit(_orders(t), *MODEL_DELAY))
+query("ols_fit_two")(lambda t: R.ols_fit(_orders(t), *MODEL_TWO))
+query("ols_fit_standardized")(lambda t: R.ols_fit(_standardized(t), *MODEL_STANDARDIZED))
+query("ols_coefficients")(lambda t: R.ols_coefficients(_orders(t), *MODEL_WAIT))
+query("ols_coefficients_delay")(lambda t: R.ols_coefficients(_orders(t), *MODEL_DELAY))
+query("ols_coefficients_two")(lambda t: R.ols_coefficients(_orders(t), *MODEL_TWO))
+
+
+def _std_model(tables: dict):
+    data = _standardized(tables)
+    return data, R.fit(data, *MODEL_STANDARDIZED)
+
+
+def _summary(tables: dict) -> DataFrame:
+    data, model = _std_model(tables)
+    return R.ols_summary(data, model)
+
+
+def _significant(tables: dict) -> DataFrame:
+    data, model = _std_model(tables)
+    return R.ols_significant(R.coefficient_table(data, model))
+
+
+def _importance(tables: dict) -> DataFrame:
+    data, model = _std_model(tables)
+    return R.ols_importance(R.coefficient_table(data, model))
+
+
+def _score_simple(tables: dict) -> DataFrame:
+    data = _orders(tables)
+    return R.ols_score(data, R.fit(data, *MODEL_WAIT), keep=["order_id"])
+
+
+def _error(tables: dict) -> DataFrame:
+    data, model = _std_model(tables)
+    return R.ols_error(R.ols_score(data, model))
+
+
+def _error_simple(tables: dict) -> DataFrame:
+    return R.ols_error(_score_simple(tables))
+
+
+def _residual_histogram(tables: dict) -> DataFrame:
+    data, model = _std_model(tables)
+    return ST.histogram(R.ols_score(data, model), "residual", 10, -5.0, 5.0)
+
+
+query("ols_summary")(_summary)
+query("ols_significant")(_significant)
+query("ols_importance")(_importance)
+query("ols_score")(_score_simple)
+query("ols_error")(_error)
+query("ols_error_simple")(_error_simple)
+query("histogram_residuals")(_residual_histogram)
+query("regression_line")(lambda t: R.regression_line(_standardized(t), "review_score", "delay_vs_expected"))
