@@ -5,8 +5,9 @@ seller training table).  Removing the ``k`` lowest-profit sellers leaves
 
     P(k) = sum of the other profits - (alpha * sqrt(n - k) + beta * sqrt(their quantity))
 
-so the whole curve is one ranked running sum (``mercato.plans.ranking``),
-not a loop that rescans the table per step.
+so the whole curve is one ranked running sum (``mercato.plans.ranking``)
+from the most profitable seller down, not a loop that rescans the table
+per step.
 """
 
 from __future__ import annotations
@@ -47,10 +48,13 @@ def global_profit(sellers: DataFrame, cfg: EconomicsConfig = DEFAULT) -> DataFra
     )
 
 
-def ranked_sellers(sellers: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET):
-    """Sellers with ``rank`` by increasing profit and running ``cum_profits``/``cum_quantity``."""
+def ranked_sellers(sellers: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, descending: bool = False):
+    """Sellers ranked by profit (ascending unless ``descending``) with running
+    ``cum_profits``/``cum_quantity`` in that order, and the totals."""
     base = sellers.select("seller_id", F.col("profits").cast("double"), F.col("quantity").cast("bigint"))
-    return ranked_prefix_sums(base, ORDER, ["profits", "quantity"], rows_per_bucket=rows_per_bucket)
+    return ranked_prefix_sums(
+        base, ORDER, ["profits", "quantity"], rows_per_bucket=rows_per_bucket, descending=descending
+    )
 
 
 def sellers_by_profit(sellers: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -59,25 +63,25 @@ def sellers_by_profit(sellers: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET
     return ranked.select("seller_id", "profits", "quantity", F.col("rank").alias("profit_rank"))
 
 
-def _profit_after(dropped: Column, cum_profits: Column, cum_quantity: Column, t, cfg: EconomicsConfig) -> Column:
-    n_total = F.lit(t.n)
-    p_total = F.lit(float(t.sums["profits"] or 0.0))
-    q_total = F.lit(int(t.sums["quantity"] or 0))
-    return (p_total - cum_profits) - it_costs_expr(n_total - dropped, q_total - cum_quantity, cfg)
-
-
 def _curve_points(sellers: DataFrame, cfg: EconomicsConfig, rows_per_bucket: int):
-    ranked, t = ranked_sellers(sellers, rows_per_bucket)
-    k = F.col("rank")
+    """``Dropped_sellers, profit`` for 0..n dropped sellers.
+
+    Ranked from the most profitable seller down, the running sums at a
+    seller are exactly what remains once every less profitable seller is
+    gone, so each point sums the remaining sellers directly.  The last
+    point (everyone dropped) is zero.
+    """
+    ranked, t = ranked_sellers(sellers, rows_per_bucket, descending=True)
+    remaining = F.col("rank")
     points = ranked.select(
-        k.cast("bigint").alias("Dropped_sellers"),
-        _profit_after(k, F.col("cum_profits"), F.col("cum_quantity"), t, cfg).alias("profit"),
-        # the same quantity one step earlier, computed from this row alone
-        _profit_after(
-            k - 1, F.col("cum_profits") - F.col("profits"), F.col("cum_quantity") - F.col("quantity"), t, cfg
-        ).alias("previous_profit"),
+        (F.lit(t.n) - remaining).cast("bigint").alias("Dropped_sellers"),
+        (F.col("cum_profits") - it_costs_expr(remaining, F.col("cum_quantity"), cfg)).alias("profit"),
     )
-    return points, t
+    everyone = sellers.sparkSession.range(1).select(
+        F.lit(t.n).cast("bigint").alias("Dropped_sellers"),
+        (F.lit(0.0) - it_costs_expr(F.lit(0), F.lit(0), cfg)).alias("profit"),
+    )
+    return points.unionByName(everyone), t
 
 
 def whatif_curve(
@@ -91,15 +95,9 @@ def whatif_curve(
     ``Profit`` is rounded half-to-even to cents.  Row 0 is the baseline.
     """
     points, t = _curve_points(sellers, cfg, rows_per_bucket)
-    spark = sellers.sparkSession
-    base = spark.range(1).select(
-        F.lit(0).cast("bigint").alias("Dropped_sellers"),
-        _profit_after(F.lit(0), F.lit(0.0), F.lit(0), t, cfg).alias("profit"),
-    )
     if steps is not None:
         points = points.where(F.col("Dropped_sellers") <= min(steps, t.n))
-    curve = base.unionByName(points.select("Dropped_sellers", "profit"))
-    return curve.select("Dropped_sellers", round_half_even("profit", 2).alias("Profit"))
+    return points.select("Dropped_sellers", round_half_even("profit", 2).alias("Profit"))
 
 
 def whatif_greedy_optimum(
@@ -111,8 +109,14 @@ def whatif_greedy_optimum(
     profit (cents).  If profit never falls every seller is dropped (profit 0).
     """
     points, t = _curve_points(sellers, cfg, rows_per_bucket)
-    first_fall = points.where(F.col("profit") < F.col("previous_profit")).agg(
-        F.min("Dropped_sellers").alias("i"), F.min_by("previous_profit", "Dropped_sellers").alias("p")
+    # pair each step with the one before it: an equi-join on the unique step number
+    before = points.select(
+        (F.col("Dropped_sellers") + 1).alias("Dropped_sellers"), F.col("profit").alias("previous_profit")
+    )
+    first_fall = (
+        points.join(before, "Dropped_sellers")
+        .where(F.col("profit") < F.col("previous_profit"))
+        .agg(F.min("Dropped_sellers").alias("i"), F.min_by("previous_profit", "Dropped_sellers").alias("p"))
     )
     return first_fall.select(
         F.coalesce(F.col("i") - 1, F.lit(t.n).cast("bigint")).alias("Dropped_sellers"),
@@ -124,15 +128,9 @@ def whatif_global_optimum(
     sellers: DataFrame, cfg: EconomicsConfig = DEFAULT, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """The number of removed sellers with the highest profit (fewest on a tie)."""
-    points, t = _curve_points(sellers, cfg, rows_per_bucket)
-    spark = sellers.sparkSession
-    base = spark.range(1).select(
-        F.lit(0).cast("bigint").alias("Dropped_sellers"),
-        _profit_after(F.lit(0), F.lit(0.0), F.lit(0), t, cfg).alias("profit"),
-    )
-    best = (
-        base.unionByName(points.select("Dropped_sellers", "profit"))
-        .agg(F.max(F.struct(F.col("profit"), (-F.col("Dropped_sellers")).alias("neg_k"))).alias("best"))
+    points, _ = _curve_points(sellers, cfg, rows_per_bucket)
+    best = points.agg(
+        F.max(F.struct(F.col("profit"), (-F.col("Dropped_sellers")).alias("neg_k"))).alias("best")
     )
     return best.select(
         (-F.col("best.neg_k")).alias("Dropped_sellers"), round_half_even(F.col("best.profit"), 2).alias("Profit")

@@ -243,21 +243,18 @@ wtot as (select count(*) as n, coalesce(sum(profits), 0.0) as p, coalesce(sum(qu
 F["wrank"] = """
 wrank as (
   select seller_id, profits, quantity, row_number() over (order by profits, seller_id) as k from strain)"""
-F["wpts"] = f"""
-wpts as (
-  select k, (wtot.p - cp) - {it_sql('wtot.n - k', 'wtot.q - cq')} as profit,
-    (wtot.p - (cp - profits)) - {it_sql('wtot.n - k + 1', 'wtot.q - (cq - quantity)')} as previous_profit
-  from (select k, profits, quantity,
-          sum(profits) over (order by k rows between unbounded preceding and current row) as cp,
-          sum(quantity) over (order by k rows between unbounded preceding and current row) as cq
-        from wrank) r, wtot)"""
+F["wdesc"] = """
+wdesc as (
+  select d, sum(profits) over w as cp, sum(quantity) over w as cq
+  from (select profits, quantity, row_number() over (order by profits desc, seller_id desc) as d from strain) x
+  window w as (order by d rows between unbounded preceding and current row))"""
 F["wcurve"] = f"""
 wcurve as (
-  select cast(0 as bigint) as Dropped_sellers, p - {it_sql('n', 'q')} as profit from wtot
+  select cast(wtot.n - d as bigint) as Dropped_sellers, cp - {it_sql('d', 'cq')} as profit from wdesc, wtot
   union all
-  select cast(k as bigint), profit from wpts)"""
+  select cast(n as bigint), 0.0 - {it_sql('0', '0')} from wtot)"""
 
-WHATIF_DEPS = SELLER_TRAINING_DEPS + ["wtot", "wrank", "wpts", "wcurve"]
+WHATIF_DEPS = SELLER_TRAINING_DEPS + ["wtot", "wdesc", "wcurve"]
 
 
 def cents(x: str) -> str:
@@ -277,9 +274,10 @@ register("sellers_by_profit", SELLER_TRAINING_DEPS + ["wrank"],
 register("whatif_curve", WHATIF_DEPS,
          f"select Dropped_sellers, {cents('profit')} as Profit from wcurve", ["Profit"])
 register("whatif_greedy_optimum", WHATIF_DEPS,
-         f"""select coalesce(min(k) - 1, (select n from wtot)) as Dropped_sellers,
-               {cents('coalesce(arg_min(previous_profit, k), 0.0)')} as Profit
-             from wpts where profit < previous_profit""", ["Profit"])
+         f"""select coalesce(min(c.Dropped_sellers) - 1, (select n from wtot)) as Dropped_sellers,
+               {cents('coalesce(arg_min(b.profit, c.Dropped_sellers), 0.0)')} as Profit
+             from wcurve c join wcurve b on c.Dropped_sellers = b.Dropped_sellers + 1
+             where c.profit < b.profit""", ["Profit"])
 register("whatif_global_optimum", WHATIF_DEPS,
          f"""select Dropped_sellers, {cents('profit')} as Profit from wcurve
              order by profit desc, Dropped_sellers asc limit 1""", ["Profit"])

@@ -75,9 +75,11 @@ def ranked_prefix_sums(
     sum_cols: list[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
+    descending: bool = False,
 ) -> tuple[DataFrame, Totals]:
-    """Add ``rank`` (1-based, ascending by ``order_cols``) and inclusive running
-    sums ``cum_<c>`` for each of ``sum_cols``; also return the totals.
+    """Add ``rank`` (1-based, ascending by ``order_cols``, or descending) and
+    inclusive running sums ``cum_<c>`` for each of ``sum_cols`` in that order;
+    also return the totals.
 
     Keys must be non-null; rows with equal keys are ranked in some order.
     ``df`` is read three times (totals, sample, ranking); materialise it first
@@ -91,7 +93,7 @@ def ranked_prefix_sums(
     key_schema = df.select(_key(order_cols).alias("k")).schema["k"].dataType
     bucketed = df.withColumn("_bucket", bucket_expr(order_cols, splits, key_schema))
 
-    order = [F.col(c).asc() for c in order_cols]
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w_rank = Window.partitionBy("_bucket").orderBy(*order)
     w_run = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = bucketed.withColumns(
@@ -109,7 +111,7 @@ def ranked_prefix_sums(
     zero = {c: 0 if isinstance(sum_types[c], T.LongType) else 0.0 for c in sum_cols}
     offsets = []
     run_n, run = 0, dict(zero)
-    for r in per_bucket:
+    for r in reversed(per_bucket) if descending else per_bucket:
         offsets.append((int(r["_bucket"]), run_n, *[run[c] for c in sum_cols]))
         run_n += int(r["n"])
         for c in sum_cols:
