@@ -128,28 +128,32 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: list[str] = ORDER_NUMERIC) -> DataFrame:
     """Pearson correlation of every ordered pair of ``cols`` as ``x, y, corr``.
 
-    Each pair uses the rows where both are present; a constant column gives
-    null instead of a division error.  One aggregation pass computes all pairs.
+    Each row is unpivoted into one ``(pair, a, b)`` row per column pair and
+    the pairs are aggregated by a single ``groupBy``: rows where either value
+    is missing drop out of that pair only (pairwise complete), the partial
+    aggregate leaves one row per pair per task, and the plan stays small
+    however many columns there are.  A constant column gives null.
     """
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = _num(a).isNotNull() & _num(b).isNotNull()
-            xa, xb = F.when(both, _num(a)), F.when(both, _num(b))
-            aggs += [
-                F.covar_pop(xa, xb).alias(f"cov__{i}__{b}"),
-                F.var_pop(xa).alias(f"va__{i}__{b}"),
-                F.var_pop(xb).alias(f"vb__{i}__{b}"),
-            ]
-    moments = df.agg(*aggs)
-    pairs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = (i, b) if i <= j else (j, a)
-            den = F.sqrt(F.col(f"va__{lo}__{hi}") * F.col(f"vb__{lo}__{hi}"))
-            corr = F.when(den > 0, F.col(f"cov__{lo}__{hi}") / den)
-            pairs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), corr.alias("corr")))
-    return moments.select(F.explode(F.array(*pairs)).alias("p")).select("p.x", "p.y", "p.corr")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    q = [f"`{c}`" for c in cols]
+    stack = ", ".join(f"{n}, cast({q[i]} as double), cast({q[j]} as double)" for n, (i, j) in enumerate(pairs))
+    moments = (
+        df.selectExpr(f"stack({len(pairs)}, {stack}) as (pair, a, b)")
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b"))
+        .groupBy("pair")
+        .agg(F.covar_pop("a", "b").alias("cov"), F.var_pop("a").alias("va"), F.var_pop("b").alias("vb"))
+    )
+    den = F.sqrt(F.col("va") * F.col("vb"))
+    names = F.array(*[F.lit(c) for c in cols])
+    first = F.array(*[F.lit(i) for i, _ in pairs])[F.col("pair")]
+    second = F.array(*[F.lit(j) for _, j in pairs])[F.col("pair")]
+    forward = F.struct(names[first].alias("x"), names[second].alias("y"))
+    backward = F.struct(names[second].alias("x"), names[first].alias("y"))
+    # (a, b) and (b, a) share one aggregate; a diagonal pair is emitted once
+    both_ways = F.when(first == second, F.array(forward)).otherwise(F.array(forward, backward))
+    return moments.select(
+        F.when(den > 0, F.col("cov") / den).alias("corr"), F.explode(both_ways).alias("xy")
+    ).select("xy.x", "xy.y", "corr")
 
 
 def zscore(df: DataFrame, cols: list[str] = ZSCORE_COLUMNS, nan_policy: str = "propagate") -> DataFrame:
