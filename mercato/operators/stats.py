@@ -92,26 +92,30 @@ def histogram(df: DataFrame, col: str, bins: int = 10, lo: float | None = None,
 def histogram_by(
     df: DataFrame, col: str, by: str, bins: int = 10, lo: float | None = None, hi: float | None = None
 ) -> DataFrame:
-    """The histogram of ``col`` for each non-null value of ``by``: ``by, bin, bin_lo, bin_hi, count``."""
+    """The histogram of ``col`` for each non-null value of ``by``: ``by, bin, bin_lo, bin_hi, count``.
+
+    One pass over the data: counts per (category, bin), where values out of
+    range form one extra key so every category is seen; then per category
+    its at most ``bins + 1`` counts (a proven bound) become a map from which
+    all ``bins`` rows are generated, empty bins included.
+    """
     if lo is None or hi is None:
         lo, hi = data_range(df, col)
     counts = (
-        df.select(by, bin_index(col, lo, hi, bins).alias("bin"))
-        .where(F.col("bin").isNotNull() & F.col(by).isNotNull())
-        .groupBy(by, "bin")
+        df.where(F.col(by).isNotNull())
+        .groupBy(by, F.coalesce(bin_index(col, lo, hi, bins), F.lit(-1)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    # every category gets all bins: one generated row per (category, bin)
-    grid = (
-        df.select(by).where(F.col(by).isNotNull()).distinct()
-        .select(by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    per_category = counts.groupBy(by).agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("counts")
     )
-    return grid.join(counts, [by, "bin"], "left").select(
+    b = F.col("bin")
+    return per_category.select(by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "counts").select(
         by,
-        "bin",
-        bin_edge(F.col("bin"), lo, hi, bins).alias("bin_lo"),
-        bin_edge(F.col("bin") + 1, lo, hi, bins).alias("bin_hi"),
-        F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
+        b,
+        bin_edge(b, lo, hi, bins).alias("bin_lo"),
+        bin_edge(b + 1, lo, hi, bins).alias("bin_hi"),
+        F.coalesce(F.col("counts")[b], F.lit(0)).cast("bigint").alias("count"),
     )
 
 
@@ -193,23 +197,34 @@ def kde_curve(
     the shuffle carries at most groups x grid points rows per task.
     """
     x = _num(col)
-    base = df.where(x.isNotNull() & ~F.isnan(x) & F.col(by).isNotNull())
+    values = (
+        df.where(x.isNotNull() & ~F.isnan(x) & F.col(by).isNotNull())
+        .groupBy(by, x.alias("v"))
+        .agg(F.count(F.lit(1)).alias("w"))
+    )
+    # Group parameters from the value counts, so the input is aggregated once
+    # (both branches read the same exchange).  The variance comes from weighted
+    # power sums; it only sets the bandwidth, where a relative error of
+    # eps * (mean / sd)^2 is immaterial.
+    w, v = F.col("w").cast("double"), F.col("v")
     params = (
-        base.groupBy(by)
+        values.groupBy(by)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.stddev_samp(x).alias("sd"),
-            F.min(x).alias("lo"),
-            F.max(x).alias("hi"),
+            F.sum("w").alias("n"),
+            F.min("v").alias("lo"),
+            F.max("v").alias("hi"),
+            F.sum(w * v).alias("s1"),
+            F.sum(w * v * v).alias("s2"),
         )
-        .where((F.col("n") >= 2) & (F.col("sd") > 0))
+        .withColumn("var", (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1))
+        .where((F.col("n") >= 2) & (F.col("var") > 0) & (F.col("hi") > F.col("lo")))
+        .withColumn("sd", F.sqrt("var"))
         .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
         .withColumn("g_lo", F.col("lo") - F.col("bw") * cut)
         .withColumn("g_hi", F.col("hi") + F.col("bw") * cut)
         .withColumn("g_step", (F.col("g_hi") - F.col("g_lo")) / (grid_points - 1))
         .select(by, "n", "bw", "g_lo", "g_hi", "g_step")
     )
-    values = base.groupBy(by, x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
     point = F.col("point")
     grid_x = F.when(point == grid_points - 1, F.col("g_hi")).otherwise(
         point.cast("double") * F.col("g_step") + F.col("g_lo")

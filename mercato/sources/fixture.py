@@ -95,8 +95,23 @@ def read_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES}
 
 
+_CACHE: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight marketplace tables, derived lazily from the Parquet sources in ``sf_dir``."""
+    """The eight marketplace tables, derived lazily from the Parquet sources in ``sf_dir``.
+
+    The lazy DataFrames are kept per session and folder, so several queries
+    over the same (read-only) files share one analysed plan instead of
+    listing and analysing the sources again; nothing is cached in memory.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = _build(spark, sf_dir)
+    return dict(_CACHE[key])
+
+
+def _build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     src = read_sources(spark, sf_dir)
     out: dict[str, DataFrame] = {}
     for name, sql in MAPPINGS.items():
