@@ -97,12 +97,15 @@ def first_location_by_zip(tables: Tables) -> DataFrame:
     zip prefix holding a large share of the rows is combined map-side.
     """
     geo = tables["geolocation"]
-    first = F.min_by(F.struct("geolocation_lat", "geolocation_lng"), F.col("ordinal"))
+    # ordinals are unique, so both picks come from the same (first) row;
+    # with a primitive ordinal this stays a fixed-width hash aggregate
     return (
         geo.where(F.col("geolocation_zip_code_prefix").isNotNull())
         .groupBy(F.col("geolocation_zip_code_prefix").alias("zip"))
-        .agg(first.alias("loc"))
-        .select("zip", F.col("loc.geolocation_lat").alias("lat"), F.col("loc.geolocation_lng").alias("lng"))
+        .agg(
+            F.min_by("geolocation_lat", "ordinal").alias("lat"),
+            F.min_by("geolocation_lng", "ordinal").alias("lng"),
+        )
     )
 
 
