@@ -74,12 +74,13 @@ query("seller_training")(S.seller_training)
 
 # ---------------------------------------------------------------- what-if
 def _sellers(tables: dict) -> DataFrame:
-    """Seller training table written once; the what-if reads it several times."""
-    return materialize(S.seller_training(tables))
+    """The columns of the seller training table the what-if reads, written
+    once: the ranking reads them several times."""
+    return materialize(S.seller_training(tables).select("seller_id", "profits", "quantity"))
 
 
-query("it_costs")(lambda t: W.it_costs(_sellers(t)))
-query("global_profit")(lambda t: W.global_profit(_sellers(t)))
+query("it_costs")(lambda t: W.it_costs(S.seller_training(t)))
+query("global_profit")(lambda t: W.global_profit(S.seller_training(t)))
 query("sellers_by_profit")(lambda t: W.sellers_by_profit(_sellers(t)))
 query("whatif_curve")(lambda t: W.whatif_curve(_sellers(t)))
 query("whatif_greedy_optimum")(lambda t: W.whatif_greedy_optimum(_sellers(t)))
@@ -118,7 +119,8 @@ MODEL_STANDARDIZED = ("review_score", ST.ZSCORE_COLUMNS)
 
 
 def _standardized(tables: dict) -> DataFrame:
-    return materialize(ST.zscore(_orders(tables)))
+    # z-scores are a projection over the materialised order table
+    return ST.zscore(_orders(tables))
 
 
 query("ols_fit")(lambda t: R.ols_fit(_orders(t), *MODEL_WAIT))
