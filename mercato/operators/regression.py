@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.functions.distributions import chi2_sf_2df, f_sf, t_quantile, t_two_sided_p
+from mercato.plans.ranking import ranked_prefix_sums
 
 INTERCEPT = "Intercept"
 RCOND = 1e-10
@@ -210,7 +211,7 @@ def ols_importance(coefs: DataFrame) -> DataFrame:
 
 def ols_score(df: DataFrame, model: OlsModel, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns, ``y``, ``predicted`` and ``residual`` for the rows the model can score."""
-    keep = keep or []
+    keep = [c for c in (keep or []) if c != model.y]
     data = _clean(df, [model.y] + model.xs)
     pred = model.prediction()
     return data.select(
@@ -234,12 +235,35 @@ SUMMARY_COLUMNS = [
     ("adj_r2", T.DoubleType()), ("f_stat", T.DoubleType()), ("prob_f", T.DoubleType()),
     ("log_likelihood", T.DoubleType()), ("aic", T.DoubleType()), ("bic", T.DoubleType()),
     ("skew", T.DoubleType()), ("kurtosis", T.DoubleType()), ("jarque_bera", T.DoubleType()),
-    ("prob_jb", T.DoubleType()),
+    ("prob_jb", T.DoubleType()), ("durbin_watson", T.DoubleType()),
 ]
 
 
-def ols_summary(df: DataFrame, model: OlsModel) -> DataFrame:
-    """One row of model statistics; residual shape from one pass over the scored rows."""
+def durbin_watson(scored: DataFrame, order_by: list[str]) -> float | None:
+    """sum((e_t - e_(t-1))^2) / sum(e_t^2) with rows ordered by ``order_by``.
+
+    Rows are ranked without a single-task window (``ranked_prefix_sums``)
+    and each residual meets its predecessor through an equi-join on the
+    rank, a unique key, so no task holds more than its share of rows.
+    Rows tied on ``order_by`` should have equal residuals for a defined answer.
+    """
+    ranked, _ = ranked_prefix_sums(scored.select(*order_by, "residual"), order_by, [])
+    r = ranked.select("rank", "residual")
+    previous = r.select((F.col("rank") + 1).alias("rank"), F.col("residual").alias("previous"))
+    d = F.col("residual") - F.col("previous")
+    row = r.join(previous, "rank", "left").agg(
+        F.sum(d * d).alias("num"), F.sum(F.col("residual") * F.col("residual")).alias("den")
+    ).first()
+    if row["den"] is None or row["den"] == 0:
+        return None
+    return float(row["num"] or 0.0) / float(row["den"])
+
+
+def ols_summary(df: DataFrame, model: OlsModel, order_by: list[str] | None = None) -> DataFrame:
+    """One row of model statistics; residual shape from one pass over the scored rows.
+
+    ``durbin_watson`` needs a row order and is computed only when ``order_by`` is given.
+    """
     r = F.col("residual")
     m = ols_score(df, model).agg(
         F.avg(r).alias("m1"), F.avg(r * r).alias("r2"), F.avg(r * r * r).alias("r3"), F.avg(r * r * r * r).alias("r4")
@@ -257,6 +281,7 @@ def ols_summary(df: DataFrame, model: OlsModel) -> DataFrame:
         model.n, model.df_model, model.df_resid, model.r2, model.adj_r2, model.fvalue,
         f_sf(model.fvalue, model.df_model, model.df_resid), llf, -2.0 * llf + 2.0 * k_params,
         -2.0 * llf + math.log(model.n) * k_params, skew, kurt, jb, chi2_sf_2df(jb),
+        durbin_watson(ols_score(df, model, keep=order_by), order_by) if order_by else None,
     )
     schema = T.StructType([T.StructField(n, t) for n, t in SUMMARY_COLUMNS])
     return _rows_df(df, [tuple(float(v) if isinstance(v, (float, np.floating)) else v for v in row)], schema)

@@ -139,7 +139,7 @@ def _std_model(tables: dict):
 
 def _summary(tables: dict) -> DataFrame:
     data, model = _std_model(tables)
-    return R.ols_summary(data, model)
+    return R.ols_summary(data, model, order_by=["order_id", "review_score"])
 
 
 def _significant(tables: dict) -> DataFrame:

@@ -28,6 +28,10 @@ NAME_PARTS_TO_STRIP = ["olist_", "_dataset", ".csv"]
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# Tables whose free-text cells may hold line breaks; only these are read as
+# multi-line CSV, which Spark cannot split, so every other file stays splittable.
+MULTILINE_TABLES = {"order_reviews"}
+
 
 def table_key(file_name: str) -> str:
     key = os.path.basename(file_name)
@@ -51,7 +55,7 @@ def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFr
     key = key or table_key(path)
     raw = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", key in MULTILINE_TABLES)
         .option("escape", '"')
         .option("inferSchema", False)
         .csv(path)
@@ -75,3 +79,9 @@ def load_tables(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
     """All ``*.csv`` files of ``csv_dir`` as lazily read DataFrames keyed by cleaned name."""
     paths = sorted(glob.glob(os.path.join(csv_dir, "*.csv")))
     return {table_key(p): read_table(spark, p) for p in paths}
+
+
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Make every table queryable from SQL under its key (session temp views)."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)

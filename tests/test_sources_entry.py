@@ -54,3 +54,35 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert "order_training" in o
+
+
+def test_first_location_survives_many_splits(spark):
+    """File order is kept when the geolocation file is read as several splits."""
+    d = tempfile.mkdtemp(prefix="mercato-geo-")
+    header = "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state\n"
+    lines, first = [], {}
+    for i in range(6000):
+        z = f"{(i * 7919) % 97:05d}"
+        lat, lng = -20.0 - i * 1e-4, -40.0 - i * 1e-4
+        first.setdefault(z, (round(lat, 6), round(lng, 6)))
+        lines.append(f"{z},{lat:.6f},{lng:.6f},city,ST\n")
+    with open(os.path.join(d, "olist_geolocation_dataset.csv"), "w") as f:
+        f.write(header + "".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        t = load_tables(spark, d)
+        assert t["geolocation"].rdd.getNumPartitions() > 4
+        from mercato.operators.orders import first_location_by_zip
+
+        got = {r["zip"]: (r["lat"], r["lng"]) for r in first_location_by_zip(t).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == first
+
+
+def test_register_views(spark):
+    from mercato.sources.csv_tables import register_views
+
+    register_views({"mercato_view_test": spark.range(3)})
+    assert spark.sql("select count(*) as n from mercato_view_test").first()["n"] == 3

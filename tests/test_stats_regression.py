@@ -156,7 +156,12 @@ def test_ols_on_fixture(sf01):
     z = ST.zscore(data)
     m4 = R.fit(z, "review_score", ST.ZSCORE_COLUMNS)
     assert m4.rank == 7 and m4.df_model == 6  # number_of_products == number_of_sellers
-    summ = R.ols_summary(z, m4).first()
+    summ = R.ols_summary(z, m4, order_by=["order_id", "review_score"]).first()
     assert summ["df_resid"] == m4.n - 7
+    zp = z.orderBy("order_id", "review_score").toPandas()
+    X = np.column_stack([np.ones(len(zp))] + [zp[c].to_numpy(float) for c in ST.ZSCORE_COLUMNS])
+    e = zp.review_score.to_numpy(float) - X @ m4.params
+    assert summ["durbin_watson"] == pytest.approx(np.sum(np.diff(e) ** 2) / np.sum(e * e), rel=1e-9)
+    assert summ["r2"] == pytest.approx(1 - e @ e / np.sum((zp.review_score - zp.review_score.mean()) ** 2), rel=1e-9)
     line = R.regression_line(z, "review_score", "delay_vs_expected").collect()
     assert len(line) == 100 and all(r["ci_low"] < r["fitted"] < r["ci_high"] for r in line)
