@@ -19,18 +19,27 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def days_between(start: str | Column, end: str | Column) -> Column:
-    """Fractional days from ``start`` to ``end`` (exact, 86 400 s per day).
-
-    Works on ``TIMESTAMP_NTZ`` so no daylight-saving shift can creep in.
-    Null if either side is null.
+def micros_between(start: str | Column, end: str | Column) -> Column:
+    """Microseconds from ``start`` to ``end``, independent of the session time zone.
+
+    Subtracting two ``TIMESTAMP_NTZ`` values gives a day-time interval measured
+    on the naive clock (every day is 86 400 s); adding it to the epoch and
+    reading the microseconds back turns it into a number without passing
+    through a zone.  (``timestamp_diff`` would first place naive values in
+    the session zone, so a day across a daylight-saving change would count
+    23 or 25 hours.)
     """
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(float(DAY_MICROS))
+    return F.unix_micros(F.timestamp_micros(F.lit(0)) + (_col(end) - _col(start)))
+
+
+def days_between(start: str | Column, end: str | Column) -> Column:
+    """Fractional days from ``start`` to ``end`` (86 400 s per day); null if either is null."""
+    return micros_between(start, end) / F.lit(float(DAY_MICROS))
 
 
 def avg_months_between(start: str | Column, end: str | Column) -> Column:
     """Fractional average-length months (30.436875 days) from ``start`` to ``end``."""
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(float(AVG_MONTH_MICROS))
+    return micros_between(start, end) / F.lit(float(AVG_MONTH_MICROS))
 
 
 def round_half_even(x: str | Column, decimals: int = 0) -> Column:

@@ -118,3 +118,24 @@ def test_training_fixture_shapes(sf001, sf01):
     assert O.order_training(sf01).count() == 9267
     assert O.order_training(sf01, with_distance_seller_customer=False).count() == 9663
     assert O.order_training(sf01).select("order_id").distinct().count() == 9051
+
+
+def test_days_are_24h_in_any_session_zone(spark):
+    """A wait across a daylight-saving change is still a whole number of days."""
+    from mercato.functions.exprs import avg_months_between, days_between
+
+    df = spark.sql(
+        "select timestamp_ntz'2017-10-14 12:00:00' as a, timestamp_ntz'2017-10-16 12:00:00.5' as b, "
+        "timestamp_ntz'2018-02-17 00:00:00' as c, timestamp_ntz'2018-02-18 00:00:00' as d"
+    )
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/Sao_Paulo", "UTC", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = df.select(days_between("a", "b").alias("x"), days_between("c", "d").alias("y"),
+                          avg_months_between("a", "b").alias("m")).first()
+            assert r["x"] == 172800500000 / 86400e6
+            assert r["y"] == 1.0
+            assert r["m"] == 172800500000 / 2629746e6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
