@@ -77,9 +77,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10, lo: float | None = None,
         .agg(F.count(F.lit(1)).alias("count"))
     )
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    # both sides hold at most `bins` rows; the counts side is the one a left join can broadcast
     return (
-        F.broadcast(grid)
-        .join(counts, "bin", "left")
+        grid.join(F.broadcast(counts), "bin", "left")
         .select(
             "bin",
             bin_edge(F.col("bin"), lo, hi, bins).alias("bin_lo"),

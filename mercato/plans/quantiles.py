@@ -15,6 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.plans.lineage import materialize
 from mercato.plans.ranking import ROWS_PER_BUCKET, ranked_prefix_sums
 
 
@@ -29,7 +30,9 @@ def exact_quantiles(
 ) -> dict[float, float | None]:
     """Linearly interpolated quantiles at ``probs`` (as ``numpy.percentile``), nulls and NaN ignored."""
     c = F.col(col).cast("double")
-    counts = (
+    # the counts are read by several passes (totals, sample, bucket totals,
+    # lookup), so they are written once instead of re-aggregated each time
+    counts = materialize(
         df.where(c.isNotNull() & ~F.isnan(c))
         .groupBy(c.alias("v"))
         .agg(F.count(F.lit(1)).alias("c"))
