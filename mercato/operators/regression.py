@@ -39,6 +39,9 @@ class OlsModel:
     centered_tss: float
     x_means: np.ndarray = field(repr=False)
     alpha: float = 0.05
+    # regressors enter as (x - shift) / scale; identity unless fitted on z-scores
+    x_shift: np.ndarray | None = field(default=None, repr=False)
+    x_scale: np.ndarray | None = field(default=None, repr=False)
 
     @property
     def names(self) -> list[str]:
@@ -88,11 +91,17 @@ class OlsModel:
         n = self.n
         return -n / 2.0 * math.log(2.0 * math.pi) - n / 2.0 * math.log(self.ssr / n) - n / 2.0
 
+    def regressor(self, j: int) -> Column:
+        x = F.col(self.xs[j]).cast("double")
+        if self.x_shift is None or (self.x_shift[j] == 0.0 and self.x_scale[j] == 1.0):
+            return x
+        return (x - F.lit(float(self.x_shift[j]))) / F.lit(float(self.x_scale[j]))
+
     def prediction(self) -> Column:
         """``Intercept + sum(coef * x)`` as a column expression."""
         out = F.lit(float(self.params[0]))
-        for b, x in zip(self.params[1:], self.xs):
-            out = out + F.lit(float(b)) * F.col(x).cast("double")
+        for j, b in enumerate(self.params[1:]):
+            out = out + F.lit(float(b)) * self.regressor(j)
         return out
 
 
@@ -105,16 +114,39 @@ def _clean(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.where(cond)
 
 
-def fit(df: DataFrame, y: str, xs: list[str], rcond: float = RCOND, alpha: float = 0.05) -> OlsModel:
-    """Fit ``y ~ 1 + xs`` on the rows where ``y`` and every ``x`` are present."""
+def fit(
+    df: DataFrame,
+    y: str,
+    xs: list[str],
+    rcond: float = RCOND,
+    alpha: float = 0.05,
+    standardize: list[str] | None = None,
+) -> OlsModel:
+    """Fit ``y ~ 1 + xs`` on the rows where ``y`` and every ``x`` are present.
+
+    ``standardize`` names regressors that enter as z-scores (population std,
+    statistics over all rows, as ``stats.zscore`` computes them).  Z-scoring
+    is affine, so the z-score moments follow from the raw ones and the fit
+    still takes one aggregation pass.  A standardised column that has missing
+    values (its z-scores would all be missing) or no spread cannot be fitted.
+    """
     cols = [y] + list(xs)
-    data = _clean(df, cols)
-    d = {c: F.col(c).cast("double") for c in cols}
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(d[c]).alias(f"m{i}") for i, c in enumerate(cols)]
+    std = [x for x in xs if x in set(standardize or [])]
+    ok = None
+    for c in cols:
+        v = F.col(c).cast("double")
+        cond = v.isNotNull() & ~F.isnan(v)
+        ok = cond if ok is None else ok & cond
+    d = {c: F.when(ok, F.col(c).cast("double")) for c in cols}
+    aggs = [F.count(F.when(ok, F.lit(1))).alias("n")] + [F.avg(d[c]).alias(f"m{i}") for i, c in enumerate(cols)]
     for i in range(len(cols)):
         for j in range(i, len(cols)):
             aggs.append(F.covar_pop(d[cols[i]], d[cols[j]]).alias(f"c{i}_{j}"))
-    row = data.agg(*aggs).first()
+    for x in std:
+        v = F.col(x).cast("double")
+        aggs += [F.avg(v).alias(f"zm_{x}"), F.stddev_pop(v).alias(f"zs_{x}"),
+                 F.count(F.when(v.isNull() | F.isnan(v), F.lit(1))).alias(f"zn_{x}")]
+    row = df.agg(*aggs).first()
     n = int(row["n"])
     k = len(xs)
     if n == 0:
@@ -124,6 +156,17 @@ def fit(df: DataFrame, y: str, xs: list[str], rcond: float = RCOND, alpha: float
     for i in range(k + 1):
         for j in range(i, k + 1):
             C[i, j] = C[j, i] = row[f"c{i}_{j}"]
+    shift, scale_x = np.zeros(k), np.ones(k)
+    for j, x in enumerate(xs):
+        if x in std:
+            if row[f"zn_{x}"] or not row[f"zs_{x}"]:
+                raise ValueError(f"z-scores of {x} are all missing (missing values or no spread)")
+            shift[j], scale_x[j] = row[f"zm_{x}"], row[f"zs_{x}"]
+    if std:
+        # moments of (x - shift) / scale from the moments of x
+        t = np.concatenate([[1.0], 1.0 / scale_x])
+        mu = np.concatenate([[mu[0]], (mu[1:] - shift) / scale_x])
+        C = C * np.outer(t, t)
     muy, mux = mu[0], mu[1:]
     vy, cxy, Cxx = C[0, 0], C[1:, 0], C[1:, 1:]
 
@@ -163,7 +206,8 @@ def fit(df: DataFrame, y: str, xs: list[str], rcond: float = RCOND, alpha: float
     ssr = max(ssr, 0.0)
     df_resid = n - rank
     sigma2 = ssr / df_resid if df_resid > 0 else float("nan")
-    return OlsModel(y, list(xs), n, beta, sigma2 * XtX_inv, rank, ssr, n * vy, mux, alpha)
+    return OlsModel(y, list(xs), n, beta, sigma2 * XtX_inv, rank, ssr, n * vy, mux, alpha,
+                    shift if std else None, scale_x if std else None)
 
 
 def _rows_df(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:

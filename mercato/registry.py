@@ -123,37 +123,41 @@ def _standardized(tables: dict) -> DataFrame:
     return ST.zscore(_orders(tables))
 
 
-query("ols_fit")(lambda t: R.ols_fit(_orders(t), *MODEL_WAIT))
-query("ols_fit_delay")(lambda t: R.ols_fit(_orders(t), *MODEL_DELAY))
-query("ols_fit_two")(lambda t: R.ols_fit(_orders(t), *MODEL_TWO))
-query("ols_fit_standardized")(lambda t: R.ols_fit(_standardized(t), *MODEL_STANDARDIZED))
-query("ols_coefficients")(lambda t: R.ols_coefficients(_orders(t), *MODEL_WAIT))
-query("ols_coefficients_delay")(lambda t: R.ols_coefficients(_orders(t), *MODEL_DELAY))
-query("ols_coefficients_two")(lambda t: R.ols_coefficients(_orders(t), *MODEL_TWO))
+query("ols_fit")(lambda t: R.ols_fit(O.order_training(t), *MODEL_WAIT))
+query("ols_fit_delay")(lambda t: R.ols_fit(O.order_training(t), *MODEL_DELAY))
+query("ols_fit_two")(lambda t: R.ols_fit(O.order_training(t), *MODEL_TWO))
+query("ols_coefficients")(lambda t: R.ols_coefficients(O.order_training(t), *MODEL_WAIT))
+query("ols_coefficients_delay")(lambda t: R.ols_coefficients(O.order_training(t), *MODEL_DELAY))
+query("ols_coefficients_two")(lambda t: R.ols_coefficients(O.order_training(t), *MODEL_TWO))
 
 
-def _std_model(tables: dict):
-    data = _standardized(tables)
-    return data, R.fit(data, *MODEL_STANDARDIZED)
+def _std_model(tables: dict, data: DataFrame | None = None):
+    """The 7-regressor model on z-scores, fitted in one pass over the order table."""
+    data = O.order_training(tables) if data is None else data
+    return data, R.fit(data, *MODEL_STANDARDIZED, standardize=ST.ZSCORE_COLUMNS)
 
 
-def _summary(tables: dict) -> DataFrame:
+def _fit_standardized(tables: dict) -> DataFrame:
     data, model = _std_model(tables)
+    return R.coefficient_table(data, model)
+
+
+def _summary(tables: dict) -> DataFrame:
+    # several passes (fit, residual moments, ranked residuals): read a written copy
+    data, model = _std_model(tables, _orders(tables))
     return R.ols_summary(data, model, order_by=["order_id", "review_score"])
 
 
 def _significant(tables: dict) -> DataFrame:
-    data, model = _std_model(tables)
-    return R.ols_significant(R.coefficient_table(data, model))
+    return R.ols_significant(_fit_standardized(tables))
 
 
 def _importance(tables: dict) -> DataFrame:
-    data, model = _std_model(tables)
-    return R.ols_importance(R.coefficient_table(data, model))
+    return R.ols_importance(_fit_standardized(tables))
 
 
 def _score_simple(tables: dict) -> DataFrame:
-    data = _orders(tables)
+    data = O.order_training(tables)
     return R.ols_score(data, R.fit(data, *MODEL_WAIT), keep=["order_id"])
 
 
@@ -171,6 +175,7 @@ def _residual_histogram(tables: dict) -> DataFrame:
     return ST.histogram(R.ols_score(data, model), "residual", 10, -5.0, 5.0)
 
 
+query("ols_fit_standardized")(_fit_standardized)
 query("ols_summary")(_summary)
 query("ols_significant")(_significant)
 query("ols_importance")(_importance)

@@ -156,6 +156,14 @@ def test_ols_on_fixture(sf01):
     z = ST.zscore(data)
     m4 = R.fit(z, "review_score", ST.ZSCORE_COLUMNS)
     assert m4.rank == 7 and m4.df_model == 6  # number_of_products == number_of_sellers
+    # the one-pass fit on z-scores gives the same model as z-scoring first
+    m4b = R.fit(data, "review_score", ST.ZSCORE_COLUMNS, standardize=ST.ZSCORE_COLUMNS)
+    assert m4b.rank == 7
+    assert m4b.params == pytest.approx(m4.params, rel=1e-9, abs=1e-12)
+    assert m4b.bse == pytest.approx(m4.bse, rel=1e-9)
+    e1 = R.ols_error(R.ols_score(z, m4)).first()
+    e2 = R.ols_error(R.ols_score(data, m4b)).first()
+    assert e2["mse"] == pytest.approx(e1["mse"], rel=1e-9)
     summ = R.ols_summary(z, m4, order_by=["order_id", "review_score"]).first()
     assert summ["df_resid"] == m4.n - 7
     zp = z.orderBy("order_id", "review_score").toPandas()
