@@ -107,7 +107,3 @@ def bin_index(x: str | Column, lo: float, hi: float, bins: int) -> Column:
     in_range = (c >= F.lit(float(lo))) & (c <= F.lit(float(hi)))
     return F.when(in_range, raised.cast("int"))
 
-
-def nan_to_null(x: str | Column) -> Column:
-    c = _col(x)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
