@@ -461,3 +461,11 @@ register("ols_error_simple", TRAINING_DEPS + ["score1"],
          """select avg(residual) as residual_mean, avg(residual * residual) as mse,
                sqrt(avg(residual * residual)) as rmse from score1""",
          ["residual_mean", "mse", "rmse"])
+
+
+# ---------------------------------------------------------------- sources
+# The CSV round trip turns ids and zip prefixes into text; values are otherwise unchanged.
+register("load_tables", TRAINING_DEPS,
+         "select * replace (cast(order_id as varchar) as order_id) from training",
+         ["wait_time", "expected_wait_time", "delay_vs_expected", "price", "freight_value",
+          "distance_seller_customer"])

@@ -20,6 +20,7 @@ from mercato.operators import regression as R
 from mercato.operators import stats as ST
 from mercato.operators import whatif as W
 from mercato.plans.lineage import materialize
+from mercato.sources.csv_tables import TIMESTAMP_FORMAT, load_tables
 from mercato.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,48 @@ def query(name: str):
     return deco
 
 
+# ---------------------------------------------------------------- sources
+# File names of the CSV export, one per table.
+CSV_FILES = {
+    "orders": "olist_orders_dataset.csv",
+    "order_items": "olist_order_items_dataset.csv",
+    "order_reviews": "olist_order_reviews_dataset.csv",
+    "customers": "olist_customers_dataset.csv",
+    "sellers": "olist_sellers_dataset.csv",
+    "geolocation": "olist_geolocation_dataset.csv",
+    "products": "olist_products_dataset.csv",
+    "product_category_name_translation": "product_category_name_translation.csv",
+}
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> dict:
+    """The mapped tables written as a CSV export (one folder per file name,
+    in the session's checkpoint folder) and read back with ``load_tables``.
+
+    Geolocation is range-partitioned and sorted by its ordinal, so the part
+    files in name order are in file order; the loader then rebuilds the
+    order from file, split and row position.
+    """
+    import uuid
+
+    from mercato.plans.lineage import ensure_checkpoint_dir
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-export-{uuid.uuid4().hex}"
+    for name, df in fixture_tables(spark, sf_dir).items():
+        if name == "geolocation":
+            df = df.repartitionByRange("ordinal").sortWithinPartitions("ordinal").drop("ordinal")
+        (df.write.option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
+         .mode("errorifexists").csv(f"{root}/{CSV_FILES[name]}"))
+    return load_tables(spark, root)
+
+
+def _csv_order_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical(O.order_training(csv_round_trip(spark, sf_dir)))
+
+
+QUERIES["load_tables"] = _csv_order_training
+
+
 # ---------------------------------------------------------------- orders
 query("order_wait_time")(O.order_wait_time)
 query("order_review_score")(O.order_review_score)

@@ -75,10 +75,20 @@ def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFr
     return raw.select(*cols)
 
 
+def list_csv(spark: SparkSession, csv_dir: str) -> list[str]:
+    """Paths matching ``<csv_dir>/*.csv``: a local folder, or any file system
+    URI Spark can read (listed through the session's Hadoop configuration)."""
+    if "://" not in csv_dir and not csv_dir.startswith("file:"):
+        return sorted(glob.glob(os.path.join(csv_dir, "*.csv")))
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(csv_dir.rstrip("/") + "/*.csv")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().toString() for st in (fs.globStatus(pattern) or []))
+
+
 def load_tables(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
     """All ``*.csv`` files of ``csv_dir`` as lazily read DataFrames keyed by cleaned name."""
-    paths = sorted(glob.glob(os.path.join(csv_dir, "*.csv")))
-    return {table_key(p): read_table(spark, p) for p in paths}
+    return {table_key(p): read_table(spark, p) for p in list_csv(spark, csv_dir)}
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

@@ -86,3 +86,18 @@ def test_register_views(spark):
 
     register_views({"mercato_view_test": spark.range(3)})
     assert spark.sql("select count(*) as n from mercato_view_test").first()["n"] == 3
+
+
+def test_csv_round_trip_matches_parquet_fixture(spark):
+    import __spark_entry__ as E
+    from mercato.operators.orders import order_training
+    from mercato.registry import csv_round_trip
+    from mercato.sources.fixture import fixture_tables
+
+    t = csv_round_trip(spark, "/root/testdata/sf0.001")
+    assert dict(t["orders"].dtypes)["order_purchase_timestamp"] == "timestamp_ntz"
+    got = order_training(t).select("order_id", "review_score", "wait_time", "distance_seller_customer").collect()
+    want = order_training(fixture_tables(spark, "/root/testdata/sf0.001")).select(
+        "order_id", "review_score", "wait_time", "distance_seller_customer").collect()
+    assert sorted((str(r[0]), r[1], r[2], r[3]) for r in got) == sorted((str(r[0]), r[1], r[2], r[3]) for r in want)
+    assert E.queries()["load_tables"](spark, "/root/testdata/sf0.001").count() == 950
