@@ -1,7 +1,8 @@
-import pytest
 import os
 import tempfile
 
+import pytest
+
 from mercato.sources.csv_tables import load_tables, table_key
 
 BOM = "﻿"
