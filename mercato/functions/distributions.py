@@ -139,3 +139,43 @@ def f_sf(f: float, d1: float, d2: float) -> float:
 def chi2_sf_2df(x: float) -> float:
     """P(X >= x) for chi-squared with 2 degrees of freedom."""
     return math.exp(-x / 2.0) if x > 0 else 1.0
+
+
+def normal_two_sided_p(z: float) -> float:
+    return math.erfc(abs(z) / math.sqrt(2.0))
+
+
+def skewness_z(skew: float, n: int) -> float:
+    """D'Agostino's normal approximation for the sample skewness (n >= 8)."""
+    y = skew * math.sqrt((n + 1.0) * (n + 3.0) / (6.0 * (n - 2.0)))
+    beta2 = 3.0 * (n * n + 27.0 * n - 70.0) * (n + 1.0) * (n + 3.0) / ((n - 2.0) * (n + 5.0) * (n + 7.0) * (n + 9.0))
+    w2 = -1.0 + math.sqrt(2.0 * (beta2 - 1.0))
+    delta = 1.0 / math.sqrt(0.5 * math.log(w2))
+    alpha = math.sqrt(2.0 / (w2 - 1.0))
+    y = 1.0 if y == 0 else y
+    return delta * math.log(y / alpha + math.sqrt((y / alpha) ** 2 + 1.0))
+
+
+def kurtosis_z(kurt: float, n: int) -> float:
+    """Anscombe and Glynn's normal approximation for the sample kurtosis (non-excess, n >= 20)."""
+    mean = 3.0 * (n - 1.0) / (n + 1.0)
+    var = 24.0 * n * (n - 2.0) * (n - 3.0) / ((n + 1.0) ** 2 * (n + 3.0) * (n + 5.0))
+    x = (kurt - mean) / math.sqrt(var)
+    sqrt_beta1 = 6.0 * (n * n - 5.0 * n + 2.0) / ((n + 7.0) * (n + 9.0)) * math.sqrt(
+        6.0 * (n + 3.0) * (n + 5.0) / (n * (n - 2.0) * (n - 3.0))
+    )
+    a = 6.0 + 8.0 / sqrt_beta1 * (2.0 / sqrt_beta1 + math.sqrt(1.0 + 4.0 / sqrt_beta1**2))
+    term1 = 1.0 - 2.0 / (9.0 * a)
+    denom = 1.0 + x * math.sqrt(2.0 / (a - 4.0))
+    if denom == 0:
+        return float("nan")
+    term2 = math.copysign(abs((1.0 - 2.0 / a) / denom) ** (1.0 / 3.0), denom)
+    return (term1 - term2) / math.sqrt(2.0 / (9.0 * a))
+
+
+def omnibus(skew: float, kurt: float, n: int) -> tuple[float, float]:
+    """D'Agostino-Pearson K^2 normality statistic and its chi-squared(2) tail probability."""
+    if n < 20 or math.isnan(skew) or math.isnan(kurt):
+        return float("nan"), float("nan")
+    k2 = skewness_z(skew, n) ** 2 + kurtosis_z(kurt, n) ** 2
+    return k2, chi2_sf_2df(k2)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.functions.distributions import chi2_sf_2df, f_sf, t_quantile, t_two_sided_p
+from mercato.functions.distributions import chi2_sf_2df, f_sf, omnibus, t_quantile, t_two_sided_p
 from mercato.plans.ranking import ranked_prefix_sums
 
 INTERCEPT = "Intercept"
@@ -279,7 +279,8 @@ SUMMARY_COLUMNS = [
     ("adj_r2", T.DoubleType()), ("f_stat", T.DoubleType()), ("prob_f", T.DoubleType()),
     ("log_likelihood", T.DoubleType()), ("aic", T.DoubleType()), ("bic", T.DoubleType()),
     ("skew", T.DoubleType()), ("kurtosis", T.DoubleType()), ("jarque_bera", T.DoubleType()),
-    ("prob_jb", T.DoubleType()), ("durbin_watson", T.DoubleType()),
+    ("prob_jb", T.DoubleType()), ("omnibus", T.DoubleType()), ("prob_omnibus", T.DoubleType()),
+    ("durbin_watson", T.DoubleType()),
 ]
 
 
@@ -325,6 +326,7 @@ def ols_summary(df: DataFrame, model: OlsModel, order_by: list[str] | None = Non
         model.n, model.df_model, model.df_resid, model.r2, model.adj_r2, model.fvalue,
         f_sf(model.fvalue, model.df_model, model.df_resid), llf, -2.0 * llf + 2.0 * k_params,
         -2.0 * llf + math.log(model.n) * k_params, skew, kurt, jb, chi2_sf_2df(jb),
+        *omnibus(skew, kurt, model.n),
         durbin_watson(ols_score(df, model, keep=order_by), order_by) if order_by else None,
     )
     schema = T.StructType([T.StructField(n, t) for n, t in SUMMARY_COLUMNS])

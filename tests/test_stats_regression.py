@@ -173,3 +173,23 @@ def test_ols_on_fixture(sf01):
     assert summ["r2"] == pytest.approx(1 - e @ e / np.sum((zp.review_score - zp.review_score.mean()) ** 2), rel=1e-9)
     line = R.regression_line(z, "review_score", "delay_vs_expected").collect()
     assert len(line) == 100 and all(r["ci_low"] < r["fitted"] < r["ci_high"] for r in line)
+
+
+def test_normality_statistics_behave():
+    from mercato.functions.distributions import kurtosis_z, omnibus, skewness_z
+
+    rng = np.random.default_rng(5)
+    zs, zk = [], []
+    for _ in range(400):
+        x = rng.normal(size=300)
+        c = x - x.mean()
+        m2, m3, m4 = (c**2).mean(), (c**3).mean(), (c**4).mean()
+        zs.append(skewness_z(m3 / m2**1.5, len(x)))
+        zk.append(kurtosis_z(m4 / m2**2, len(x)))
+    # under normal data both statistics are close to standard normal
+    assert abs(np.mean(zs)) < 0.15 and abs(np.std(zs) - 1) < 0.12
+    assert abs(np.mean(zk)) < 0.15 and abs(np.std(zk) - 1) < 0.15
+    e = rng.exponential(size=2000)
+    c = e - e.mean()
+    k2, p = omnibus((c**3).mean() / (c**2).mean() ** 1.5, (c**4).mean() / (c**2).mean() ** 2, len(e))
+    assert k2 > 100 and p < 1e-20
