@@ -8,6 +8,7 @@ matching DuckDB oracle in ``mercato.oracles``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from mercato.compare import canonical
 from mercato.operators import orders as O
 from mercato.operators import products as P
-from mercato.operators import sellers as S
 from mercato.operators import regression as R
+from mercato.operators import sellers as S
 from mercato.operators import stats as ST
 from mercato.operators import whatif as W
-from mercato.plans.lineage import materialize
+from mercato.plans.lineage import ensure_checkpoint_dir, materialize
 from mercato.sources.csv_tables import TIMESTAMP_FORMAT, load_tables
 from mercato.sources.fixture import fixture_tables
 
@@ -62,10 +63,6 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> dict:
     files in name order are in file order; the loader then rebuilds the
     order from file, split and row position.
     """
-    import uuid
-
-    from mercato.plans.lineage import ensure_checkpoint_dir
-
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-export-{uuid.uuid4().hex}"
     for name, df in fixture_tables(spark, sf_dir).items():
         if name == "geolocation":
