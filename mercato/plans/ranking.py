@@ -100,17 +100,20 @@ def ranked_prefix_sums(
         {"_lrank": F.row_number().over(w_rank), **{f"_lcum_{c}": F.sum(c).over(w_run) for c in sum_cols}}
     )
 
-    # Bucket totals: at most len(splits) + 1 rows, collected and turned into offsets.
-    # With a single bucket they are the totals already known.
     if not splits:
-        per_bucket = [{"_bucket": 0, "n": n, **totals.sums}]
-    else:
-        per_bucket = (
-            bucketed.groupBy("_bucket")
-            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sum_cols])
-            .orderBy("_bucket")
-            .collect()
-        )
+        # one bucket: the window already gives the global rank and sums
+        out = local.withColumns(
+            {"rank": F.col("_lrank").cast("long"), **{f"cum_{c}": F.col(f"_lcum_{c}") for c in sum_cols}}
+        ).drop("_bucket", "_lrank", *[f"_lcum_{c}" for c in sum_cols])
+        return out, totals
+
+    # Bucket totals: at most len(splits) + 1 rows, collected and turned into offsets.
+    per_bucket = (
+        bucketed.groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sum_cols])
+        .orderBy("_bucket")
+        .collect()
+    )
     sum_types = {c: _sum_type(df.schema[c].dataType) for c in sum_cols}
     zero = {c: 0 if isinstance(sum_types[c], T.LongType) else 0.0 for c in sum_cols}
     offsets = []
