@@ -137,16 +137,22 @@ def fit(
         v = F.col(c).cast("double")
         cond = v.isNotNull() & ~F.isnan(v)
         ok = cond if ok is None else ok & cond
-    d = {c: F.when(ok, F.col(c).cast("double")) for c in cols}
-    aggs = [F.count(F.when(ok, F.lit(1))).alias("n")] + [F.avg(d[c]).alias(f"m{i}") for i, c in enumerate(cols)]
+    # one projection evaluates the completeness test once per row; the
+    # aggregates then read plain columns (f*: complete rows only, z*: all rows)
+    proj = df.select(
+        F.when(ok, F.lit(1)).alias("ok"),
+        *[F.when(ok, F.col(c).cast("double")).alias(f"f{i}") for i, c in enumerate(cols)],
+        *[F.col(x).cast("double").alias(f"z{j}") for j, x in enumerate(std)],
+    )
+    aggs = [F.count("ok").alias("n")] + [F.avg(f"f{i}").alias(f"m{i}") for i in range(len(cols))]
     for i in range(len(cols)):
         for j in range(i, len(cols)):
-            aggs.append(F.covar_pop(d[cols[i]], d[cols[j]]).alias(f"c{i}_{j}"))
-    for x in std:
-        v = F.col(x).cast("double")
+            aggs.append(F.covar_pop(f"f{i}", f"f{j}").alias(f"c{i}_{j}"))
+    for j, x in enumerate(std):
+        v = F.col(f"z{j}")
         aggs += [F.avg(v).alias(f"zm_{x}"), F.stddev_pop(v).alias(f"zs_{x}"),
                  F.count(F.when(v.isNull() | F.isnan(v), F.lit(1))).alias(f"zn_{x}")]
-    row = df.agg(*aggs).first()
+    row = proj.agg(*aggs).first()
     n = int(row["n"])
     k = len(xs)
     if n == 0:
