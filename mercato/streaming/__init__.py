@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analytics this library re-expresses are batch computations over whole
+tables; the source project has no streams, watermarks or stateful
+operators, so none are provided here.  The seller and product aggregates
+are sums, counts, minima and maxima, which would merge incrementally if a
+streaming form were ever needed.
+"""
