@@ -139,3 +139,19 @@ def test_days_are_24h_in_any_session_zone(spark):
             assert r["m"] == 172800500000 / 2629746e6
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_null_keys_never_join(spark):
+    """Rows whose key is missing on both sides do not match (keys are non-null by contract)."""
+    t = make_tables(
+        spark,
+        orders=[order(None), order("o1")],
+        order_items=[item(None, 1, "p1", "s1"), item("o1", 1, "p1", "s1")],
+        order_reviews=[("r0", None, 5), ("r1", "o1", 4)],
+        customers=[("c1", "z1")],
+        sellers=[("s1", "z1", "c", "s")],
+        geolocation=[(1, "z1", -23.0, -46.0)],
+    )
+    got = O.order_training(t).collect()
+    assert [(r["order_id"], r["review_score"]) for r in got] == [("o1", 4)]
+    assert [r["order_id"] for r in O.order_distance(t).collect()] == ["o1"]
