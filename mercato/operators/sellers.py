@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from mercato.config import DEFAULT, EconomicsConfig
 from mercato.functions.exprs import (
+    DAY_MICROS,
     avg_months_between,
     days_between,
+    micros_between,
     positive_or_zero,
     round_half_even,
     star_flag,
@@ -40,31 +42,63 @@ def seller_features(tables: Tables) -> DataFrame:
     return tables["sellers"].drop("seller_zip_code_prefix").distinct()
 
 
-def _seller_order_timing(tables: Tables) -> DataFrame:
-    """One aggregation over items joined to their orders, per seller:
-    delivered-item means of carrier delay and customer wait, and first and
-    last approval dates.  Means skip missing dates; min/max are the same
-    whether or not (order, seller) pairs are de-duplicated first.
+def _seller_item_aggregates(tables: Tables) -> DataFrame:
+    """Everything the seller table needs from the items, in one aggregation.
+
+    Orders are first reduced to one row per ``order_id`` that keeps what
+    the item-level formulas need from all of that order's rows (row counts
+    and sums over the delivered rows, first and last approval).  Each item
+    then meets at most one such row (a left join), so item counts and sales
+    are those of the items alone, while delay and wait are the item-weighted
+    means over items joined to delivered order rows, with the multiplicity
+    of duplicated order rows kept as weights.  One scan and one shuffle of
+    the items (on ``order_id``) serve timing, quantities and sales; the
+    distinct order count reuses that partitioning.
     """
     delivered = F.col("order_status") == "delivered"
-    delay = days_between("shipping_limit_date", "order_delivered_carrier_date")
-    wait = days_between("order_purchase_timestamp", "order_delivered_customer_date")
-    orders = tables["orders"].select(
-        "order_id", "order_status", "order_purchase_timestamp", "order_approved_at",
-        "order_delivered_carrier_date", "order_delivered_customer_date",
+    epoch = F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    carrier = micros_between(epoch, F.col("order_delivered_carrier_date"))
+    per_order = tables["orders"].groupBy("order_id").agg(
+        F.count(F.when(delivered, F.lit(1))).alias("n_delivered"),
+        F.count(F.when(delivered, carrier)).alias("n_carrier"),
+        F.sum(F.when(delivered, carrier)).alias("sum_carrier"),
+        F.count(F.when(delivered, days_between("order_purchase_timestamp", "order_delivered_customer_date")))
+        .alias("n_wait"),
+        F.sum(F.when(delivered, days_between("order_purchase_timestamp", "order_delivered_customer_date")))
+        .alias("sum_wait"),
+        F.min("order_approved_at").alias("first_approved"),
+        F.max("order_approved_at").alias("last_approved"),
     )
+    limit = micros_between(epoch, F.col("shipping_limit_date"))
+    # sum over this item's delivered order rows of (carrier - limit), and how many such rows
+    delay_weight = F.when(limit.isNotNull(), F.col("n_carrier")).otherwise(F.lit(0))
+    delay_sum = F.when(
+        limit.isNotNull() & (F.col("n_carrier") > 0), F.col("sum_carrier") - F.col("n_carrier") * limit
+    ) / F.lit(float(DAY_MICROS))
     return (
         tables["order_items"]
-        .select("order_id", "seller_id", "shipping_limit_date")
+        .select("order_id", "seller_id", "shipping_limit_date", "price")
         .where(F.col("seller_id").isNotNull())
-        .join(orders, "order_id")
+        .join(per_order, "order_id", "left")
         .groupBy("seller_id")
         .agg(
-            F.count(F.when(delivered, F.lit(1))).alias("n_delivered_items"),
-            F.avg(F.when(delivered, delay)).alias("mean_delay"),
-            F.avg(F.when(delivered, wait)).alias("wait_time"),
-            F.min("order_approved_at").alias("date_first_sale"),
-            F.max("order_approved_at").alias("date_last_sale"),
+            F.count_distinct("order_id").alias("n_orders"),
+            F.count("order_id").alias("quantity"),
+            sum_or_zero("price").alias("sales"),
+            F.coalesce(F.sum("n_delivered"), F.lit(0)).alias("n_delivered_items"),
+            F.sum(delay_sum).alias("delay_sum"),
+            F.sum(delay_weight).alias("delay_n"),
+            F.sum("sum_wait").alias("wait_sum"),
+            F.sum("n_wait").alias("wait_n"),
+            F.min("first_approved").alias("date_first_sale"),
+            F.max("last_approved").alias("date_last_sale"),
+        )
+        .withColumns(
+            {
+                "mean_delay": F.try_divide(F.col("delay_sum"), F.col("delay_n").cast("double")),
+                "wait_time": F.try_divide(F.col("wait_sum"), F.col("wait_n").cast("double")),
+                "quantity_per_order": F.try_divide(F.col("quantity"), F.col("n_orders")),
+            }
         )
     )
 
@@ -74,7 +108,7 @@ def seller_delay_wait(tables: Tables) -> DataFrame:
     positive or missing) and ``wait_time`` (mean days to the customer), over
     the items of delivered orders; item-weighted."""
     return (
-        _seller_order_timing(tables)
+        _seller_item_aggregates(tables)
         .where(F.col("n_delivered_items") > 0)
         .select("seller_id", positive_or_zero("mean_delay").alias("delay_to_carrier"), "wait_time")
     )
@@ -84,7 +118,7 @@ def seller_active_dates(tables: Tables) -> DataFrame:
     """First and last approval date of the seller's orders and the rounded
     number of average-length months between them."""
     return (
-        _seller_order_timing(tables)
+        _seller_item_aggregates(tables)
         .where(F.col("date_first_sale").isNotNull())
         .select(
             "seller_id",
@@ -97,17 +131,7 @@ def seller_active_dates(tables: Tables) -> DataFrame:
 
 def seller_item_stats(tables: Tables) -> DataFrame:
     """``n_orders`` (distinct), ``quantity`` (item rows), ``quantity_per_order``, ``sales``."""
-    return (
-        tables["order_items"]
-        .where(F.col("seller_id").isNotNull())
-        .groupBy("seller_id")
-        .agg(
-            F.count_distinct("order_id").alias("n_orders"),
-            F.count("order_id").alias("quantity"),
-            sum_or_zero("price").alias("sales"),
-        )
-        .withColumn("quantity_per_order", F.try_divide(F.col("quantity"), F.col("n_orders")))
-    )
+    return _seller_item_aggregates(tables).select("seller_id", "n_orders", "quantity", "sales", "quantity_per_order")
 
 
 def seller_quantity(tables: Tables) -> DataFrame:
@@ -198,24 +222,26 @@ def seller_training(
 ) -> DataFrame:
     """Features, delay and wait, active dates, quantities, sales, profits and
     review shares per seller (18 columns)."""
-    timing = _seller_order_timing(tables)
-    stats = seller_item_stats(tables)
-    # Timing and item statistics are each computed once and feed both the
-    # feature columns and the revenue, so the plan aggregates the items once per kind.
+    # One aggregate over the items gives timing, active dates, quantities and
+    # sales; it feeds both the feature columns and the revenue.
+    items = _seller_item_aggregates(tables)
     df = (
         seller_features(tables)
         .join(
-            timing.where((F.col("n_delivered_items") > 0) & F.col("date_first_sale").isNotNull()).select(
+            items.where((F.col("n_delivered_items") > 0) & F.col("date_first_sale").isNotNull()).select(
                 "seller_id",
                 positive_or_zero("mean_delay").alias("delay_to_carrier"),
                 "wait_time",
                 "date_first_sale",
                 "date_last_sale",
                 round_half_even(avg_months_between("date_first_sale", "date_last_sale")).alias("months_on_olist"),
+                "n_orders",
+                "quantity",
+                "quantity_per_order",
+                "sales",
             ),
             "seller_id",
         )
-        .join(stats, "seller_id")
         .withColumn("revenue", revenue_expr(cfg))
         .join(seller_review_costs(tables, cfg, orders), "seller_id")
         .withColumn("profits", F.col("revenue") - F.col("review_costs"))

@@ -111,3 +111,20 @@ def test_product_wait_counts_each_order_once(tables):
     assert w["p1"]["wait_time"] == 6.0
     s = by(P.product_item_stats(tables), "product_id")
     assert (s["p1"]["n_orders"], s["p1"]["quantity"], s["p1"]["sales"]) == (2, 3, 30.0)
+
+
+def test_duplicated_order_rows_keep_their_weight(spark):
+    """An order listed twice counts twice in the delay and wait means (as a
+    row-wise join does) but its items are counted once in quantities and sales."""
+    t = make_tables(
+        spark,
+        orders=[order("o1", carrier=4, delivered=6), order("o1", carrier=2, delivered=3),
+                order("o2", carrier=1, delivered=2)],
+        order_items=[item("o1", 1, "p", "s", limit=2, price=10.0), item("o2", 1, "p", "s", limit=2, price=5.0)],
+    )
+    d = S.seller_delay_wait(t).first()
+    # item of o1 meets two order rows: delays 2 and 0; item of o2: -1  -> mean 1/3
+    assert d["delay_to_carrier"] == pytest.approx(1 / 3)
+    assert d["wait_time"] == pytest.approx((6 + 3 + 2) / 3)
+    q = S.seller_item_stats(t).first()
+    assert (q["n_orders"], q["quantity"], q["sales"]) == (2, 2, 15.0)
