@@ -42,6 +42,9 @@ class OlsModel:
     # regressors enter as (x - shift) / scale; identity unless fitted on z-scores
     x_shift: np.ndarray | None = field(default=None, repr=False)
     x_scale: np.ndarray | None = field(default=None, repr=False)
+    # raw range of each regressor over the fitted rows
+    x_min: np.ndarray | None = field(default=None, repr=False)
+    x_max: np.ndarray | None = field(default=None, repr=False)
 
     @property
     def names(self) -> list[str]:
@@ -145,6 +148,8 @@ def fit(
         *[F.col(x).cast("double").alias(f"z{j}") for j, x in enumerate(std)],
     )
     aggs = [F.count("ok").alias("n")] + [F.avg(f"f{i}").alias(f"m{i}") for i in range(len(cols))]
+    aggs += [F.min(f"f{i}").alias(f"lo{i}") for i in range(1, len(cols))]
+    aggs += [F.max(f"f{i}").alias(f"hi{i}") for i in range(1, len(cols))]
     for i in range(len(cols)):
         for j in range(i, len(cols)):
             aggs.append(F.covar_pop(f"f{i}", f"f{j}").alias(f"c{i}_{j}"))
@@ -212,8 +217,10 @@ def fit(
     ssr = max(ssr, 0.0)
     df_resid = n - rank
     sigma2 = ssr / df_resid if df_resid > 0 else float("nan")
+    x_min = np.array([row[f"lo{i}"] for i in range(1, k + 1)], dtype=float)
+    x_max = np.array([row[f"hi{i}"] for i in range(1, k + 1)], dtype=float)
     return OlsModel(y, list(xs), n, beta, sigma2 * XtX_inv, rank, ssr, n * vy, mux, alpha,
-                    shift if std else None, scale_x if std else None)
+                    shift if std else None, scale_x if std else None, x_min, x_max)
 
 
 def _rows_df(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -342,9 +349,8 @@ def ols_summary(df: DataFrame, model: OlsModel, order_by: list[str] | None = Non
 def regression_line(df: DataFrame, y: str, x: str, points: int = 100, level: float = 0.95) -> DataFrame:
     """Fitted line of ``y`` on ``x`` over the data range of ``x`` with a
     confidence band for the mean: ``point, x, fitted, ci_low, ci_high``."""
-    model = fit(df, y, [x], alpha=1.0 - level)
-    rng = _clean(df, [y, x]).agg(F.min(F.col(x).cast("double")).alias("lo"), F.max(F.col(x).cast("double")).alias("hi")).first()
-    lo, hi = float(rng["lo"]), float(rng["hi"])
+    model = fit(df, y, [x], alpha=1.0 - level)  # one pass: moments and the range of x
+    lo, hi = float(model.x_min[0]), float(model.x_max[0])
     step = (hi - lo) / (points - 1) if points > 1 else 0.0
     a, b = (float(v) for v in model.params)
     V = model.cov_params
