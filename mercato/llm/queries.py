@@ -40,3 +40,23 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.bpe import encode_documents
 
     return encode_documents(read(spark, sf_dir, "documents"), word_vocabulary())
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from mercato.llm.mixing import mix
+
+    mixed = mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", F.length("text").cast("long").alias("n_chars"), F.col("_copies").alias("copies"), F.col("_copy").alias("copy"), F.col("_place").alias("place"), "text")
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from mercato.llm.simhash_cover import near_duplicates
+
+    found = near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
