@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.common import partitions
+
 #: Bound of the training sample: documents of each language, and languages.
 PER_LANG, MAX_LANGS = 600, 200
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 14, 16, 6, 2.0
@@ -202,7 +204,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         share = F.when(F.col(lang_col).cast("string") == r["lang"], F.lit(min(1 << 30, int((1 << 30) * PER_LANG / r["count"])))).otherwise(share)
     calibrates = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("calibration")), F.lit(4)) == 0
     sample = (known.where(draw < share).select(F.col(lang_col).cast("string").alias("lang"), calibrates.alias("calibrates"), F.col(text_col).cast("string").alias("text"))
-              .limit(2 * PER_LANG * len(sizes)))
+              .limit(2 * PER_LANG * len(sizes)).repartition(partitions(docs.sparkSession)))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

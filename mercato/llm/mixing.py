@@ -105,16 +105,15 @@ def oracle_sql(seed: int = SEED) -> str:
       union all
       select source, k + 1, term * mean / (k + 1), total + term * mean / (k + 1), mean from cdf where k < {TERMS}),
     draw as (
-      select doc_id, source, '{seed}|' || coalesce(doc_id::varchar, '') || '|' || md5(coalesce(text, '')) as key,
+      select doc_id, source, text, '{seed}|' || coalesce(doc_id::varchar, '') || '|' || md5(coalesce(text, '')) as key,
              length(text) as chars, j
       from documents join parts using (source), range(1, 1 + (select max(parts) from parts)) r(j) where j <= parts),
     hit as (
-      select doc_id, source, key, chars, j, ('0x' || substr(md5(key || '|draw|' || j), 1, 13))::bigint::double / {2.0**52} as u from draw),
+      select doc_id, source, text, key, chars, j, ('0x' || substr(md5(key || '|draw|' || j), 1, 13))::bigint::double / {2.0**52} as u from draw),
     copies as (
-      select doc_id, source, key, chars, (select 0) as z,
-             sum((select count(*) from cdf c where c.source = hit.source and c.total <= hit.u))::int as n
+      select doc_id, source, text, key, chars, sum((select count(*) from cdf c where c.source = hit.source and c.total <= hit.u))::int as n
       from hit group by all)
     select doc_id, source, chars as n_chars, n as copies, i::int as copy,
-           ('0x' || substr(md5(key || '|place|' || i), 1, 13))::bigint::double / {2.0**52} as place
+           ('0x' || substr(md5(key || '|place|' || i), 1, 13))::bigint::double / {2.0**52} as place, text
     from copies, range(0, (select max(n) from copies)) c(i) where i < n
     """

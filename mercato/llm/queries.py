@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mercato.llm import divergence, mixing, perspectives
 from mercato.llm.common import read
 
 QUERIES = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": mixing.oracle_sql(),
+    "op2_quality_divergence": divergence.oracle_sql(),
+    "op6_perspectives": perspectives.oracle_sql(),
+}
 
 
 def query(fn):
@@ -46,9 +51,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from mercato.llm.mixing import mix
-
-    mixed = mix(read(spark, sf_dir, "documents"))
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", F.length("text").cast("long").alias("n_chars"), F.col("_copies").alias("copies"), F.col("_copy").alias("copy"), F.col("_place").alias("place"), "text")
 
 
@@ -60,3 +63,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.secret_scan import summary
+
+    return summary(read(spark, sf_dir, "documents"))
