@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import divergence, mixing, perspectives
+from mercato.llm import divergence, mixing, perspectives, substring_dedup
 from mercato.llm.common import read
 
 QUERIES = {}
@@ -12,6 +12,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.oracle_sql(),
     "op2_quality_divergence": divergence.oracle_sql(),
     "op6_perspectives": perspectives.oracle_sql(),
+    "op7_substring_dedup": substring_dedup.oracle_sql(),
 }
 
 
@@ -80,3 +81,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.secret_scan import summary
 
     return summary(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.drop_repeated_substrings(read(spark, sf_dir, "documents"))
