@@ -1 +1,163 @@
-"""Line dedup."""
+"""Line dedup: of all lines that (nearly) repeat each other the first one stays.
+
+Equal lines (without the white space at their ends) are one line with a count
+from the first shuffle on.  A line's shingles are the ``SHINGLE`` characters
+from each word's start on; its signature holds, for each of ``BANDS`` times
+``ROWS`` random masks, the smallest masked hash.  Lines that agree in all rows
+of a band share a bucket.
+
+Candidates are verified by the exact Jaccard similarity of their shingles, in
+two steps that together cover every pair of a bucket without listing them
+all.  First each line is compared with its bucket's most frequent one; what
+this links, a distributed union-find joins.  Then only pairs of a bucket whose
+lines are still in different components are looked at, and of these only such
+as an exact bound from 256-bit maps of their shingles leaves possible.  Pairs
+inside a component need no comparison: they could not change it.
+
+DataFrame functions only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from mercato.llm.common import SPACES
+from mercato.llm.components import connected_components
+from mercato.plans.lineage import materialize
+
+#: Lines with fewer characters are structure, not content, and always stay.
+LEAST = 20
+SHINGLE, SIMILARITY = 16, 0.8
+BANDS, ROWS = 6, 2
+MAPS, SALTS = 4, 8
+# From each word's start on up to SHINGLE characters, without moving past them.
+PATTERN = rf"(?s)(?<!\S)(?=(\S.{{0,{SHINGLE - 1}}}))"
+
+
+def masks(n: int) -> list[int]:
+    """Constants whose exclusive or with a hash gives n different random orders (a fixed linear recurrence)."""
+    out, x = [], 0x2545F4914F6CDD1D
+    for _ in range(n):
+        x = (x * 6364136223846793005 + 1442695040888963407) % 2**64
+        out.append((x ^ (x >> 33)) - 2**63)
+    return out
+
+
+def shingles(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(PATTERN), F.lit(1))
+
+
+def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, of, no, line, id``: every line that is long enough, where it stands, and its hash.
+
+    A document is known by its id and its text's hash (``of``); lines are numbered from 0.
+    """
+    text = F.col(text_col).cast("string")
+    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("of"), F.posexplode(F.split(text, "\n", -1)).alias("no", "raw"))
+    trimmed = lines.select("doc_id", "of", "no", F.btrim("raw", F.lit(SPACES)).alias("line")).where(F.length("line") >= LEAST)
+    return trimmed.withColumn("id", F.xxhash64("line"))
+
+
+def place() -> Column:
+    """Sorts by id (none last), then text, then line number."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "of", "no")
+
+
+def candidates(lines: DataFrame) -> DataFrame:
+    """``id, n, first, line, buckets`` of every line that occurs again or shares a bucket; a bucket is (bucket, hub)."""
+    distinct = lines.groupBy("id").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("n"), F.min(place()).alias("first"))
+    hashes = distinct.select("id", "n", F.explode(shingles(F.col("line"))).alias("s")).select("id", "n", F.xxhash64("s").alias("h"))
+    signed = hashes.groupBy("id").agg(F.max("n").alias("n"), *[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(masks(BANDS * ROWS))])
+    banded = signed.select("id", "n", F.explode(F.array(*[
+        F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])).alias("bucket"))
+    bucket = Window.partitionBy("bucket")
+    shared = (banded.withColumns({"hub": F.max(F.struct("n", "id")).over(bucket), "size": F.count(F.lit(1)).over(bucket)})
+              .where(F.col("size") > 1).select("id", F.struct("bucket", F.col("hub.id").alias("hub")).alias("b")))
+    buckets = shared.groupBy("id").agg(F.collect_list("b").alias("buckets"))  # at most BANDS of a line
+    return (distinct.join(buckets, "id", "left").where((F.col("n") > 1) | F.col("buckets").isNotNull())
+            .select("id", "n", "first", F.when(F.col("buckets").isNotNull(), F.col("line")).alias("line"), "buckets"))
+
+
+def verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are similar enough."""
+    sets = known.where(F.col("line").isNotNull()).select("id", F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s))).alias("s"))
+    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("s_a")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b"))
+    counted = both.select("a", "b", F.size("s_a").alias("n_a"), F.size("s_b").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).alias("n"))
+    return counted.where(F.col("n") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("n"))).select("a", "b")
+
+
+def remaining_pairs(known: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of a bucket in different components that the 256-bit maps don't rule out."""
+    s = F.array_distinct(F.transform(shingles(F.col("line")), lambda x: F.xxhash64(x)))
+    sized = known.where(F.col("line").isNotNull()).select("id", "buckets", s.alias("s"))
+
+    def bits(k: int) -> Column:
+        """The k-th map: bit h / 4 modulo 64 for every hash h that is k modulo 4."""
+        def put(acc: Column, h: Column) -> Column:
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 2), F.lit(64)).cast("int"))
+            return F.when(F.pmod(h, F.lit(MAPS)) == k, acc.bitwiseOR(bit)).otherwise(acc)
+
+        return F.aggregate("s", F.lit(0).cast("long"), put)
+
+    maps = [bits(k).alias(f"x{k}") for k in range(MAPS)]
+    rows = (sized.select("id", "buckets", F.size("s").alias("size"), *maps)
+            .join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+            .select("id", "root", "size", *[f"x{k}" for k in range(MAPS)], F.explode("buckets.bucket").alias("bucket")))
+    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
+    open_rows = rows.join(mixed, "bucket")
+    a = open_rows.select(*[F.col(c).alias(f"{c}_a") for c in open_rows.columns]).withColumn("salt_a", F.pmod(F.xxhash64("id_a"), F.lit(SALTS)).cast("int"))
+    b = open_rows.select(*[F.col(c).alias(f"{c}_b") for c in open_rows.columns]).withColumn("salt_b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+    def alone(x: str, y: str) -> Column:
+        """At least so many shingles of x that y lacks: bits of x's maps that y's do not have."""
+        return sum((F.bit_count(F.col(f"x{k}_{x}").bitwiseAND(F.bitwise_not(F.col(f"x{k}_{y}")))) for k in range(1, MAPS)),
+                   F.bit_count(F.col(f"x0_{x}").bitwiseAND(F.bitwise_not(F.col(f"x0_{y}")))))
+
+    most = F.least(F.col("size_a") - alone("a", "b"), F.col("size_b") - alone("b", "a"))
+    on = ((F.col("bucket_a") == F.col("bucket_b")) & (F.col("salt_a") == F.col("salt_b")) & (F.col("root_a") < F.col("root_b"))
+          & (most >= F.lit(similarity) * (F.col("size_a") + F.col("size_b") - most)))
+    return a.join(b, on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def repeated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, of, gone``: of each document with lines to remove their numbers."""
+    lines = judged_lines(docs, id_col, text_col)
+    known = materialize(candidates(lines))
+    stars = known.where(F.col("buckets").isNotNull()).select("id", F.explode("buckets.hub").alias("hub")).where(F.col("id") != F.col("hub"))
+    near = materialize(verified(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), known, similarity))
+    roots = materialize(connected_components(near))
+    more = verified(remaining_pairs(known, roots, similarity), known, similarity)
+    roots = materialize(connected_components(near.unionByName(more)))
+    grouped = known.select("id", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    firsts = grouped.groupBy("root").agg(F.min("first").alias("stays"))
+    verdicts = materialize(grouped.join(firsts, "root").select("id", "stays"))
+    # a line that a third of all documents have is spread over salts
+    told = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    where = lines.drop("line").withColumn("salt", F.pmod(F.xxhash64("of", "no"), F.lit(SALTS)).cast("int"))
+    gone = where.join(told, ["id", "salt"]).where(place() != F.col("stays"))
+    return gone.groupBy("doc_id", "of").agg(F.collect_set("no").alias("gone"))
+
+
+def drop_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
+    """The documents, all columns as they are, with the text of the lines that stay; ``n_chars``, if there, follows the text.
+
+    Of each component of (nearly) equal lines the first stays, in order of
+    id, text and line number.  Blank lines and lines of under ``LEAST``
+    characters stay.  Null texts stay null, empty ones empty; a document all
+    of whose lines go keeps an empty text.  Null ids come last.  Rows with the
+    same id and text are one document here and are treated alike.  With
+    ``counts`` the columns ``_n_lines`` and ``_n_removed`` are added.
+    """
+    found = repeated(docs, similarity, id_col, text_col).select(F.col("doc_id").alias("_gone_id"), F.col("of").alias("_gone_of"), F.col("gone").alias("_gone"))
+    text = F.col(text_col).cast("string")
+    keyed = docs.withColumn("_of", F.xxhash64(text))
+    joined = keyed.join(found, keyed[id_col].cast("long").eqNullSafe(found["_gone_id"]) & (keyed["_of"] == found["_gone_of"]), "left")
+    split = joined.withColumn("_lines", F.split(text, "\n", -1))
+    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")))
+    cut = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda k: F.get("_lines", k)), "\n"))
+    out = split.withColumn("_kept", cut)
+    columns = [F.col("_kept").alias(c) if c == text_col else F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.length("_kept").cast("long")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    extra = [F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("_n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_n_removed")] if counts else []
+    return out.select(*columns, *extra)

@@ -86,3 +86,13 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.drop_repeated_substrings(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from mercato.llm.line_dedup import drop_repeated_lines
+
+    done = drop_repeated_lines(read(spark, sf_dir, "documents"), counts=True)
+    return done.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "n_chars", "text")
