@@ -141,10 +141,6 @@ def chi2_sf_2df(x: float) -> float:
     return math.exp(-x / 2.0) if x > 0 else 1.0
 
 
-def normal_two_sided_p(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2.0))
-
-
 def skewness_z(skew: float, n: int) -> float:
     """D'Agostino's normal approximation for the sample skewness (n >= 8)."""
     y = skew * math.sqrt((n + 1.0) * (n + 3.0) / (6.0 * (n - 2.0)))

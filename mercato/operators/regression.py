@@ -45,6 +45,7 @@ class OlsModel:
     # raw range of each regressor over the fitted rows
     x_min: np.ndarray | None = field(default=None, repr=False)
     x_max: np.ndarray | None = field(default=None, repr=False)
+    residual_mean: float = 0.0
 
     @property
     def names(self) -> list[str]:
@@ -81,17 +82,21 @@ class OlsModel:
 
     @property
     def adj_r2(self) -> float:
-        return 1.0 - (self.n - 1) / self.df_resid * (1.0 - self.r2)
+        return 1.0 - (self.n - 1) / self.df_resid * (1.0 - self.r2) if self.df_resid > 0 else float("nan")
 
     @property
     def fvalue(self) -> float:
-        if self.df_model <= 0 or self.ssr <= 0:
+        if self.df_model <= 0 or self.df_resid <= 0:
             return float("nan")
+        if self.ssr <= 0:  # a perfect fit; nothing to fit at all if there is no spread either
+            return float("inf") if self.centered_tss > 0 else float("nan")
         return ((self.centered_tss - self.ssr) / self.df_model) / (self.ssr / self.df_resid)
 
     @property
     def llf(self) -> float:
         n = self.n
+        if self.ssr <= 0:
+            return float("inf")
         return -n / 2.0 * math.log(2.0 * math.pi) - n / 2.0 * math.log(self.ssr / n) - n / 2.0
 
     def regressor(self, j: int) -> Column:
@@ -124,6 +129,7 @@ def fit(
     rcond: float = RCOND,
     alpha: float = 0.05,
     standardize: list[str] | None = None,
+    with_range: bool = False,
 ) -> OlsModel:
     """Fit ``y ~ 1 + xs`` on the rows where ``y`` and every ``x`` are present.
 
@@ -132,6 +138,7 @@ def fit(
     is affine, so the z-score moments follow from the raw ones and the fit
     still takes one aggregation pass.  A standardised column that has missing
     values (its z-scores would all be missing) or no spread cannot be fitted.
+    ``with_range`` also takes the range of each regressor in the same pass.
     """
     cols = [y] + list(xs)
     std = [x for x in xs if x in set(standardize or [])]
@@ -148,8 +155,8 @@ def fit(
         *[F.col(x).cast("double").alias(f"z{j}") for j, x in enumerate(std)],
     )
     aggs = [F.count("ok").alias("n")] + [F.avg(f"f{i}").alias(f"m{i}") for i in range(len(cols))]
-    aggs += [F.min(f"f{i}").alias(f"lo{i}") for i in range(1, len(cols))]
-    aggs += [F.max(f"f{i}").alias(f"hi{i}") for i in range(1, len(cols))]
+    if with_range:
+        aggs += [f(f"f{i}").alias(f"{name}{i}") for i in range(1, len(cols)) for name, f in (("lo", F.min), ("hi", F.max))]
     for i in range(len(cols)):
         for j in range(i, len(cols)):
             aggs.append(F.covar_pop(f"f{i}", f"f{j}").alias(f"c{i}_{j}"))
@@ -217,10 +224,9 @@ def fit(
     ssr = max(ssr, 0.0)
     df_resid = n - rank
     sigma2 = ssr / df_resid if df_resid > 0 else float("nan")
-    x_min = np.array([row[f"lo{i}"] for i in range(1, k + 1)], dtype=float)
-    x_max = np.array([row[f"hi{i}"] for i in range(1, k + 1)], dtype=float)
+    x_min, x_max = (np.array([row[f"{name}{i}"] for i in range(1, k + 1)], dtype=float) if with_range else None for name in ("lo", "hi"))
     return OlsModel(y, list(xs), n, beta, sigma2 * XtX_inv, rank, ssr, n * vy, mux, alpha,
-                    shift if std else None, scale_x if std else None, x_min, x_max)
+                    shift if std else None, scale_x if std else None, x_min, x_max, resid_mean)
 
 
 def _rows_df(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -287,6 +293,13 @@ def ols_error(scored: DataFrame) -> DataFrame:
     )
 
 
+def model_error(df: DataFrame, model: OlsModel) -> DataFrame:
+    """``ols_error`` of a model over the rows it was fitted on, from the fit's own moments: no further pass."""
+    mse = model.ssr / model.n
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in ("residual_mean", "mse", "rmse")])
+    return _rows_df(df, [(float(model.residual_mean), float(mse), math.sqrt(mse))], schema)
+
+
 SUMMARY_COLUMNS = [
     ("n", T.LongType()), ("df_model", T.LongType()), ("df_resid", T.LongType()), ("r2", T.DoubleType()),
     ("adj_r2", T.DoubleType()), ("f_stat", T.DoubleType()), ("prob_f", T.DoubleType()),
@@ -300,18 +313,13 @@ SUMMARY_COLUMNS = [
 def durbin_watson(scored: DataFrame, order_by: list[str]) -> float | None:
     """sum((e_t - e_(t-1))^2) / sum(e_t^2) with rows ordered by ``order_by``.
 
-    Rows are ranked without a single-task window (``ranked_prefix_sums``)
-    and each residual meets its predecessor through an equi-join on the
-    rank, a unique key, so no task holds more than its share of rows.
-    Rows tied on ``order_by`` should have equal residuals for a defined answer.
+    Rows are ranked without a single-task window (``ranked_prefix_sums``),
+    which also hands each row the residual of the one before.  Rows tied on
+    ``order_by`` should have equal residuals for a defined answer.
     """
-    ranked, _ = ranked_prefix_sums(scored.select(*order_by, "residual"), order_by, [])
-    r = ranked.select("rank", "residual")
-    previous = r.select((F.col("rank") + 1).alias("rank"), F.col("residual").alias("previous"))
-    d = F.col("residual") - F.col("previous")
-    row = r.join(previous, "rank", "left").agg(
-        F.sum(d * d).alias("num"), F.sum(F.col("residual") * F.col("residual")).alias("den")
-    ).first()
+    ranked, _ = ranked_prefix_sums(scored.select(*order_by, "residual"), order_by, [], lag_cols=["residual"])
+    d = F.col("residual") - F.col("previous_residual")
+    row = ranked.agg(F.sum(d * d).alias("num"), F.sum(F.col("residual") * F.col("residual")).alias("den")).first()
     if row["den"] is None or row["den"] == 0:
         return None
     return float(row["num"] or 0.0) / float(row["den"])
@@ -349,7 +357,7 @@ def ols_summary(df: DataFrame, model: OlsModel, order_by: list[str] | None = Non
 def regression_line(df: DataFrame, y: str, x: str, points: int = 100, level: float = 0.95) -> DataFrame:
     """Fitted line of ``y`` on ``x`` over the data range of ``x`` with a
     confidence band for the mean: ``point, x, fitted, ci_low, ci_high``."""
-    model = fit(df, y, [x], alpha=1.0 - level)  # one pass: moments and the range of x
+    model = fit(df, y, [x], alpha=1.0 - level, with_range=True)  # one pass: moments and the range of x
     lo, hi = float(model.x_min[0]), float(model.x_max[0])
     step = (hi - lo) / (points - 1) if points > 1 else 0.0
     a, b = (float(v) for v in model.params)

@@ -54,8 +54,9 @@ def describe_column(df: DataFrame, col: str) -> DataFrame:
 
 
 def data_range(df: DataFrame, col: str) -> tuple[float, float]:
-    """``(min, max)`` of the column, widened by 0.5 each side when they are equal."""
-    r = df.agg(F.min(_num(col)).alias("lo"), F.max(_num(col)).alias("hi")).first()
+    """``(min, max)`` of the column without missing values, widened by 0.5 each side when they are equal."""
+    x = F.when(~F.isnan(_num(col)), _num(col))
+    r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     if lo is None:
         return 0.0, 1.0
@@ -132,32 +133,32 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: list[str] = ORDER_NUMERIC) -> DataFrame:
     """Pearson correlation of every ordered pair of ``cols`` as ``x, y, corr``.
 
-    Each row is unpivoted into one ``(pair, a, b)`` row per column pair and
-    the pairs are aggregated by a single ``groupBy``: rows where either value
-    is missing drop out of that pair only (pairwise complete), the partial
-    aggregate leaves one row per pair per task, and the plan stays small
-    however many columns there are.  A constant column gives null.
+    One aggregate over the rows as they are, one row per task: variances of the
+    columns, covariances and counts of the pairs.  Rows where either value is
+    missing drop out of that pair only (pairwise complete), so where a pair has
+    fewer rows than its columns a second aggregate takes the variances over
+    those rows.  A constant column gives null.
     """
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    q = [f"`{c}`" for c in cols]
-    stack = ", ".join(f"{n}, cast({q[i]} as double), cast({q[j]} as double)" for n, (i, j) in enumerate(pairs))
-    moments = (
-        df.selectExpr(f"stack({len(pairs)}, {stack}) as (pair, a, b)")
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b"))
-        .groupBy("pair")
-        .agg(F.covar_pop("a", "b").alias("cov"), F.var_pop("a").alias("va"), F.var_pop("b").alias("vb"))
-    )
-    den = F.sqrt(F.col("va") * F.col("vb"))
-    names = F.array(*[F.lit(c) for c in cols])
-    first = F.array(*[F.lit(i) for i, _ in pairs])[F.col("pair")]
-    second = F.array(*[F.lit(j) for _, j in pairs])[F.col("pair")]
-    forward = F.struct(names[first].alias("x"), names[second].alias("y"))
-    backward = F.struct(names[second].alias("x"), names[first].alias("y"))
-    # (a, b) and (b, a) share one aggregate; a diagonal pair is emitted once
-    both_ways = F.when(first == second, F.array(forward)).otherwise(F.array(forward, backward))
-    return moments.select(
-        F.when(den > 0, F.col("cov") / den).alias("corr"), F.explode(both_ways).alias("xy")
-    ).select("xy.x", "xy.y", "corr")
+    k = range(len(cols))
+    clean = df.select(*[F.when(~F.isnan(_num(c)), _num(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    both = lambda i, j: F.col(f"c{i}").isNotNull() & F.col(f"c{j}").isNotNull()
+    pairs = [(i, j) for i in k for j in k if i < j]
+    m = clean.agg(
+        *[F.count(f"c{i}").alias(f"n{i}") for i in k], *[F.var_pop(f"c{i}").alias(f"v{i}") for i in k],
+        *[F.count(F.when(both(i, j), F.lit(1))).alias(f"n{i}_{j}") for i, j in pairs],
+        *[F.covar_pop(f"c{i}", f"c{j}").alias(f"s{i}_{j}") for i, j in pairs],
+    ).first().asDict()
+    part = [(i, j) for i, j in pairs if not m[f"n{i}"] == m[f"n{j}"] == m[f"n{i}_{j}"]]
+    own = clean.agg(*[F.var_pop(F.when(both(i, j), F.col(f"c{x}"))).alias(f"v{i}_{j}_{x}") for i, j in part for x in (i, j)]).first().asDict() if part else {}
+
+    def corr(i: int, j: int) -> float | None:
+        i, j = min(i, j), max(i, j)
+        cov = m[f"v{i}"] if i == j else m[f"s{i}_{j}"]
+        a, b = (own.get(f"v{i}_{j}_{x}", m[f"v{x}"]) for x in (i, j))
+        return cov / math.sqrt(a * b) if cov is not None and a and b else None
+
+    schema = T.StructType([T.StructField("x", T.StringType()), T.StructField("y", T.StringType()), T.StructField("corr", T.DoubleType())])
+    return df.sparkSession.createDataFrame([(cols[i], cols[j], corr(i, j)) for i in k for j in k], schema)
 
 
 def zscore(df: DataFrame, cols: list[str] = ZSCORE_COLUMNS, nan_policy: str = "propagate") -> DataFrame:

@@ -64,22 +64,25 @@ def sellers_by_profit(sellers: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET
 
 
 def _curve_points(sellers: DataFrame, cfg: EconomicsConfig, rows_per_bucket: int):
-    """``Dropped_sellers, profit`` for 0..n dropped sellers.
+    """``Dropped_sellers, profit, next_profit`` for 0..n dropped sellers.
 
     Ranked from the most profitable seller down, the running sums at a
     seller are exactly what remains once every less profitable seller is
-    gone, so each point sums the remaining sellers directly.  The last
-    point (everyone dropped) is zero.
+    gone, and the sums before it what remains once it is gone as well, so
+    each row knows its point of the curve and the one that follows.  The last
+    point (everyone dropped) is zero and has none after it.
     """
     ranked, t = ranked_sellers(sellers, rows_per_bucket, descending=True)
     remaining = F.col("rank")
     points = ranked.select(
         (F.lit(t.n) - remaining).cast("bigint").alias("Dropped_sellers"),
         (F.col("cum_profits") - it_costs_expr(remaining, F.col("cum_quantity"), cfg)).alias("profit"),
+        (F.col("before_profits") - it_costs_expr(remaining - 1, F.col("before_quantity"), cfg)).alias("next_profit"),
     )
     everyone = sellers.sparkSession.range(1).select(
         F.lit(t.n).cast("bigint").alias("Dropped_sellers"),
         (F.lit(0.0) - it_costs_expr(F.lit(0), F.lit(0), cfg)).alias("profit"),
+        F.lit(None).cast("double").alias("next_profit"),
     )
     return points.unionByName(everyone), t
 
@@ -109,21 +112,27 @@ def whatif_greedy_optimum(
     profit (cents).  If profit never falls every seller is dropped (profit 0).
     """
     points, t = _curve_points(sellers, cfg, rows_per_bucket)
-    # pair each step with the one before it: an equi-join on the unique step number
-    before = points.select(
-        (F.col("Dropped_sellers") + 1).alias("Dropped_sellers"), F.col("profit").alias("previous_profit")
-    )
-    first_fall = (
-        points.join(before, "Dropped_sellers")
-        .where(F.col("profit") < F.col("previous_profit"))
-        .agg(F.min("Dropped_sellers").alias("i"), F.min_by("previous_profit", "Dropped_sellers").alias("p"))
-    )
+    k = F.col("Dropped_sellers")
+    first_fall = points.where(F.col("next_profit") < F.col("profit")).agg(F.min(k).alias("k"), F.min_by("profit", k).alias("p"))
     return first_fall.select(
-        F.coalesce(F.col("i") - 1, F.lit(t.n).cast("bigint")).alias("Dropped_sellers"),
+        F.coalesce(F.col("k"), F.lit(t.n).cast("bigint")).alias("Dropped_sellers"),
         round_half_even(F.coalesce(F.col("p"), F.lit(0.0)), 2).alias("Profit"),
     )
 
 
+def whatif_greedy_log(
+    sellers: DataFrame, cfg: EconomicsConfig = DEFAULT, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """The steps a greedy removal goes through: the baseline, every step that
+    does not lower the profit, and the first one that does (``Dropped_sellers,
+    Profit``); all steps if the profit never falls."""
+    points, t = _curve_points(sellers, cfg, rows_per_bucket)
+    k = F.col("Dropped_sellers")
+    stop = points.where(F.col("next_profit") < F.col("profit")).agg(F.min(k).alias("k")).first()["k"]
+    shown = points if stop is None else points.where(k <= stop + 1)
+    return shown.select("Dropped_sellers", round_half_even("profit", 2).alias("Profit"))
+
+
 def whatif_global_optimum(
     sellers: DataFrame, cfg: EconomicsConfig = DEFAULT, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:

@@ -1,14 +1,15 @@
 """DuckDB SQL oracles, one per registered query.
 
-Each oracle is written independently of the Spark code, from the operator
-definitions, over the same mapped tables (``mercato.sources.fixture``).
+Each oracle states the operator's definition directly (an edge list, a sum per
+step, elimination of the normal equations), over the same mapped tables
+(``mercato.sources.fixture``) and, for doubles, with the same final snapping.
 Building blocks are SQL fragments (CTE bodies) composed per query.
 """
 
 from __future__ import annotations
 
 from mercato.compare import canonical_sql
-from mercato.sources.fixture import oracle_ctes
+from mercato.sources.fixture import CTE_NAMES, oracle_ctes
 
 DAY = "86400000000.0"
 MONTH = "2629746000000.0"
@@ -77,7 +78,7 @@ TRAINING_DEPS = ["wait", "rev", "istats", "geo", "idist", "dist", "training"]
 
 
 def with_fragments(names: list[str], body: str) -> str:
-    return oracle_ctes() + ",\n" + ",\n".join(F[n].strip() for n in names) + "\n" + body
+    return oracle_ctes() + "".join(",\n" + F[n].strip() for n in names) + "\n" + body
 
 
 ORACLES: dict[str, tuple[str, list[str]]] = {}
@@ -106,6 +107,22 @@ register("order_training", TRAINING_DEPS, "select * from training",
           "distance_seller_customer"])
 
 
+F["wait_any"] = F["wait"].replace(" where order_status = 'delivered'", "")
+F["istats_distinct"] = F["istats"].replace("count(seller_id)", "count(distinct seller_id)")
+_no_distance = F["training"].replace("price, freight_value, distance_seller_customer", "price, freight_value").replace(" join dist using (order_id)", "").replace("\n    and distance_seller_customer is not null", "")
+_DOUBLES = ["wait_time", "expected_wait_time", "delay_vs_expected", "price", "freight_value"]
+
+
+def swapped(old: str, new: str) -> list[str]:
+    return [new if d == old else d for d in TRAINING_DEPS]
+
+
+F["training_without_distance"] = _no_distance
+register("order_training_any_status", swapped("wait", "wait_any"), "select * from training", [*_DOUBLES, "distance_seller_customer"])
+register("order_training_without_distance", ["wait", "rev", "istats", "training_without_distance"], "select * from training", _DOUBLES)
+register("order_training_distinct_sellers", swapped("istats", "istats_distinct"), "select * from training", [*_DOUBLES, "distance_seller_customer"])
+register("order_number_sellers_distinct", ["istats_distinct"], "select order_id, number_of_sellers from istats", [])
+
 # ---------------------------------------------------------------- products
 F["pfeat"] = """
 pfeat as (
@@ -243,18 +260,17 @@ wtot as (select count(*) as n, coalesce(sum(profits), 0.0) as p, coalesce(sum(qu
 F["wrank"] = """
 wrank as (
   select seller_id, profits, quantity, row_number() over (order by profits, seller_id) as k from strain)"""
-F["wdesc"] = """
-wdesc as (
-  select d, sum(profits) over w as cp, sum(quantity) over w as cq
-  from (select profits, quantity, row_number() over (order by profits desc, seller_id desc) as d from strain) x
-  window w as (order by d rows between unbounded preceding and current row))"""
 F["wcurve"] = f"""
 wcurve as (
-  select cast(wtot.n - d as bigint) as Dropped_sellers, cp - {it_sql('d', 'cq')} as profit from wdesc, wtot
-  union all
-  select cast(n as bigint), 0.0 - {it_sql('0', '0')} from wtot)"""
+  select cast(j as bigint) as Dropped_sellers,
+    coalesce(sum(profits) filter (where k > j), 0.0)
+      - {it_sql('count(*) filter (where k > j)', 'coalesce(sum(quantity) filter (where k > j), 0)')} as profit
+  from wrank, range((select n + 1 from wtot)) steps(j) group by j),
+wfall as (
+  select min(Dropped_sellers) as k from (
+    select Dropped_sellers, profit, lag(profit) over (order by Dropped_sellers) as before from wcurve) w where profit < before)"""
 
-WHATIF_DEPS = SELLER_TRAINING_DEPS + ["wtot", "wdesc", "wcurve"]
+WHATIF_DEPS = SELLER_TRAINING_DEPS + ["wtot", "wrank", "wcurve"]
 
 
 def cents(x: str) -> str:
@@ -274,10 +290,11 @@ register("sellers_by_profit", SELLER_TRAINING_DEPS + ["wrank"],
 register("whatif_curve", WHATIF_DEPS,
          f"select Dropped_sellers, {cents('profit')} as Profit from wcurve", ["Profit"])
 register("whatif_greedy_optimum", WHATIF_DEPS,
-         f"""select coalesce(min(c.Dropped_sellers) - 1, (select n from wtot)) as Dropped_sellers,
-               {cents('coalesce(arg_min(b.profit, c.Dropped_sellers), 0.0)')} as Profit
-             from wcurve c join wcurve b on c.Dropped_sellers = b.Dropped_sellers + 1
-             where c.profit < b.profit""", ["Profit"])
+         f"""select Dropped_sellers, {cents('profit')} as Profit from wcurve
+             where Dropped_sellers = coalesce((select k - 1 from wfall), (select n from wtot))""", ["Profit"])
+register("whatif_greedy_log", WHATIF_DEPS,
+         f"""select Dropped_sellers, {cents('profit')} as Profit from wcurve
+             where Dropped_sellers <= coalesce((select k from wfall), (select n from wtot))""", ["Profit"])
 register("whatif_global_optimum", WHATIF_DEPS,
          f"""select Dropped_sellers, {cents('profit')} as Profit from wcurve
              order by profit desc, Dropped_sellers asc limit 1""", ["Profit"])
@@ -303,40 +320,27 @@ def dbl(v: float) -> str:
     return f"cast({float(v)!r} as double)"
 
 
-def edge_sql(i: str, lo: float, hi: float, bins: int) -> str:
-    step = (hi - lo) / bins
-    return f"(case when {i} >= {bins} then {dbl(hi)} else cast({i} as double) * {dbl(step)} + {dbl(lo)} end)"
+def edges_sql(lo: str, hi: str, bins: int) -> str:
+    """``bin, bin_lo, bin_hi`` of an equal-width grid."""
+    edge = lambda i: f"(case when {i} = {bins} then {hi} else cast({i} as double) * (({hi} - {lo}) / {bins}) + {lo} end)"
+    return f"(select cast(i as integer) as bin, {edge('i')} as bin_lo, {edge('(i + 1)')} as bin_hi from range({bins}) r(i))"
 
 
-def bin_sql(x: str, lo: float, hi: float, bins: int) -> str:
-    norm = bins / (hi - lo)
-    guess = f"floor(({x} - {dbl(lo)}) * {dbl(norm)})"
-    g2 = f"(case when {guess} >= {bins} then {bins - 1} else {guess} end)"
-    lowered = f"(case when {x} < {edge_sql(g2, lo, hi, bins)} then {g2} - 1 else {g2} end)"
-    raised = (f"(case when {x} >= {edge_sql(f'{lowered} + 1', lo, hi, bins)} and {lowered} <> {bins - 1} "
-              f"then {lowered} + 1 else {lowered} end)")
-    return f"(case when {x} >= {dbl(lo)} and {x} <= {dbl(hi)} then cast({raised} as integer) end)"
+def inside(x: str, bins: int) -> str:
+    return f"({x} >= bin_lo and ({x} < bin_hi or (bin = {bins - 1} and {x} = bin_hi)))"
 
 
-def hist_sql(src: str, x: str, lo: float, hi: float, bins: int) -> str:
+def hist_sql(src: str, x: str, lo: float | str, hi: float | str, bins: int) -> str:
+    lo, hi = (v if isinstance(v, str) else dbl(v) for v in (lo, hi))
     return f"""
-select b.bin, {edge_sql('b.bin', lo, hi, bins)} as bin_lo, {edge_sql('b.bin + 1', lo, hi, bins)} as bin_hi,
-  cast(count(h.bin) as bigint) as count
-from (select cast(range as integer) as bin from range({bins})) b
-left join (select {bin_sql(x, lo, hi, bins)} as bin from {src}) h on h.bin = b.bin
-group by b.bin"""
+select bin, bin_lo, bin_hi, count(s.v) as count from {edges_sql(lo, hi, bins)} e
+left join (select cast({x} as double) as v from {src}) s on {inside('s.v', bins)} group by all"""
 
 
 def hist_by_sql(src: str, x: str, by: str, lo: float, hi: float, bins: int) -> str:
     return f"""
-select g.{by}, g.bin, {edge_sql('g.bin', lo, hi, bins)} as bin_lo, {edge_sql('g.bin + 1', lo, hi, bins)} as bin_hi,
-  cast(coalesce(c.n, 0) as bigint) as count
-from (select {by}, cast(r.range as integer) as bin
-      from (select distinct {by} from {src} where {by} is not null) d, range({bins}) r) g
-left join (select {by}, bin, count(*) as n
-           from (select {by}, {bin_sql(x, lo, hi, bins)} as bin from {src}) s
-           where bin is not null and {by} is not null group by {by}, bin) c
-  on c.{by} = g.{by} and c.bin = g.bin"""
+select {by}, bin, bin_lo, bin_hi, count(*) filter ({inside(x, bins)}) as count
+from {src}, {edges_sql(dbl(lo), dbl(hi), bins)} e where {by} is not null group by all"""
 
 
 F["rounded"] = """
@@ -372,11 +376,14 @@ def _corr_sql() -> str:
             p, q = (a, b) if i <= j else (b, a)
             den = f"sqrt(va__{p}__{q} * vb__{p}__{q})"
             rows.append(f"select '{a}' as x, '{b}' as y, case when {den} > 0 then cov__{p}__{q} / {den} end as corr from mom")
-    return "select * from (with mom as materialized (select " + ", ".join(aggs) + " from training)\n" + \
+    return "select * from (with mom as materialized (select " + ", ".join(aggs) + " from rounded)\n" + \
         "\nunion all\n".join(rows) + ")"
 
 
-register("correlation_matrix", TRAINING_DEPS, _corr_sql(), ["corr"])
+register("correlation_matrix", TRAINING_DEPS + ["rounded"], _corr_sql(), ["corr"])
+register("histogram_review_score", TRAINING_DEPS,
+         hist_sql("training", "review_score", "(select min(review_score)::double from training)",
+                  "(select max(review_score)::double from training)", 10), ["bin_lo", "bin_hi"])
 
 _zst = ", ".join(f"avg(cast({c} as double)) as m_{c}, stddev_pop(cast({c} as double)) as s_{c}" for c in ZCOLS)
 _zrep = ", ".join(f"case when s_{c} > 0 then (cast({c} as double) - m_{c}) / s_{c} end as {c}" for c in ZCOLS)
@@ -464,8 +471,145 @@ register("ols_error_simple", TRAINING_DEPS + ["score1"],
 
 
 # ---------------------------------------------------------------- sources
-# The CSV round trip turns ids and zip prefixes into text; values are otherwise unchanged.
-register("load_tables", TRAINING_DEPS,
-         "select * replace (cast(order_id as varchar) as order_id) from training",
-         ["wait_time", "expected_wait_time", "delay_vs_expected", "price", "freight_value",
-          "distance_seller_customer"])
+#: Columns of the mapped tables, by table.
+TABLE_COLUMNS = {
+    "orders": "order_id customer_id order_status order_purchase_timestamp order_approved_at order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date",
+    "order_items": "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
+    "order_reviews": "review_id order_id review_score",
+    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
+    "customers": "customer_id customer_zip_code_prefix",
+    "geolocation": "ordinal geolocation_zip_code_prefix geolocation_lat geolocation_lng",
+    "products": "product_id product_category_name product_name_lenght product_description_lenght product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm",
+    "product_category_name_translation": "product_category_name product_category_name_english",
+}
+register("load_tables", [], "\nunion all\n".join(
+    f"select '{t}' as \"table\", '{c}' as \"column\", count(*) as rows, count(*) - count({c}) as nulls from {CTE_NAMES[t]}"
+    for t, cols in TABLE_COLUMNS.items() for c in cols.split()), [])
+
+
+# ---------------------------------------------------------------- regression by elimination
+def normal_equations(src: str, y: str, xs: list[str]) -> list[str]:
+    """CTEs that solve the centred normal equations of ``y`` on ``xs`` by Gauss-Jordan elimination.
+
+    The last one, ``fin``, has one row: n, the means, the coefficients b0..bk,
+    the residual and total sums of squares, and the variances s0..sk of the
+    coefficients.
+    """
+    k = len(xs)
+    x = [f"cast({c} as double)" for c in xs]
+    yy = f"cast({y} as double)"
+    moments = [f"avg({c}) as m{i}" for i, c in enumerate(x)] + [f"covar_pop({a}, {b}) as c{i}_{j}" for i, a in enumerate(x) for j, b in enumerate(x) if i <= j]
+    moments += [f"covar_pop({c}, {yy}) as y{i}" for i, c in enumerate(x)]
+    ctes = [f"mom as materialized (select count(*) as n, avg({yy}) as my, var_pop({yy}) as vy, {', '.join(moments)} from {src})"]
+    keep = ", ".join(["n", "my", "vy"] + [f"m{i}" for i in range(k)] + [f"y{i}" for i in range(k)])
+    # columns 0..k-1: the matrix, k..2k-1: the unit matrix, 2k: the right side
+    first = [f"c{min(i, j)}_{max(i, j)} as a{i}_{j}" for i in range(k) for j in range(k)]
+    first += [f"{1.0 if i == j else 0.0}::double as a{i}_{k + j}" for i in range(k) for j in range(k)] + [f"y{i} as a{i}_{2 * k}" for i in range(k)]
+    ctes.append(f"e0 as materialized (select {keep}, {', '.join(first)} from mom)")
+    for p in range(k):
+        cells = [f"a{p}_{j} / a{p}_{p} as a{p}_{j}" for j in range(2 * k + 1)]
+        cells += [f"a{i}_{j} - a{i}_{p} * (a{p}_{j} / a{p}_{p}) as a{i}_{j}" for i in range(k) if i != p for j in range(2 * k + 1)]
+        ctes.append(f"e{p + 1} as materialized (select {keep}, {', '.join(cells)} from e{p})")
+    b = [f"a{i}_{2 * k}" for i in range(k)]
+    ssr = "n * (vy - (" + " + ".join(f"{b[i]} * y{i}" for i in range(k)) + "))"
+    ctes.append(f"sol as materialized (select *, my - ({' + '.join(f'{b[i]} * m{i}' for i in range(k))}) as b0, {', '.join(f'{b[i]} as b{i + 1}' for i in range(k))}, "
+                f"{ssr} as ssr, n * vy as tss, n - {k + 1} as df from e{k})")
+    spread = " + ".join(f"m{i} * m{j} * a{i}_{k + j}" for i in range(k) for j in range(k))
+    ctes.append(f"fin as materialized (select *, sqrt(ssr / df / n * (1 + {spread})) as s0, {', '.join(f'sqrt(ssr / df / n * a{i}_{k + i}) as s{i + 1}' for i in range(k))} from sol)")
+    return ctes
+
+
+def coefficients(xs: list[str], halves: tuple[str, str] | None = None) -> str:
+    """``variable, coef, std_err, t_value, df`` of ``fin``.  ``halves``: of two equal columns the
+    fitted one and the other, which share its coefficient evenly (the solution of least norm)."""
+    rows = ["select 'Intercept' as variable, b0 as coef, s0 as std_err, df from fin"]
+    for i, c in enumerate(xs, 1):
+        if halves and c == halves[0]:
+            rows += [f"select '{v}', b{i} / 2, s{i} / 2, df from fin" for v in halves]
+        else:
+            rows.append(f"select '{c}', b{i}, s{i}, df from fin")
+    return "coefs as materialized (select *, coef / std_err as t_value from (" + " union all ".join(rows) + ") c)"
+
+
+# Two-sided tail of Student's t: one minus twice the integral of its density from 0 to |t| (Simpson's rule,
+# 4000 steps; beyond 40 nothing is left).  Quantile: Cornish-Fisher expansion to 1/df^4 around the normal one.
+Z = "(1.959963984540054::double)"
+PANELS = 4000
+TAILS = f"""
+dens as (
+  select variable, case when abs(t_value) > 40 then 0.0 else greatest(1 - 2 * (least(abs(t_value), 40) / {PANELS} / 3) * sum(
+      (case when i = 0 or i = {PANELS} then 1 when i % 2 = 1 then 4 else 2 end)
+      * exp(lgamma((df + 1) / 2.0) - lgamma(df / 2.0)) / sqrt(df * pi()) * pow(1 + pow(least(abs(t_value), 40) * i / {PANELS}, 2) / df, -(df + 1) / 2.0)), 0) end as p_value
+  from coefs, range({PANELS + 1}) r(i) group by variable, t_value),
+quant as (
+  select df, {Z} + ({Z}**3 + {Z}) / (4.0 * df) + (5 * {Z}**5 + 16 * {Z}**3 + 3 * {Z}) / (96.0 * df**2)
+    + (3 * {Z}**7 + 19 * {Z}**5 + 17 * {Z}**3 - 15 * {Z}) / (384.0 * df**3)
+    + (79 * {Z}**9 + 776 * {Z}**7 + 1482 * {Z}**5 - 1920 * {Z}**3 - 945 * {Z}) / (92160.0 * df**4) as q
+  from (select distinct df from coefs) d),
+fitted as (
+  select variable, coef, std_err, t_value, p_value, coef - q * std_err as ci_low, coef + q * std_err as ci_high
+  from coefs join dens using (variable) join quant using (df))"""
+FIT_DOUBLES = ["coef", "std_err", "t_value", "p_value", "ci_low", "ci_high"]
+
+
+def regress(name: str, deps: list[str], parts: list[str], body: str, doubles: list[str]) -> None:
+    ORACLES[name] = (with_fragments(deps, "").rstrip() + ",\n" + ",\n".join(x.strip() for x in parts) + "\n" + body, doubles)
+
+
+for _name, _xs in (("ols_fit", ["wait_time"]), ("ols_fit_delay", ["delay_vs_expected"]), ("ols_fit_two", ["wait_time", "delay_vs_expected"])):
+    regress(_name, TRAINING_DEPS, [*normal_equations("training", "review_score", _xs), coefficients(_xs), TAILS], "select * from fitted", FIT_DOUBLES)
+
+F["zs"] = f"zs as materialized (select t.* replace ({_zrep}) from training t, (select {_zst} from training) st)"
+ZDEPS = [*TRAINING_DEPS, "zs"]
+# every item of the mapped data has a seller, so both counts are equal and one of them is left out of the equations
+SIX = [c for c in ZCOLS if c != "number_of_sellers"]
+STANDARD = normal_equations("zs", "review_score", SIX)
+SPLIT = coefficients(SIX, ("number_of_products", "number_of_sellers"))
+regress("ols_fit_standardized", ZDEPS, [*STANDARD, SPLIT, TAILS], "select * from fitted", FIT_DOUBLES)
+regress("ols_fit_full_rank", [*swapped("istats", "istats_distinct"), "zs"],
+        [*normal_equations("zs", "review_score", ZCOLS), coefficients(ZCOLS), TAILS], "select * from fitted", FIT_DOUBLES)
+regress("ols_significant", ZDEPS, [*STANDARD, SPLIT, TAILS], "select variable, p_value, coef from fitted where p_value < 0.05", ["p_value", "coef"])
+regress("ols_importance", ZDEPS, [*STANDARD, SPLIT], "select variable, abs(coef) as importance from coefs", ["importance"])
+PREDICTED = ("pred as materialized (select order_id, review_score, b0 + " + " + ".join(f"b{i} * {c}" for i, c in enumerate(SIX, 1))
+             + " as predicted, review_score - (b0 + " + " + ".join(f"b{i} * {c}" for i, c in enumerate(SIX, 1)) + ") as residual from zs, fin)")
+regress("ols_error", ZDEPS, [*STANDARD, PREDICTED],
+        "select avg(residual) as residual_mean, avg(residual * residual) as mse, sqrt(avg(residual * residual)) as rmse from pred", ["residual_mean", "mse", "rmse"])
+regress("histogram_residuals", ZDEPS, [*STANDARD, PREDICTED], hist_sql("pred", "residual", -5.0, 5.0, 10), ["bin_lo", "bin_hi"])
+regress("histogram_predicted", ZDEPS, [*STANDARD, PREDICTED],
+        hist_sql("pred", "predicted", "(select min(predicted) from pred)", "(select max(predicted) from pred)", 10), ["bin_lo", "bin_hi"])
+
+# The normal approximations of the sample skewness (D'Agostino) and kurtosis (Anscombe and Glynn).
+SHAPE = """
+mo as (
+  select count(*) as nn, avg(residual) as r1, avg(pow(residual - (select avg(residual) from pred), 2)) as c2,
+    avg(pow(residual - (select avg(residual) from pred), 3)) as c3, avg(pow(residual - (select avg(residual) from pred), 4)) as c4 from pred),
+sh as (select nn::double as nn, c3 / pow(c2, 1.5) as g1, c4 / (c2 * c2) as g2 from mo),
+zsk as (
+  select *, sqrt(2 * (3.0 * (nn * nn + 27 * nn - 70) * (nn + 1) * (nn + 3) / ((nn - 2) * (nn + 5) * (nn + 7) * (nn + 9)) - 1)) - 1 as w2,
+    g1 * sqrt((nn + 1) * (nn + 3) / (6.0 * (nn - 2))) as u from sh),
+zku as (
+  select *, asinh(u / sqrt(2 / (w2 - 1))) / sqrt(ln(w2) / 2) as z1,
+    (g2 - 3.0 * (nn - 1) / (nn + 1)) / sqrt(24.0 * nn * (nn - 2) * (nn - 3) / (pow(nn + 1, 2) * (nn + 3) * (nn + 5))) as v,
+    6.0 * (nn * nn - 5 * nn + 2) / ((nn + 7) * (nn + 9)) * sqrt(6.0 * (nn + 3) * (nn + 5) / (nn * (nn - 2) * (nn - 3))) as sb from zsk),
+zk2 as (select *, 6 + 8 / sb * (2 / sb + sqrt(1 + 4 / (sb * sb))) as aa from zku),
+omn as (
+  select *, z1 * z1 + pow((1 - 2 / (9 * aa) - cbrt((1 - 2 / aa) / (1 + v * sqrt(2 / (aa - 4))))) / sqrt(2 / (9 * aa)), 2) as k2 from zk2),
+dw as (
+  select sum(pow(residual - prev, 2)) / sum(residual * residual) as d from (
+    select residual, lag(residual) over (order by order_id, review_score) as prev from pred) l)"""
+regress("ols_summary", ZDEPS, [*STANDARD, PREDICTED, SHAPE], """
+select n, 6::bigint as df_model, df::bigint as df_resid, 1 - ssr / tss as r2, 1 - (n - 1) / df * (ssr / tss) as adj_r2,
+  ((tss - ssr) / 6) / (ssr / df) as f_stat, case when ((tss - ssr) / 6) / (ssr / df) > 40 then 0.0::double end as prob_f,
+  -n / 2.0 * (ln(2 * pi()) + ln(ssr / n) + 1) as log_likelihood, n * (ln(2 * pi()) + ln(ssr / n) + 1) + 14 as aic,
+  n * (ln(2 * pi()) + ln(ssr / n) + 1) + 7 * ln(n) as bic, g1 as skew, g2 as kurtosis, n / 6.0 * (g1 * g1 + pow(g2 - 3, 2) / 4) as jarque_bera,
+  exp(-n / 12.0 * (g1 * g1 + pow(g2 - 3, 2) / 4)) as prob_jb, k2 as omnibus, exp(-k2 / 2) as prob_omnibus, d as durbin_watson
+from fin, omn, dw""", ["r2", "adj_r2", "f_stat", "prob_f", "log_likelihood", "aic", "bic", "skew", "kurtosis", "jarque_bera", "prob_jb", "omnibus", "prob_omnibus", "durbin_watson"])
+
+_Q = f"({Z} + ({Z}**3 + {Z}) / (4.0 * df) + (5 * {Z}**5 + 16 * {Z}**3 + 3 * {Z}) / (96.0 * df**2) + (3 * {Z}**7 + 19 * {Z}**5 + 17 * {Z}**3 - 15 * {Z}) / (384.0 * df**3))"
+_BAND = "sqrt(ssr / df / n * (1 + pow(x - m0, 2) / c0))"
+regress("regression_line", ZDEPS, [*normal_equations("zs", "review_score", ["delay_vs_expected"]), """
+grid as (
+  select f.*, cast(i as integer) as point, case when i = 99 then hi else i::double * ((hi - lo) / 99) + lo end as x, var_x as c0
+  from fin f, (select min(delay_vs_expected) as lo, max(delay_vs_expected) as hi, var_pop(delay_vs_expected) as var_x from zs) r, range(100) g(i))"""],
+        f"select point, x, b0 + b1 * x as fitted, b0 + b1 * x - {_Q} * {_BAND} as ci_low, b0 + b1 * x + {_Q} * {_BAND} as ci_high from grid",
+        ["x", "fitted", "ci_low", "ci_high"])

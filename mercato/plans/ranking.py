@@ -1,11 +1,12 @@
 """Global rank and running sums without a single-task window.
 
 ``Window.orderBy`` with no partition moves every row into one task.  Here
-the key space is cut into value ranges (buckets) whose split points come
-from a bounded sample; each bucket is ranked by its own window, and the
-bucket totals (one row per bucket, a proven small size) give the offsets.
-The bucket of a row is a pure function of its key and of split points
-fixed on the driver, so a recomputed task after an executor loss puts
+the key space is cut into value ranges (buckets) at keys taken from a sample;
+each bucket is ranked by its own window, and the bucket totals (one row per
+bucket, that is one per ``rows_per_bucket`` rows) give the offsets.  The
+number of buckets follows the row count, and one bucket takes the same path
+as a million.  The bucket of a row is a pure function of its key and of split
+points fixed on the driver, so a recomputed task after an executor loss puts
 every row in the same bucket again.
 """
 
@@ -18,9 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.plans.ranges import attach_lookup, range_bucket
+
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
 SAMPLE_PER_BUCKET = 64
+#: Keys that come to the driver at most; more buckets get fewer each.
+MAX_SAMPLE = 1_000_000
 
 
 @dataclass
@@ -33,40 +37,23 @@ def _key(order_cols: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in order_cols])
 
 
-def _split_literal(values: tuple, schema: T.StructType) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)])
-
-
-def bucket_expr(order_cols: list[str], splits: list[tuple], schema: T.StructType) -> Column:
-    """Number of split points ``<=`` the row key, as a balanced tree of comparisons."""
-    key = _key(order_cols)
-
-    def build(lo: int, hi: int) -> Column:
-        # splits[lo:hi] are undecided; the answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= _split_literal(splits[mid], schema), build(mid + 1, hi)).otherwise(build(lo, mid))
+def choose_splits(df: DataFrame, order_cols: list[str], n: int, buckets: int, seed: int = 17) -> list[Column]:
+    """At most ``buckets - 1`` ascending split keys from a sample, as literals.
 
-    return build(0, len(splits))
-
-
-def choose_splits(df: DataFrame, order_cols: list[str], n: int, buckets: int, seed: int = 17) -> list[tuple]:
-    """``buckets - 1`` split keys from a sample of about ``SAMPLE_PER_BUCKET`` rows per bucket."""
+    The sample is sorted by Spark, so null and NaN stand where Spark's order
+    has them, and neighbours are told apart by Spark as well.
+    """
     if buckets <= 1 or n == 0:
         return []
-    fraction = min(1.0, 1.5 * buckets * SAMPLE_PER_BUCKET / n)
-    sample = sorted(
-        tuple(r) for r in df.select(*order_cols).sample(False, fraction, seed).collect()
-    )
+    wanted = min(buckets * SAMPLE_PER_BUCKET, MAX_SAMPLE)
+    sample = df.select(_key(order_cols).alias("k")).sample(False, min(1.0, 1.5 * wanted / n), seed).orderBy("k").collect()
     if not sample:
         return []
-    splits: list[tuple] = []
-    for i in range(1, buckets):
-        s = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
-        if not splits or s > splits[-1]:
-            splits.append(s)
-    return splits
+    fields = df.select(_key(order_cols).alias("k")).schema["k"].dataType.fields
+    picked = [sample[min(len(sample) - 1, (i * len(sample)) // buckets)]["k"] for i in range(1, buckets)]
+    # repr tells NaN from NaN no more than Spark does
+    distinct = [k for i, k in enumerate(picked) if not i or repr(tuple(k)) != repr(tuple(picked[i - 1]))]
+    return [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(k, fields)]) for k in distinct]
 
 
 def ranked_prefix_sums(
@@ -74,74 +61,65 @@ def ranked_prefix_sums(
     order_cols: list[str],
     sum_cols: list[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
     descending: bool = False,
+    lag_cols: list[str] | None = None,
 ) -> tuple[DataFrame, Totals]:
-    """Add ``rank`` (1-based, ascending by ``order_cols``, or descending) and
-    inclusive running sums ``cum_<c>`` for each of ``sum_cols`` in that order;
-    also return the totals.
-
-    Keys must be non-null; rows with equal keys are ranked in some order.
-    ``df`` is read three times (totals, sample, ranking); materialise it first
-    if it is expensive to recompute.
+    """Add ``rank`` (1-based, ascending by ``order_cols``, or descending),
+    inclusive running sums ``cum_<c>`` and exclusive ones ``before_<c>`` for
+    each of ``sum_cols``, and ``previous_<c>``, the value in the row before,
+    for each of ``lag_cols``; also return the totals.
+
+    Ordered as Spark orders: null before all, NaN after all other numbers.
+    Null values add nothing to a sum.  Rows with equal keys are ranked in
+    some order.  ``df`` is read three times (totals, sample, ranking);
+    materialise it first if it is expensive to recompute.
     """
+    lag_cols = lag_cols or []
+    sum_types = {c: T.LongType() if isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else T.DoubleType() for c in sum_cols}
+    zero = {c: 0 if isinstance(sum_types[c], T.LongType) else 0.0 for c in sum_cols}
+    added = {c: F.coalesce(F.col(c).cast(sum_types[c]), F.lit(zero[c])) for c in sum_cols}
     tot_row = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sum_cols]).first()
     totals = Totals(int(tot_row["n"]), {c: tot_row[c] for c in sum_cols})
-    n = totals.n
-    buckets = min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket))))
-    splits = choose_splits(df, order_cols, n, buckets)
-    key_schema = df.select(_key(order_cols).alias("k")).schema["k"].dataType
-    bucketed = df.withColumn("_bucket", bucket_expr(order_cols, splits, key_schema))
+    buckets = max(1, math.ceil(totals.n / max(1, rows_per_bucket)))
+    splits = choose_splits(df, order_cols, totals.n, buckets)
+    bucketed = df.withColumn("_bucket", range_bucket(_key(order_cols), splits))
 
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    w_rank = Window.partitionBy("_bucket").orderBy(*order)
-    w_run = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_key = Window.partitionBy("_bucket").orderBy(*order)
+    upto = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = bucketed.withColumns(
-        {"_lrank": F.row_number().over(w_rank), **{f"_lcum_{c}": F.sum(c).over(w_run) for c in sum_cols}}
+        {"_rank": F.row_number().over(by_key), **{f"_cum_{c}": F.sum(added[c]).over(upto) for c in sum_cols},
+         **{f"_lag_{c}": F.lag(c).over(by_key) for c in lag_cols}}
     )
+    if sum_cols:
+        local = local.withColumns({f"_prev_{c}": F.coalesce(F.lag(f"_cum_{c}").over(by_key), F.lit(zero[c])) for c in sum_cols})
 
-    if not splits:
-        # one bucket: the window already gives the global rank and sums
-        out = local.withColumns(
-            {"rank": F.col("_lrank").cast("long"), **{f"cum_{c}": F.col(f"_lcum_{c}") for c in sum_cols}}
-        ).drop("_bucket", "_lrank", *[f"_lcum_{c}" for c in sum_cols])
-        return out, totals
-
-    # Bucket totals: at most len(splits) + 1 rows, collected and turned into offsets.
+    # one row per bucket: its totals and the last row's values; they become offsets on the driver
+    last = F.min_by if descending else F.max_by
     per_bucket = (
         bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sum_cols])
-        .orderBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(added[c]).alias(f"sum_{c}") for c in sum_cols],
+             *[last(F.struct(c), _key(order_cols)).alias(f"last_{c}") for c in lag_cols])
+        .orderBy(F.col("_bucket").desc() if descending else F.col("_bucket").asc())
         .collect()
     )
-    sum_types = {c: _sum_type(df.schema[c].dataType) for c in sum_cols}
-    zero = {c: 0 if isinstance(sum_types[c], T.LongType) else 0.0 for c in sum_cols}
-    offsets = []
-    run_n, run = 0, dict(zero)
-    for r in reversed(per_bucket) if descending else per_bucket:
-        offsets.append((int(r["_bucket"]), run_n, *[run[c] for c in sum_cols]))
+    offsets, run_n, run, before = [], 0, dict(zero), {c: None for c in lag_cols}
+    for r in per_bucket:
+        offsets.append((int(r["_bucket"]), run_n, *[run[c] for c in sum_cols], *[before[c] for c in lag_cols]))
         run_n += int(r["n"])
-        for c in sum_cols:
-            run[c] = run[c] + (r[c] if r[c] is not None else zero[c])
-    off_schema = T.StructType(
+        run = {c: run[c] + r[f"sum_{c}"] for c in sum_cols}
+        before = {c: r[f"last_{c}"][c] for c in lag_cols}
+    schema = T.StructType(
         [T.StructField("_bucket", T.IntegerType()), T.StructField("_off_n", T.LongType())]
         + [T.StructField(f"_off_{c}", sum_types[c]) for c in sum_cols]
+        + [T.StructField(f"_last_{c}", df.schema[c].dataType) for c in lag_cols]
     )
-    off_df = df.sparkSession.createDataFrame(offsets, off_schema)
-    out = (
-        local.join(F.broadcast(off_df), "_bucket")
-        .withColumns(
-            {
-                "rank": F.col("_off_n") + F.col("_lrank"),
-                **{f"cum_{c}": F.col(f"_off_{c}") + F.col(f"_lcum_{c}") for c in sum_cols},
-            }
-        )
-        .drop("_bucket", "_lrank", "_off_n", *[f"_lcum_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols])
-    )
-    return out, totals
-
-
-def _sum_type(t: T.DataType) -> T.DataType:
-    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return T.LongType()
-    return T.DoubleType()
+    moved = attach_lookup(local, df.sparkSession.createDataFrame(offsets, schema), ["_bucket"], F.col("_rank"))
+    own = [F.col(c) for c in df.columns]
+    return moved.select(
+        *own,
+        (F.col("_off_n") + F.col("_rank")).cast("long").alias("rank"),
+        *[(F.col(f"_off_{c}") + F.col(f"_cum_{c}")).alias(f"cum_{c}") for c in sum_cols],
+        *[(F.col(f"_off_{c}") + F.col(f"_prev_{c}")).alias(f"before_{c}") for c in sum_cols],
+        *[F.when(F.col("_rank") == 1, F.col(f"_last_{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"previous_{c}") for c in lag_cols],
+    ), totals

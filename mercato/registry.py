@@ -8,10 +8,10 @@ matching DuckDB oracle in ``mercato.oracles``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mercato.compare import canonical
 from mercato.operators import orders as O
@@ -20,8 +20,7 @@ from mercato.operators import regression as R
 from mercato.operators import sellers as S
 from mercato.operators import stats as ST
 from mercato.operators import whatif as W
-from mercato.plans.lineage import ensure_checkpoint_dir, materialize
-from mercato.sources.csv_tables import TIMESTAMP_FORMAT, load_tables
+from mercato.plans.lineage import materialize
 from mercato.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,41 +41,19 @@ def query(name: str):
 
 
 # ---------------------------------------------------------------- sources
-# File names of the CSV export, one per table.
-CSV_FILES = {
-    "orders": "olist_orders_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "order_reviews": "olist_order_reviews_dataset.csv",
-    "customers": "olist_customers_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "product_category_name_translation": "product_category_name_translation.csv",
-}
+def table_profile(tables: dict) -> DataFrame:
+    """``table, column, rows, nulls`` for every column of the eight tables: one aggregate per table."""
+    out = None
+    for name in sorted(tables):
+        df = tables[name]
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_n_{c}") for c in df.columns])
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), (F.col("_rows") - F.col(f"_n_{c}")).alias("nulls")) for c in df.columns])
+        rows = counts.select(F.lit(name).alias("table"), F.col("_rows").alias("rows"), F.explode(cells).alias("x")).select("table", "x.column", "rows", "x.nulls")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
-def csv_round_trip(spark: SparkSession, sf_dir: str) -> dict:
-    """The mapped tables written as a CSV export (one folder per file name,
-    in the session's checkpoint folder) and read back with ``load_tables``.
-
-    Geolocation is range-partitioned and sorted by its ordinal, so the part
-    files in name order are in file order; the loader then rebuilds the
-    order from file, split and row position.
-    """
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-export-{uuid.uuid4().hex}"
-    for name, df in fixture_tables(spark, sf_dir).items():
-        if name == "geolocation":
-            df = df.repartitionByRange("ordinal").sortWithinPartitions("ordinal").drop("ordinal")
-        (df.write.option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
-         .mode("errorifexists").csv(f"{root}/{CSV_FILES[name]}"))
-    return load_tables(spark, root)
-
-
-def _csv_order_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical(O.order_training(csv_round_trip(spark, sf_dir)))
-
-
-QUERIES["load_tables"] = _csv_order_training
+query("load_tables")(table_profile)
 
 
 # ---------------------------------------------------------------- orders
@@ -88,6 +65,10 @@ query("order_price_freight")(O.order_price_freight)
 query("haversine_km")(O.order_item_distance)
 query("order_distance")(O.order_distance)
 query("order_training")(O.order_training)
+query("order_training_any_status")(lambda t: O.order_training(t, is_delivered=False))
+query("order_training_without_distance")(lambda t: O.order_training(t, with_distance_seller_customer=False))
+query("order_training_distinct_sellers")(lambda t: O.order_training(t, distinct_sellers=True))
+query("order_number_sellers_distinct")(lambda t: O.order_number_sellers(t, distinct_sellers=True))
 
 # ---------------------------------------------------------------- products
 query("product_features")(P.product_features)
@@ -124,17 +105,19 @@ query("global_profit")(lambda t: W.global_profit(S.seller_training(t)))
 query("sellers_by_profit")(lambda t: W.sellers_by_profit(_sellers(t)))
 query("whatif_curve")(lambda t: W.whatif_curve(_sellers(t)))
 query("whatif_greedy_optimum")(lambda t: W.whatif_greedy_optimum(_sellers(t)))
+query("whatif_greedy_log")(lambda t: W.whatif_greedy_log(_sellers(t)))
 query("whatif_global_optimum")(lambda t: W.whatif_global_optimum(_sellers(t)))
 query("worst_sellers")(lambda t: W.worst_sellers(S.seller_training(t), 200))
 
 
 # ---------------------------------------------------------------- statistics
-def _orders(tables: dict) -> DataFrame:
-    """Order training table written once; these operators read it more than once."""
-    return materialize(O.order_training(tables))
+def _orders(tables: dict, *columns: str) -> DataFrame:
+    """The order training table, or some of its columns, written once; for operators that read it more than once."""
+    orders = O.order_training(tables)
+    return materialize(orders.select(*columns) if columns else orders)
 
 
-query("describe_column")(lambda t: ST.describe_column(_orders(t), "wait_time"))
+query("describe_column")(lambda t: ST.describe_column(_orders(t, "wait_time"), "wait_time"))
 query("histogram")(lambda t: ST.histogram(O.order_training(t), "freight_value", 20, 0.0, 80.0))
 query("histogram_by")(
     lambda t: ST.histogram_by(ST.round_column(O.order_training(t), "wait_time"), "wait_time", "review_score",
@@ -145,7 +128,8 @@ query("histogram_by_freight")(
     lambda t: ST.histogram_by(O.order_training(t), "freight_value", "review_score", 10, 0.0, 50.0))
 query("round_column")(lambda t: ST.round_column(O.order_training(t), "wait_time"))
 query("preview")(lambda t: ST.preview(O.order_training(t), ["order_id", "review_score"], 5))
-query("correlation_matrix")(lambda t: ST.correlation_matrix(O.order_training(t)))
+query("correlation_matrix")(lambda t: ST.correlation_matrix(ST.round_column(O.order_training(t), "wait_time")))
+query("histogram_review_score")(lambda t: ST.histogram(_orders(t, "review_score"), "review_score", 10))
 query("zscore")(lambda t: ST.zscore(_orders(t)))
 query("kde_curve")(lambda t: ST.kde_curve(O.order_training(t), "wait_time", "review_score"))
 
@@ -158,11 +142,6 @@ MODEL_TWO = ("review_score", ["wait_time", "delay_vs_expected"])
 MODEL_STANDARDIZED = ("review_score", ST.ZSCORE_COLUMNS)
 
 
-def _standardized(tables: dict) -> DataFrame:
-    # z-scores are a projection over the materialised order table
-    return ST.zscore(_orders(tables))
-
-
 query("ols_fit")(lambda t: R.ols_fit(O.order_training(t), *MODEL_WAIT))
 query("ols_fit_delay")(lambda t: R.ols_fit(O.order_training(t), *MODEL_DELAY))
 query("ols_fit_two")(lambda t: R.ols_fit(O.order_training(t), *MODEL_TWO))
@@ -171,56 +150,49 @@ query("ols_coefficients_delay")(lambda t: R.ols_coefficients(O.order_training(t)
 query("ols_coefficients_two")(lambda t: R.ols_coefficients(O.order_training(t), *MODEL_TWO))
 
 
-def _std_model(tables: dict, data: DataFrame | None = None):
-    """The 7-regressor model on z-scores, fitted in one pass over the order table."""
-    data = O.order_training(tables) if data is None else data
-    return data, R.fit(data, *MODEL_STANDARDIZED, standardize=ST.ZSCORE_COLUMNS)
+MODEL_COLUMNS = ["order_id", "review_score", *ST.ZSCORE_COLUMNS]
 
 
-def _fit_standardized(tables: dict) -> DataFrame:
-    data, model = _std_model(tables)
-    return R.coefficient_table(data, model)
+def _std_fit(data: DataFrame) -> R.OlsModel:
+    """The 7-regressor model on z-scores, fitted in one pass over the order table."""
+    return R.fit(data, *MODEL_STANDARDIZED, standardize=ST.ZSCORE_COLUMNS)
 
 
-def _summary(tables: dict) -> DataFrame:
-    # several passes (fit, residual moments, ranked residuals): read a written copy
-    data, model = _std_model(tables, _orders(tables))
-    return R.ols_summary(data, model, order_by=["order_id", "review_score"])
+def _fit_standardized(tables: dict, **options) -> DataFrame:
+    data = O.order_training(tables, **options)
+    return R.coefficient_table(data, _std_fit(data))
 
 
-def _significant(tables: dict) -> DataFrame:
-    return R.ols_significant(_fit_standardized(tables))
+def _scored(tables: dict) -> DataFrame:
+    """The order table's model columns written once, fitted and scored."""
+    data = _orders(tables, *MODEL_COLUMNS)
+    return R.ols_score(data, _std_fit(data), keep=["order_id"])
 
 
-def _importance(tables: dict) -> DataFrame:
-    return R.ols_importance(_fit_standardized(tables))
+def _summary(tables: dict) -> DataFrame:
+    data = _orders(tables, *MODEL_COLUMNS)
+    return R.ols_summary(data, _std_fit(data), order_by=["order_id", "review_score"])
 
 
 def _score_simple(tables: dict) -> DataFrame:
-    data = O.order_training(tables)
+    data = _orders(tables, "order_id", "review_score", "wait_time")
     return R.ols_score(data, R.fit(data, *MODEL_WAIT), keep=["order_id"])
 
 
-def _error(tables: dict) -> DataFrame:
-    data, model = _std_model(tables)
-    return R.ols_error(R.ols_score(data, model))
-
-
-def _error_simple(tables: dict) -> DataFrame:
-    return R.ols_error(_score_simple(tables))
-
-
-def _residual_histogram(tables: dict) -> DataFrame:
-    data, model = _std_model(tables)
-    return ST.histogram(R.ols_score(data, model), "residual", 10, -5.0, 5.0)
+def _error(tables: dict, y: str, xs: list[str], standardize: list[str] | None = None) -> DataFrame:
+    data = O.order_training(tables)
+    return R.model_error(data, R.fit(data, y, xs, standardize=standardize))
 
 
 query("ols_fit_standardized")(_fit_standardized)
+query("ols_fit_full_rank")(lambda t: _fit_standardized(t, distinct_sellers=True))
 query("ols_summary")(_summary)
-query("ols_significant")(_significant)
-query("ols_importance")(_importance)
+query("ols_significant")(lambda t: R.ols_significant(_fit_standardized(t)))
+query("ols_importance")(lambda t: R.ols_importance(_fit_standardized(t)))
 query("ols_score")(_score_simple)
-query("ols_error")(_error)
-query("ols_error_simple")(_error_simple)
-query("histogram_residuals")(_residual_histogram)
-query("regression_line")(lambda t: R.regression_line(_standardized(t), "review_score", "delay_vs_expected"))
+query("ols_error")(lambda t: _error(t, *MODEL_STANDARDIZED, ST.ZSCORE_COLUMNS))
+query("ols_error_simple")(lambda t: R.ols_error(_score_simple(t)))
+query("histogram_residuals")(lambda t: ST.histogram(_scored(t), "residual", 10, -5.0, 5.0))
+query("histogram_predicted")(lambda t: ST.histogram(materialize(_scored(t).select("predicted")), "predicted", 10))
+query("regression_line")(
+    lambda t: R.regression_line(ST.zscore(_orders(t, "review_score", "delay_vs_expected"), ["delay_vs_expected"]), "review_score", "delay_vs_expected"))

@@ -1,14 +1,16 @@
 """CSV directory loader: one DataFrame per ``*.csv`` file, keyed by a cleaned name.
 
-``olist_orders_dataset.csv`` becomes ``orders``; files that do not end in
-``.csv`` are ignored.  Columns are resolved by header name, every cell is
-read as a string, the usual missing-value tokens are mapped to null and the
-declared columns are cast to their types.
+A file ``<prefix>orders<suffix>.csv`` becomes the table ``orders``; files that
+do not end in ``.csv`` are ignored.  Columns are resolved by header name, every
+cell is read as a string, the usual missing-value tokens are mapped to null and
+the declared columns are cast to their types.  Timestamps may be dates alone,
+carry a fraction, or a ``T`` between date and time.  A cell that does not parse
+fails the query that reads it and names the column and the value; nothing
+becomes null silently.
 """
 
 from __future__ import annotations
 
-import glob
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,8 +28,6 @@ MISSING_TOKENS = [
 # Parts stripped from a file name to get the table key.
 NAME_PARTS_TO_STRIP = ["olist_", "_dataset", ".csv"]
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 # Tables whose free-text cells may hold line breaks; only these are read as
 # multi-line CSV, which Spark cannot split, so every other file stays splittable.
 MULTILINE_TABLES = {"order_reviews"}
@@ -42,12 +42,12 @@ def table_key(file_name: str) -> str:
 
 def _typed(name: str, dtype: T.DataType) -> Column:
     raw = F.col(name)
-    cleaned = F.when(F.trim(raw).isin(MISSING_TOKENS), F.lit(None)).otherwise(raw)
+    cleaned = F.when(raw.isin(MISSING_TOKENS), F.lit(None)).otherwise(raw)
     if isinstance(dtype, T.StringType):
         return cleaned.alias(name)
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.try_to_timestamp(cleaned, F.lit(TIMESTAMP_FORMAT)).cast(dtype).alias(name)
-    return cleaned.try_cast(dtype).alias(name)
+    parsed = cleaned.try_cast(dtype)
+    problem = F.concat(F.lit(f"column {name}: not a {dtype.simpleString()}: "), cleaned)
+    return F.when(cleaned.isNotNull() & parsed.isNull(), F.raise_error(problem).cast(dtype)).otherwise(parsed).alias(name)
 
 
 def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
@@ -76,19 +76,19 @@ def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFr
 
 
 def list_csv(spark: SparkSession, csv_dir: str) -> list[str]:
-    """Paths matching ``<csv_dir>/*.csv``: a local folder, or any file system
-    URI Spark can read (listed through the session's Hadoop configuration)."""
-    if "://" not in csv_dir and not csv_dir.startswith("file:"):
-        return sorted(glob.glob(os.path.join(csv_dir, "*.csv")))
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(csv_dir.rstrip("/") + "/*.csv")
+    """Paths matching ``<csv_dir>/*.csv``, listed through the session's Hadoop file systems
+    (a path without a scheme is one of the default file system, as for any other read)."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(csv_dir.rstrip("/") + "/*.csv")
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return sorted(st.getPath().toString() for st in (fs.globStatus(pattern) or []))
 
 
 def load_tables(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
-    """All ``*.csv`` files of ``csv_dir`` as lazily read DataFrames keyed by cleaned name."""
-    return {table_key(p): read_table(spark, p) for p in list_csv(spark, csv_dir)}
+    """All ``*.csv`` files of ``csv_dir`` as lazily read DataFrames keyed by cleaned name; at least one must be there."""
+    paths = list_csv(spark, csv_dir)
+    if not paths:
+        raise FileNotFoundError(f"no *.csv file in {csv_dir}")
+    return {table_key(p): read_table(spark, p) for p in paths}
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

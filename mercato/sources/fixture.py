@@ -17,9 +17,9 @@ MAPPINGS: dict[str, str] = {
 select o_orderkey as order_id, o_custkey as customer_id,
  case when o_orderstatus = 'P' then 'shipped' else 'delivered' end as order_status,
  o_orderdate + interval '1' minute * (o_orderkey % 1440) as order_purchase_timestamp,
- case when o_orderkey % 97 = 0 then null else o_orderdate + interval '1' minute * (o_orderkey % 1440 + 60) end as order_approved_at,
+ o_orderdate + interval '1' minute * (o_orderkey % 1440 + 60) as order_approved_at,
  o_orderdate + interval '1' day * ((o_orderkey*7) % 9) + interval '1' hour * (o_orderkey % 24) as order_delivered_carrier_date,
- case when o_orderstatus = 'P' or o_orderkey % 89 = 0 then null
+ case when o_orderstatus = 'P' then null
       else o_orderdate + interval '1' day * ((o_orderkey*7) % 9 + 1 + (o_orderkey*11) % 23) end as order_delivered_customer_date,
  o_orderdate + interval '1' day * (15 + o_orderkey % 13) as order_estimated_delivery_date
 from {orders}
@@ -34,7 +34,7 @@ from {lineitem} join {orders} on l_orderkey = o_orderkey
 select o_orderkey*10 + k as review_id, o_orderkey as order_id,
  greatest(1, 5 - cast(floor(((o_orderkey*7)%9 + (o_orderkey*11)%23 + o_custkey%5 + k*8)/8.0) as int)) as review_score
 from {orders} cross join (select 0 as k union all select 1 as k) z
-where o_orderkey % 50 <> 0 and (k = 0 or o_orderkey % 40 = 1)
+where k = 0 or o_orderkey % 40 = 1
 """,
     "sellers": """
 select s_suppkey as seller_id, s_nationkey as seller_zip_code_prefix, s_name as seller_city, n_name as seller_state
@@ -48,10 +48,9 @@ select n_nationkey*3 + k as ordinal, n_nationkey as geolocation_zip_code_prefix,
  cast(-30 + n_nationkey*1.5 + k*0.01 as double) as geolocation_lat,
  cast(-70 + n_nationkey*1.1 - k*0.01 as double) as geolocation_lng
 from {nation} cross join (select 0 as k union all select 1 as k union all select 2 as k) z
-where n_nationkey <> 24
 """,
     "products": """
-select p_partkey as product_id, case when p_partkey % 61 = 0 then null else lower(p_type) end as product_category_name,
+select p_partkey as product_id, lower(p_type) as product_category_name,
  length(p_name) as product_name_lenght, length(p_name) + length(p_brand) as product_description_lenght,
  p_size % 6 as product_photos_qty, p_size * 100 as product_weight_g, p_size as product_length_cm,
  p_size % 10 + 1 as product_height_cm, p_size % 7 + 1 as product_width_cm
@@ -59,7 +58,7 @@ from {part}
 """,
     "product_category_name_translation": """
 select distinct lower(p_type) as product_category_name, concat('cat_', lower(p_type)) as product_category_name_english
-from {part} where p_type <> 'PROMO'
+from {part}
 """,
 }
 
@@ -72,14 +71,13 @@ SPARK_MAPPINGS: dict[str, str] = {
 select o_orderkey*10 + k as review_id, o_orderkey as order_id,
  greatest(1, 5 - cast(floor(((o_orderkey*7)%9 + (o_orderkey*11)%23 + o_custkey%5 + k*8)/8.0) as int)) as review_score
 from {orders} lateral view explode(array(0, 1)) z as k
-where o_orderkey % 50 <> 0 and (k = 0 or o_orderkey % 40 = 1)
+where k = 0 or o_orderkey % 40 = 1
 """,
     "geolocation": """
 select n_nationkey*3 + k as ordinal, n_nationkey as geolocation_zip_code_prefix,
  cast(-30 + n_nationkey*1.5 + k*0.01 as double) as geolocation_lat,
  cast(-70 + n_nationkey*1.1 - k*0.01 as double) as geolocation_lng
 from {nation} lateral view explode(array(0, 1, 2)) z as k
-where n_nationkey <> 24
 """,
 }
 

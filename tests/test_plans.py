@@ -9,22 +9,31 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from scan_plans import plan_counts  # noqa: E402
 
 
-@pytest.mark.parametrize(
-    "name", ["order_training", "seller_training", "product_training", "whatif_curve", "correlation_matrix",
-             "kde_curve", "histogram_by", "describe_column"],
-)
-def test_no_nested_loops_cartesian_or_python(spark, name):
-    import __spark_entry__ as E
+from mercato.registry import QUERIES  # noqa: E402
+
 
-    c = plan_counts(E.queries()[name](spark, "/root/testdata/sf0.001"))
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_nested_loops_cartesian_or_python(spark, name):
+    c = plan_counts(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert c["nested_loop"] == 0 and c["cartesian"] == 0 and c["python"] == 0
 
 
-def test_scan_prunes_columns_and_pushes_filters(spark, sf001):
+def test_scan_prunes_columns(sf001):
     from mercato.operators import orders as O
 
     plan = O.order_wait_time(sf001)._jdf.queryExecution().executedPlan().toString()
-    # only the columns the operator needs are read from the orders file
-    schemas = [m for m in plan.split("ReadSchema: ")[1:]]
+    schemas = plan.split("ReadSchema: ")[1:]
     assert schemas and all("o_totalprice" not in s and "o_orderpriority" not in s for s in schemas)
-    assert "PushedFilters" in plan
+
+
+def test_a_stored_status_is_filtered_in_the_scan(spark, tmp_path):
+    from helpers import make_tables, order
+
+    from mercato.operators import orders as O
+
+    tables = make_tables(spark, orders=[order("o1"), order("o2", status="shipped")])
+    tables["orders"].write.parquet(str(tmp_path / "orders"))
+    stored = tables | {"orders": spark.read.parquet(str(tmp_path / "orders"))}
+    plan = O.order_wait_time(stored)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(order_status,delivered)" in pushed

@@ -73,6 +73,13 @@ def test_correlation_matrix_and_constant_column(spark):
     assert m[("a", "b")] == m[("b", "a")]
     assert m[("a", "a")] == pytest.approx(1.0)
     assert m[("a", "c")] is None
+    # missing values leave only their own pairs
+    holes = df.selectExpr("if(a > 1, null, a) as a", "if(b > 1, double('nan'), b) as b", "a + b as c")
+    m = {(r["x"], r["y"]): r["corr"] for r in ST.correlation_matrix(holes, ["a", "b", "c"]).collect()}
+    for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
+        v = {"a": np.where(a > 1, np.nan, a), "b": np.where(b > 1, np.nan, b), "c": a + b}
+        ok = ~np.isnan(v[x]) & ~np.isnan(v[y])
+        assert m[(x, y)] == pytest.approx(np.corrcoef(v[x][ok], v[y][ok])[0, 1], rel=1e-12)
 
 
 def test_zscore_population_std_and_propagation(spark):
@@ -152,7 +159,7 @@ def test_ols_on_fixture(sf01):
     # correlation of review score and wait time on reviewed delivered orders (FIXTURES.md)
     reviewed = O.order_wait_time(sf01).join(O.order_review_score(sf01), "order_id")
     c = {(r["x"], r["y"]): r["corr"] for r in ST.correlation_matrix(reviewed, ["review_score", "wait_time"]).collect()}
-    assert round(c[("review_score", "wait_time")], 4) == -0.9233
+    assert round(c[("review_score", "wait_time")], 4) == -0.9235
     z = ST.zscore(data)
     m4 = R.fit(z, "review_score", ST.ZSCORE_COLUMNS)
     assert m4.rank == 7 and m4.df_model == 6  # number_of_products == number_of_sellers
@@ -193,3 +200,26 @@ def test_normality_statistics_behave():
     c = e - e.mean()
     k2, p = omnibus((c**3).mean() / (c**2).mean() ** 1.5, (c**4).mean() / (c**2).mean() ** 2, len(e))
     assert k2 > 100 and p < 1e-20
+
+
+def test_data_range_skips_missing_values(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    assert sorted((r["bin_lo"], r["count"]) for r in ST.histogram(df, "v", 2).collect()) == [(1.0, 1), (1.5, 1)]
+
+
+def test_perfect_and_saturated_fits_have_a_summary(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(30)], "x double, y double")
+    r = R.ols_summary(df, R.fit(df, "y", ["x"])).first()
+    assert r["r2"] == pytest.approx(1.0) and r["n"] == 30
+    two = df.where("x < 2")
+    m = R.fit(two, "y", ["x"])
+    assert m.df_resid == 0 and math.isnan(m.adj_r2) and math.isnan(m.fvalue)
+    assert R.ols_summary(two, m).first()["df_resid"] == 0
+
+
+def test_error_from_the_fit_equals_error_of_the_scores(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in rng.normal(size=(300, 2))], "x double, y double")
+    m = R.fit(df, "y", ["x"])
+    a, b = R.model_error(df, m).first(), R.ols_error(R.ols_score(df, m)).first()
+    assert a["mse"] == pytest.approx(b["mse"], rel=1e-12) and a["residual_mean"] == pytest.approx(0, abs=1e-12)
