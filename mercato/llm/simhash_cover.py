@@ -206,7 +206,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         if len(key):
             yield linked(key, val)
 
-    replicas = prints.select("print").distinct().mapInArrow(replicate, "anchor long, print long")
+    # few bytes make many replicas: dealt out evenly, else the small table would be replicated by a few tasks
+    replicas = prints.select("print").distinct().repartition(n).mapInArrow(replicate, "anchor long, print long")
     hot = replicas.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor", F.ceil(F.col("count") / HOT).cast("int").alias("cuts"))
     tiled = attach_lookup(replicas, hot, ["anchor"], F.col("print"))
     row = F.pmod(F.xxhash64("print"), F.col("cuts")).cast("int")
