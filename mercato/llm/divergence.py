@@ -21,6 +21,8 @@ from mercato.plans.ranges import attach_lookup
 #: Most frequent words of a language that a histogram counts.
 COMMON = 24
 LEAST_CHARS, LEAST_WORDS = 200, 50
+#: Bits that the place of a window takes in the sorted longs.
+PLACE_BITS = 24
 #: Largest distances of a kept document.
 MOST_CLASS, MOST_WORD = 0.30, 0.45
 
@@ -44,18 +46,26 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         F.length("text").cast("long").alias("_all"), (sizes[1] - sizes[2]).alias("_space"),
         (F.length("left_2") - F.length(F.regexp_replace("left_2", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"))
-    # windows of three words sorted by hash: equal ones become neighbours
-    hashes = F.transform("words", lambda w: F.xxhash64(w))
-    out = out.withColumn("hashes", hashes)
+    # Windows of three words, as hash and place in one long, sorted: equal ones become neighbours.  The hash
+    # loses PLACE_BITS bits to the place; where that makes different windows look equal (or a text has too
+    # many words) the row takes the same way with hash and place side by side.
+    out = out.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     n = F.size("words")
-    windows = F.when(n >= 3, F.array_sort(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(
-        F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)).alias("h"), i.alias("i"))))).otherwise(
-        F.array().cast("array<struct<h:bigint,i:int>>"))
-    out = out.withColumn("windows", windows)
-    again = F.filter("windows", lambda x, k: (x["h"] == F.get("windows", k - 1)["h"]) | (x["h"] == F.get("windows", k + 1)["h"]))
-    out = out.withColumn("again", F.array_sort(F.transform(again, lambda x: x["i"])))
+    low = (1 << PLACE_BITS) - 1
+    out = out.withColumn("windows", F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
+        F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)))).otherwise(F.array().cast("array<bigint>")))
+    high = lambda x: F.shiftright(x, PLACE_BITS)
+    out = out.withColumn("packed", F.sort_array(F.transform("windows", lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long")))))
+    out = out.withColumn("same", F.filter("packed", lambda x, k: (high(x) == high(F.get("packed", k - 1))) | (high(x) == high(F.get("packed", k + 1)))))
+    full = lambda x: F.get("windows", x.bitwiseAND(F.lit(low)).cast("int"))
+    clash = F.exists(F.transform("same", lambda x, k: (high(x) == high(F.get("same", k + 1))) & (full(x) != full(F.get("same", k + 1)))), lambda x: x)
+    out = out.withColumn("clash", F.coalesce(clash, F.lit(False)) | (n > low))
+    out = out.withColumn("pairs", F.when(F.col("clash"), F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    slow = F.transform(F.filter("pairs", lambda x, k: (x["h"] == F.get("pairs", k - 1)["h"]) | (x["h"] == F.get("pairs", k + 1)["h"])), lambda x: x["i"].cast("long"))
+    fast = F.transform("same", lambda x: x.bitwiseAND(F.lit(low)))
+    out = out.withColumn("again", F.sort_array(F.when(F.col("clash"), slow).otherwise(fast)))
     # a repeated window covers three words, or those up to the next one
-    covered = F.aggregate(F.sequence(F.lit(0), F.size("again") - 1), F.lit(0), lambda acc, k: acc + F.least(F.coalesce(F.get("again", k + 1) - F.get("again", k), F.lit(3)), F.lit(3)))
+    covered = F.aggregate(F.sequence(F.lit(0), F.size("again") - 1), F.lit(0).cast("long"), lambda acc, k: acc + F.least(F.coalesce(F.get("again", k + 1) - F.get("again", k), F.lit(3)), F.lit(3)).cast("long"))
     return out.select(
         "doc_id", "lang", "n_chars", "words", "classes", n.cast("long").alias("n_words"),
         (F.col("_all") - F.col("_space")).cast("long").alias("word_chars"), "n_symbols", "n_dup_lines",
