@@ -18,6 +18,7 @@ from mercato.functions.exprs import (
     star_flag,
     sum_or_zero,
 )
+from mercato.plans.ranges import salted_join
 
 Tables = dict[str, DataFrame]
 
@@ -112,10 +113,9 @@ def first_location_by_zip(tables: Tables) -> DataFrame:
 def seller_locations(tables: Tables) -> DataFrame:
     """``seller_id, seller_lat, seller_lng`` (one row per seller row that has a location)."""
     geo = first_location_by_zip(tables)
+    sellers = tables["sellers"].select("seller_id", F.col("seller_zip_code_prefix").alias("zip"))
     return (
-        tables["sellers"]
-        .select("seller_id", F.col("seller_zip_code_prefix").alias("zip"))
-        .join(geo, "zip")
+        salted_join(sellers, geo, "zip", F.col("seller_id"))
         .select("seller_id", F.col("lat").alias("seller_lat"), F.col("lng").alias("seller_lng"))
     )
 
@@ -124,11 +124,9 @@ def order_customer_locations(tables: Tables) -> DataFrame:
     """``order_id, customer_lat, customer_lng`` through the order's customer zip."""
     geo = first_location_by_zip(tables)
     customers = tables["customers"].select("customer_id", F.col("customer_zip_code_prefix").alias("zip"))
+    orders = tables["orders"].select("order_id", "customer_id").join(customers, "customer_id")
     return (
-        tables["orders"]
-        .select("order_id", "customer_id")
-        .join(customers, "customer_id")
-        .join(geo, "zip")
+        salted_join(orders, geo, "zip", F.col("order_id"))
         .select("order_id", F.col("lat").alias("customer_lat"), F.col("lng").alias("customer_lng"))
     )
 
@@ -137,7 +135,7 @@ def order_item_distance(tables: Tables) -> DataFrame:
     """Per item: km between the seller's and the customer's zip locations (any status)."""
     items = tables["order_items"].select("order_id", "order_item_id", "product_id", "seller_id")
     return (
-        items.join(seller_locations(tables), "seller_id")
+        salted_join(items, seller_locations(tables), "seller_id", F.col("order_id"))
         .join(order_customer_locations(tables), "order_id")
         .select(
             "order_id",

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from mercato.functions.exprs import bin_edge, bin_index, round_half_even
 from mercato.plans.quantiles import exact_quantiles
+from mercato.plans.ranges import salted_join
 
 # The numeric columns of the order training table (ids excluded).
 ORDER_NUMERIC = [
@@ -234,7 +235,7 @@ def kde_curve(
     contrib = F.col("w") * F.exp(F.lit(-0.5) * u * u)
     norm = F.col("n") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi))
     return (
-        values.join(params, by)
+        salted_join(values, params, by, F.col("v"), 32)  # a group's values are spread over tasks
         .select(by, "v", "w", "n", "bw", "g_lo", "g_hi", "g_step",
                 F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("point"))
         .withColumns({"gx": grid_x, "norm": norm})

@@ -50,3 +50,15 @@ def attach_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], salt_by: Co
     left = df.withColumn("_salt_l", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
     on = [left[k].eqNullSafe(salted[r]) for k, r in right.items()] + [left["_salt_l"] == salted["_salt_r"]]
     return left.join(salted, on, "left").drop("_salt_l", "_salt_r", *right.values())
+
+
+def salted_join(df: DataFrame, lookup: DataFrame, key: str, salt_by: Column, salts: int = 8) -> DataFrame:
+    """Inner join of a large table with a small one that has few rows per key, on the key and a salt.
+
+    The small side is repeated once per salt, so the rows of a hot key go to
+    ``salts`` tasks whether or not the planner finds the small side small
+    enough to broadcast.  Null keys match nothing.
+    """
+    left = df.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "_salt"]).drop("_salt")

@@ -150,3 +150,21 @@ def test_null_keys_never_join(spark):
     got = O.order_training(t).collect()
     assert [(r["order_id"], r["review_score"]) for r in got] == [("o1", 4)]
     assert [r["order_id"] for r in O.order_distance(t).collect()] == ["o1"]
+
+
+def test_a_hot_zip_and_seller_without_broadcast(spark):
+    """A third of the orders on one zip and of the items on one seller, joined without broadcasting."""
+    orders = spark.range(3000).selectExpr("concat('o', id) as order_id", "concat('c', if(id % 3 = 0, 0, id)) as customer_id")
+    items = spark.range(3000).selectExpr("concat('o', id) as order_id", "1 as order_item_id", "'p' as product_id", "concat('s', if(id % 3 = 1, 0, id % 50)) as seller_id")
+    t = make_tables(spark, customers=[(f"c{k}", f"z{k % 40}") for k in range(3000)], sellers=[(f"s{k}", f"z{k % 40}", "c", "s") for k in range(50)],
+                    geolocation=[(k, f"z{k}", -20.0 - k / 10, -40.0) for k in range(40)]) | {"orders": orders, "order_items": items}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = {r["order_id"]: r["distance_seller_customer"] for r in O.order_distance(t).collect()}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = {r["order_id"]: r["distance_seller_customer"] for r in O.order_distance(t).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == want and len(got) == 3000
+    one = 6371 * math.pi / 180 / 10  # km between neighbouring zips
+    assert got["o1"] == pytest.approx(abs(1 - 0) * one, rel=1e-6)
