@@ -24,9 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import partitions
+from mercato.llm.common import partitions, stored
 from mercato.llm.components import connected_components
-from mercato.plans.lineage import materialize
 from mercato.plans.ranges import attach_lookup
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -229,12 +228,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     all its ids are null); repeated rows each give a row; an empty table
     gives none; other columns are not read.
     """
-    prints = materialize(fingerprints(docs, shingle, id_col, text_col))
-    roots = materialize(connected_components(links(prints, max_bits)))
+    return with_roots(docs, shingle, max_bits, id_col, text_col).drop("root")
+
+
+def with_roots(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` with the fingerprint ``root`` that tells components apart (their ids may not: rows can share one)."""
+    prints = stored(fingerprints(docs, shingle, id_col, text_col))
+    roots = stored(connected_components(links(prints, max_bits)))
     classes = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
     rooted = classes.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialize(rooted.join(names, "root").select("print", "component_id"))
+    named = stored(rooted.join(names, "root").select("print", "component_id", "root"))
     # a hot class is spread over salts; there is one row for each class on the other side
     return salted_join(prints, named, "print", "doc_id")
 
@@ -251,9 +255,9 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     Of repeated rows with that id one stays.  A component without any id
     keeps one of its rows.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
+    found = with_roots(docs, shingle, max_bits, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "print")
-    best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("print")).alias("p")).agg(F.min(order).alias("best"))
+    best = found.groupBy("root").agg(F.min(order).alias("best"))
     keep = best.select(F.col("best.doc_id").alias("_keep_id"), F.col("best.print").alias("_keep_print"))
     at = docs.columns.index(text_col)
     base = docs.withColumn("_print", F.lit(0).cast("long"))
