@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.plans.lineage import materialize
+
 #: The separators of words: space, and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
@@ -22,3 +26,18 @@ def words_of(text: Column) -> Column:
     """The words of a text (runs without white space); null or blank: no words."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_CLASS))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there.
+
+    The shuffle files behind it serve nothing any more.  Spark removes them
+    when the driver collects their handles as garbage, which it is asked to
+    do here: otherwise the files of all steps would lie on the executors'
+    disks until the driver happens to run out of memory.
+    """
+    out = materialize(df)
+    del df
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.plans.lineage import ensure_checkpoint_dir
-from mercato.plans.ranges import SALTS
+from mercato.llm.common import stored
+
+#: Parts that the links of one node are dealt to.
+SALTS = 8
 
 
 def _least(links: DataFrame) -> DataFrame:
@@ -32,9 +34,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     is written to the shared checkpoint folder.  Rows with a null end and
     links of a node with itself are no links; an empty table has no nodes.
     """
-    ensure_checkpoint_dir(links.sparkSession)
     own = links.select(F.col("a"), F.col("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    now = own.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
+    now = stored(own.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     seen = None
     while True:
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -42,9 +43,9 @@ def connected_components(links: DataFrame) -> DataFrame:
             return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
                 now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
         seen = mark
-        large = _with_least(now, "a", "b", "left").select(F.coalesce("least", "a").alias("a"), "b").distinct()
+        large = _with_least(now, "a", "b", "left").select(F.coalesce("least", "a").alias("a"), "b")
         hung = _with_least(large, "b", "a", "inner")
         small = hung.select(F.explode(F.array(
             F.struct(F.col("least").alias("a"), F.col("b").alias("b")),
             F.struct(F.col("least").alias("a"), hung["a"].alias("b")))).alias("x")).select("x.a", "x.b").where(F.col("a") != F.col("b"))
-        now = small.distinct().checkpoint()
+        now = stored(small.distinct())

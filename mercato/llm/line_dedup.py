@@ -8,11 +8,12 @@ of a band share a bucket.
 
 Candidates are verified by the exact Jaccard similarity of their shingles, in
 two steps that together cover every pair of a bucket without listing them
-all.  First each line is compared with its bucket's most frequent one; what
-this links, a distributed union-find joins.  Then only pairs of a bucket whose
-lines are still in different components are looked at, and of these only such
-as an exact bound from 256-bit maps of their shingles leaves possible.  Pairs
-inside a component need no comparison: they could not change it.
+all.  First each line is compared with the ``HUBS`` most frequent ones of its
+bucket; what this links, a distributed union-find joins.  Then the pairs of a
+bucket whose lines are still in different components are looked at.  Pairs
+inside a component need no comparison: they could not change it.  Both steps
+verify only such pairs as an exact bound from 512-bit maps of the shingles
+leaves possible.
 
 DataFrame functions only.
 """
@@ -22,15 +23,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import SPACES
+from mercato.llm.common import SPACES, stored
 from mercato.llm.components import connected_components
-from mercato.plans.lineage import materialize
 
 #: Lines with fewer characters are structure, not content, and always stay.
 LEAST = 20
 SHINGLE, SIMILARITY = 16, 0.8
 BANDS, ROWS = 6, 2
-MAPS, SALTS = 4, 8
+MAPS, SALTS = 8, 8
+#: Lines of a bucket that all others are compared with at first, and lines of a bucket that are compared in one task.
+HUBS, TASK = 16, 10_000
 # From each word's start on up to SHINGLE characters, without moving past them.
 PATTERN = rf"(?s)(?<!\S)(?=(\S.{{0,{SHINGLE - 1}}}))"
 
@@ -65,23 +67,70 @@ def place() -> Column:
 
 
 def candidates(lines: DataFrame) -> DataFrame:
-    """``id, n, first, line, buckets`` of every line that occurs again or shares a bucket; a bucket is (bucket, hub)."""
+    """``id, n, first`` of every line that occurs again or shares a bucket; for the latter also ``line, buckets``,
+    the number of its shingles (``size``) and their maps (``x0``...)."""
     distinct = lines.groupBy("id").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("n"), F.min(place()).alias("first"))
-    hashes = distinct.select("id", "n", F.explode(shingles(F.col("line"))).alias("s")).select("id", "n", F.xxhash64("s").alias("h"))
-    signed = hashes.groupBy("id").agg(F.max("n").alias("n"), *[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(masks(BANDS * ROWS))])
-    banded = signed.select("id", "n", F.explode(F.array(*[
+    # naming ``first`` and ``n`` here keeps both uses of the distinct lines the same, so that they share one shuffle
+    hashes = distinct.where(F.col("first").isNotNull() & (F.col("n") > 0)).select("id", F.explode(shingles(F.col("line"))).alias("s")).select("id", F.xxhash64("s").alias("h"))
+    signed = hashes.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(masks(BANDS * ROWS))])
+    banded = signed.select("id", F.explode(F.array(*[
         F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])).alias("bucket"))
     bucket = Window.partitionBy("bucket")
-    shared = (banded.withColumns({"hub": F.max(F.struct("n", "id")).over(bucket), "size": F.count(F.lit(1)).over(bucket)})
-              .where(F.col("size") > 1).select("id", F.struct("bucket", F.col("hub.id").alias("hub")).alias("b")))
-    buckets = shared.groupBy("id").agg(F.collect_list("b").alias("buckets"))  # at most BANDS of a line
-    return (distinct.join(buckets, "id", "left").where((F.col("n") > 1) | F.col("buckets").isNotNull())
-            .select("id", "n", "first", F.when(F.col("buckets").isNotNull(), F.col("line")).alias("line"), "buckets"))
+    shared = banded.withColumn("lines", F.count(F.lit(1)).over(bucket)).where(F.col("lines") > 1)
+    buckets = shared.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))  # at most BANDS of a line
+    known = (distinct.join(buckets, "id", "left").where((F.col("n") > 1) | F.col("buckets").isNotNull())
+             .select("id", "n", "first", F.when(F.col("buckets").isNotNull(), F.col("line")).alias("line"), "buckets")
+             .withColumn("s", hashed_shingles()))
+    return known.select("id", "n", "first", "line", "buckets", F.size("s").alias("size"), *[map_of(k).alias(f"x{k}") for k in range(MAPS)])
+
+
+def hashed_shingles() -> Column:
+    """The distinct shingles of ``line`` as hashes; null for a null line."""
+    return F.array_distinct(F.transform(shingles(F.col("line")), lambda x: F.xxhash64(x)))
+
+
+def map_of(k: int) -> Column:
+    """The k-th map of the shingles ``s``: bit h / MAPS modulo 64 for every hash h that is k modulo MAPS."""
+    def put(acc: Column, h: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, MAPS.bit_length() - 1), F.lit(64)).cast("int"))
+        return F.when(F.pmod(h, F.lit(MAPS)) == k, acc.bitwiseOR(bit)).otherwise(acc)
+
+    return F.aggregate("s", F.lit(0).cast("long"), put)
+
+
+def possible(a, b, similarity: float) -> Column:
+    """Whether two lines can be similar enough: a bit of one's maps that the other's lack is a shingle the other lacks."""
+    def alone(x, y) -> Column:
+        bits = [F.bit_count(x(f"x{k}").bitwiseAND(F.bitwise_not(y(f"x{k}")))) for k in range(MAPS)]
+        return sum(bits[1:], bits[0])
+
+    most = F.least(a("size") - alone(a, b), b("size") - alone(b, a))
+    return most >= F.lit(similarity) * (a("size") + b("size") - most)
+
+
+def in_buckets(known: DataFrame, *more: str) -> DataFrame:
+    """A row for each bucket of each line."""
+    return known.where(F.col("buckets").isNotNull()).select("id", "n", "size", *more, *[f"x{k}" for k in range(MAPS)], F.explode("buckets").alias("bucket"))
+
+
+def hub_pairs(known: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of each line with its buckets' most frequent lines that the maps don't rule out."""
+    order = Window.partitionBy("bucket").orderBy(F.col("n").desc(), F.xxhash64("id"), "id")
+    cuts = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("bucket")) / TASK).cast("int")
+    rows = in_buckets(known).withColumns({"place": F.row_number().over(order), "cuts": cuts})
+    maps = [f"x{k}" for k in range(MAPS)]
+    hubs = (rows.where(F.col("place") <= HUBS).groupBy("bucket").agg(F.collect_list(F.struct("id", "size", *maps)).alias("hubs"), F.max("cuts").alias("cuts"))
+            .select(F.col("bucket").alias("of"), "hubs", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part")))
+    left = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"))
+    met = left.join(hubs, (left["bucket"] == hubs["of"]) & (left["salt"] == hubs["part"]))
+    near = F.filter("hubs", lambda h: (h["id"] != F.col("id")) & possible(F.col, lambda c: h[c], similarity))
+    pairs = met.select("id", F.explode(near).alias("hub")).select("id", F.col("hub.id").alias("hub"))
+    return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough."""
-    sets = known.where(F.col("line").isNotNull()).select("id", F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s))).alias("s"))
+    sets = known.where(F.col("line").isNotNull()).select("id", hashed_shingles().alias("s"))
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("s_a")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b"))
     counted = both.select("a", "b", F.size("s_a").alias("n_a"), F.size("s_b").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).alias("n"))
@@ -89,50 +138,34 @@ def verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame
 
 
 def remaining_pairs(known: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of a bucket in different components that the 256-bit maps don't rule out."""
-    s = F.array_distinct(F.transform(shingles(F.col("line")), lambda x: F.xxhash64(x)))
-    sized = known.where(F.col("line").isNotNull()).select("id", "buckets", s.alias("s"))
-
-    def bits(k: int) -> Column:
-        """The k-th map: bit h / 4 modulo 64 for every hash h that is k modulo 4."""
-        def put(acc: Column, h: Column) -> Column:
-            bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 2), F.lit(64)).cast("int"))
-            return F.when(F.pmod(h, F.lit(MAPS)) == k, acc.bitwiseOR(bit)).otherwise(acc)
-
-        return F.aggregate("s", F.lit(0).cast("long"), put)
-
-    maps = [bits(k).alias(f"x{k}") for k in range(MAPS)]
-    rows = (sized.select("id", "buckets", F.size("s").alias("size"), *maps)
-            .join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-            .select("id", "root", "size", *[f"x{k}" for k in range(MAPS)], F.explode("buckets.bucket").alias("bucket")))
+    """Pairs of a bucket in different components that the maps don't rule out, each in the first bucket that both are in."""
+    rows = (in_buckets(known, "buckets").drop("n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")))
     mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
     open_rows = rows.join(mixed, "bucket")
     a = open_rows.select(*[F.col(c).alias(f"{c}_a") for c in open_rows.columns]).withColumn("salt_a", F.pmod(F.xxhash64("id_a"), F.lit(SALTS)).cast("int"))
     b = open_rows.select(*[F.col(c).alias(f"{c}_b") for c in open_rows.columns]).withColumn("salt_b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-
-    def alone(x: str, y: str) -> Column:
-        """At least so many shingles of x that y lacks: bits of x's maps that y's do not have."""
-        return sum((F.bit_count(F.col(f"x{k}_{x}").bitwiseAND(F.bitwise_not(F.col(f"x{k}_{y}")))) for k in range(1, MAPS)),
-                   F.bit_count(F.col(f"x0_{x}").bitwiseAND(F.bitwise_not(F.col(f"x0_{y}")))))
-
-    most = F.least(F.col("size_a") - alone("a", "b"), F.col("size_b") - alone("b", "a"))
     on = ((F.col("bucket_a") == F.col("bucket_b")) & (F.col("salt_a") == F.col("salt_b")) & (F.col("root_a") < F.col("root_b"))
-          & (most >= F.lit(similarity) * (F.col("size_a") + F.col("size_b") - most)))
-    return a.join(b, on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+          & possible(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"), similarity)
+          & (F.col("bucket_a") == F.array_min(F.array_intersect("buckets_a", "buckets_b"))))
+    return a.join(b, on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def repeated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, of, gone``: of each document with lines to remove their numbers."""
     lines = judged_lines(docs, id_col, text_col)
-    known = materialize(candidates(lines))
-    stars = known.where(F.col("buckets").isNotNull()).select("id", F.explode("buckets.hub").alias("hub")).where(F.col("id") != F.col("hub"))
-    near = materialize(verified(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), known, similarity))
-    roots = materialize(connected_components(near))
+    known = stored(candidates(lines))
+    near = stored(verified(hub_pairs(known, similarity), known, similarity))
+    roots = stored(connected_components(near))
     more = verified(remaining_pairs(known, roots, similarity), known, similarity)
-    roots = materialize(connected_components(near.unionByName(more)))
-    grouped = known.select("id", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    # the second round only joins components, so it works on their roots
+    root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    between = (more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+               .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    joined = stored(connected_components(between)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    grouped = (known.select("id", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+               .join(joined, "root", "left").select("id", "first", F.coalesce("top", "root").alias("root")))
     firsts = grouped.groupBy("root").agg(F.min("first").alias("stays"))
-    verdicts = materialize(grouped.join(firsts, "root").select("id", "stays"))
+    verdicts = stored(grouped.join(firsts, "root").select("id", "stays"))
     # a line that a third of all documents have is spread over salts
     told = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     where = lines.drop("line").withColumn("salt", F.pmod(F.xxhash64("of", "no"), F.lit(SALTS)).cast("int"))
