@@ -2,9 +2,11 @@
 
 Equal lines (without the white space at their ends) are one line with a count
 from the first shuffle on.  A line's shingles are the ``SHINGLE`` characters
-from each word's start on; its signature holds, for each of ``BANDS`` times
-``ROWS`` random masks, the smallest masked hash.  Lines that agree in all rows
-of a band share a bucket.
+from each of its characters on, so text without spaces is judged in whole.
+They are dealt to ``BINS`` bins by their hash; the signature holds the smallest
+of each bin under several hash functions, ``BANDS`` times ``ROWS`` in all.
+Lines that agree in all rows of a band, which are of different bins, share a
+bucket.
 
 Candidates are verified by the exact Jaccard similarity of their shingles, in
 two steps that together cover every pair of a bucket without listing them
@@ -28,26 +30,30 @@ from mercato.llm.components import connected_components
 
 #: Lines with fewer characters are structure, not content, and always stay.
 LEAST = 20
-SHINGLE, SIMILARITY = 16, 0.8
-BANDS, ROWS = 6, 2
+SHINGLE, SIMILARITY = 5, 0.8
+BANDS, ROWS = 16, 5
+#: A multiple of it is BANDS * ROWS.  More bins take fewer hash functions, but short lines leave more of them empty.
+BINS = 8
 MAPS, SALTS = 8, 8
 #: Lines of a bucket that all others are compared with at first, and lines of a bucket that are compared in one task.
 HUBS, TASK = 16, 10_000
-# From each word's start on up to SHINGLE characters, without moving past them.
-PATTERN = rf"(?s)(?<!\S)(?=(\S.{{0,{SHINGLE - 1}}}))"
+# The shingles of a line as the groups of a regular expression.
+PATTERN = rf"(?s)(?=(.{{{SHINGLE}}}))"
 
 
-def masks(n: int) -> list[int]:
-    """Constants whose exclusive or with a hash gives n different random orders (a fixed linear recurrence)."""
-    out, x = [], 0x2545F4914F6CDD1D
-    for _ in range(n):
-        x = (x * 6364136223846793005 + 1442695040888963407) % 2**64
-        out.append((x ^ (x >> 33)) - 2**63)
-    return out
+def starts(code_points: Column) -> Column:
+    """Where the shingles of a line start, in bytes of its UTF-32 form: there a place is found without walking the line."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(code_points) - (4 * SHINGLE - 1), F.lit(1)), F.lit(4))
 
 
-def shingles(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(PATTERN), F.lit(1))
+def hash_at(code_points: Column, at: Column) -> Column:
+    return F.xxhash64(F.substring(code_points, at, F.lit(4 * SHINGLE)))
+
+
+def shingle_hashes(lines: DataFrame) -> DataFrame:
+    """``id, h``: a row for every shingle of every ``line``."""
+    points = lines.select("id", F.encode("line", "UTF-32").alias("c"))
+    return points.select("id", "c", F.explode(starts(F.col("c"))).alias("at")).select("id", hash_at(F.col("c"), F.col("at")).alias("h"))
 
 
 def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,35 +73,41 @@ def place() -> Column:
 
 
 def candidates(lines: DataFrame) -> DataFrame:
-    """``id, n, first`` of every line that occurs again or shares a bucket; for the latter also ``line, buckets``,
-    the number of its shingles (``size``) and their maps (``x0``...)."""
+    """``id, n, first`` of every line that occurs again or shares a bucket; for the latter also ``line, buckets``."""
     distinct = lines.groupBy("id").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("n"), F.min(place()).alias("first"))
     # naming ``first`` and ``n`` here keeps both uses of the distinct lines the same, so that they share one shuffle
-    hashes = distinct.where(F.col("first").isNotNull() & (F.col("n") > 0)).select("id", F.explode(shingles(F.col("line"))).alias("s")).select("id", F.xxhash64("s").alias("h"))
-    signed = hashes.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(masks(BANDS * ROWS))])
+    hashes = shingle_hashes(distinct.where(F.col("first").isNotNull() & (F.col("n") > 0)))
+    minima = [F.min(F.xxhash64("h", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS // BINS)]
+    binned = hashes.groupBy("id", F.pmod("h", F.lit(BINS)).alias("bin")).agg(*minima)
+    slots = [F.min(F.when(F.col("bin") == s % BINS, F.col(f"m{s // BINS}"))).alias(f"s{s}") for s in range(BANDS * ROWS)]
+    signed = binned.groupBy("id").agg(*slots)
     banded = signed.select("id", F.explode(F.array(*[
-        F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])).alias("bucket"))
+        F.xxhash64(F.lit(b), *[F.col(f"s{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])).alias("bucket"))
     bucket = Window.partitionBy("bucket")
     shared = banded.withColumn("lines", F.count(F.lit(1)).over(bucket)).where(F.col("lines") > 1)
     buckets = shared.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))  # at most BANDS of a line
-    known = (distinct.join(buckets, "id", "left").where((F.col("n") > 1) | F.col("buckets").isNotNull())
-             .select("id", "n", "first", F.when(F.col("buckets").isNotNull(), F.col("line")).alias("line"), "buckets")
-             .withColumn("s", hashed_shingles()))
-    return known.select("id", "n", "first", "line", "buckets", F.size("s").alias("size"), *[map_of(k).alias(f"x{k}") for k in range(MAPS)])
+    return (distinct.join(buckets, "id", "left").where((F.col("n") > 1) | F.col("buckets").isNotNull())
+            .select("id", "n", "first", F.when(F.col("buckets").isNotNull(), F.col("line")).alias("line"), "buckets"))
 
 
-def hashed_shingles() -> Column:
-    """The distinct shingles of ``line`` as hashes; null for a null line."""
-    return F.array_distinct(F.transform(shingles(F.col("line")), lambda x: F.xxhash64(x)))
+def with_maps(known: DataFrame) -> DataFrame:
+    """``id, n, buckets`` of the lines that share a bucket, with the number of their distinct shingles (``size``) and the maps of these (``x0``...)."""
+    alike = known.where(F.col("line").isNotNull())
+    each = shingle_hashes(alike).groupBy("id", "h").agg(F.lit(1).alias("one"))
+    maps = each.groupBy("id").agg(F.count("one").cast("int").alias("size"), *[map_of(k).alias(f"x{k}") for k in range(MAPS)])
+    return alike.select("id", "n", "buckets").join(maps, "id")
 
 
-def map_of(k: int) -> Column:
-    """The k-th map of the shingles ``s``: bit h / MAPS modulo 64 for every hash h that is k modulo MAPS."""
-    def put(acc: Column, h: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, MAPS.bit_length() - 1), F.lit(64)).cast("int"))
-        return F.when(F.pmod(h, F.lit(MAPS)) == k, acc.bitwiseOR(bit)).otherwise(acc)
+def hashed_shingles(line: Column) -> Column:
+    """The distinct shingles of a line as hashes."""
+    points = F.encode(line, "UTF-32")
+    return F.array_distinct(F.transform(starts(points), lambda at: hash_at(points, at)))
 
-    return F.aggregate("s", F.lit(0).cast("long"), put)
+
+def map_of(k: int) -> Column:
+    """The k-th map of the shingles of a group: bit h / MAPS modulo 64 for every hash h that is k modulo MAPS."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("h", MAPS.bit_length() - 1), F.lit(64)).cast("int"))
+    return F.bit_or(F.when(F.pmod("h", F.lit(MAPS)) == k, bit).otherwise(F.lit(0).cast("long")))
 
 
 def possible(a, b, similarity: float) -> Column:
@@ -108,16 +120,16 @@ def possible(a, b, similarity: float) -> Column:
     return most >= F.lit(similarity) * (a("size") + b("size") - most)
 
 
-def in_buckets(known: DataFrame, *more: str) -> DataFrame:
+def in_buckets(mapped: DataFrame, *more: str) -> DataFrame:
     """A row for each bucket of each line."""
-    return known.where(F.col("buckets").isNotNull()).select("id", "n", "size", *more, *[f"x{k}" for k in range(MAPS)], F.explode("buckets").alias("bucket"))
+    return mapped.select("id", "n", "size", *more, *[f"x{k}" for k in range(MAPS)], F.explode("buckets").alias("bucket"))
 
 
-def hub_pairs(known: DataFrame, similarity: float) -> DataFrame:
+def hub_pairs(mapped: DataFrame, similarity: float) -> DataFrame:
     """Pairs of each line with its buckets' most frequent lines that the maps don't rule out."""
     order = Window.partitionBy("bucket").orderBy(F.col("n").desc(), F.xxhash64("id"), "id")
     cuts = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("bucket")) / TASK).cast("int")
-    rows = in_buckets(known).withColumns({"place": F.row_number().over(order), "cuts": cuts})
+    rows = in_buckets(mapped).withColumns({"place": F.row_number().over(order), "cuts": cuts})
     maps = [f"x{k}" for k in range(MAPS)]
     hubs = (rows.where(F.col("place") <= HUBS).groupBy("bucket").agg(F.collect_list(F.struct("id", "size", *maps)).alias("hubs"), F.max("cuts").alias("cuts"))
             .select(F.col("bucket").alias("of"), "hubs", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part")))
@@ -130,16 +142,18 @@ def hub_pairs(known: DataFrame, similarity: float) -> DataFrame:
 
 def verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough."""
-    sets = known.where(F.col("line").isNotNull()).select("id", hashed_shingles().alias("s"))
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("s_a")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b"))
+    # the texts travel and not the sets, which are many times larger
+    text = known.where(F.col("line").isNotNull()).select("id", "line")
+    both = (pairs.join(text.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
+            .join(text.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+            .select("a", "b", hashed_shingles(F.col("line_a")).alias("s_a"), hashed_shingles(F.col("line_b")).alias("s_b")))
     counted = both.select("a", "b", F.size("s_a").alias("n_a"), F.size("s_b").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).alias("n"))
     return counted.where(F.col("n") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("n"))).select("a", "b")
 
 
-def remaining_pairs(known: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def remaining_pairs(mapped: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Pairs of a bucket in different components that the maps don't rule out, each in the first bucket that both are in."""
-    rows = (in_buckets(known, "buckets").drop("n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")))
+    rows = (in_buckets(mapped, "buckets").drop("n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")))
     mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
     open_rows = rows.join(mixed, "bucket")
     a = open_rows.select(*[F.col(c).alias(f"{c}_a") for c in open_rows.columns]).withColumn("salt_a", F.pmod(F.xxhash64("id_a"), F.lit(SALTS)).cast("int"))
@@ -154,9 +168,10 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc
     """``doc_id, of, gone``: of each document with lines to remove their numbers."""
     lines = judged_lines(docs, id_col, text_col)
     known = stored(candidates(lines))
-    near = stored(verified(hub_pairs(known, similarity), known, similarity))
+    mapped = stored(with_maps(known))
+    near = stored(verified(hub_pairs(mapped, similarity), known, similarity))
     roots = stored(connected_components(near))
-    more = verified(remaining_pairs(known, roots, similarity), known, similarity)
+    more = verified(remaining_pairs(mapped, roots, similarity), known, similarity)
     # the second round only joins components, so it works on their roots
     root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
     between = (more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")

@@ -265,6 +265,31 @@ def test_line_recall_on_documents(spark):
     assert before - lines(got) >= 0.98 * (before - lines(want))
 
 
+def full_shingles(line, size=5):
+    """By plain slicing, not by the module's own pattern."""
+    return {line[k:k + size] for k in range(len(line) - size + 1)}
+
+
+def lines_left(spark, lines):
+    docs = documents(spark, list(enumerate(lines)))
+    return {r["doc_id"] for r in line_dedup.drop_repeated_lines(docs).collect() if r["text"]}
+
+
+def test_lines_without_spaces_are_judged_in_whole(spark):
+    start = "https://www.example.com/"
+    chinese = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u4e00\u8d77\u53bb\u516c\u56ed\u6563\u6b65\u5427"  # 17 characters
+    different = [start + "products/alpha", start + "about/contact-us", chinese + "\u7136\u540e\u56de\u5bb6\u5403\u996d\u770b\u4e66",
+                 chinese + "\u660e\u5e74\u6211\u60f3\u5b66\u4e60\u5f39\u94a2\u7434\u548c\u753b\u753b", "\U0001F600" * 16 + "abcdefghijklmnop", "\U0001F600" * 16 + "qrstuvwxyzABCDEF"]
+    near = [chr(0x4E00 + 37 * k % 5000) for k in range(90)]
+    near = ["".join(near), "".join(near[:40] + ["x"] + near[41:])]
+    lines = different + near
+    for a in range(len(different)):
+        for b in range(a):
+            x, y = full_shingles(different[a]), full_shingles(different[b])
+            assert len(x & y) < 0.8 * len(x | y)
+    assert lines_left(spark, lines) == set(range(len(lines) - 1))
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
