@@ -91,10 +91,11 @@ def candidates(lines: DataFrame) -> DataFrame:
 
 
 def with_maps(known: DataFrame) -> DataFrame:
-    """``id, n, buckets`` of the lines that share a bucket, with the number of their distinct shingles (``size``) and the maps of these (``x0``...)."""
+    """``id, n, buckets`` of the lines that share a bucket, with the number of their shingles, repeated ones too (``size``), and the maps of these (``x0``...)."""
     alike = known.where(F.col("line").isNotNull())
-    each = shingle_hashes(alike).groupBy("id", "h").agg(F.lit(1).alias("one"))
-    maps = each.groupBy("id").agg(F.count("one").cast("int").alias("size"), *[map_of(k).alias(f"x{k}") for k in range(MAPS)])
+    # dealt by line before its shingles are listed, so that the texts are shuffled and not the hashes
+    hashes = shingle_hashes(alike.select("id", "line").repartition("id"))
+    maps = hashes.groupBy("id").agg(F.count("h").cast("int").alias("size"), *[map_of(k).alias(f"x{k}") for k in range(MAPS)])
     return alike.select("id", "n", "buckets").join(maps, "id")
 
 
@@ -111,13 +112,19 @@ def map_of(k: int) -> Column:
 
 
 def possible(a, b, similarity: float) -> Column:
-    """Whether two lines can be similar enough: a bit of one's maps that the other's lack is a shingle the other lacks."""
+    """Whether two lines can be similar enough: a bit of one's maps that the other's lack is a shingle the other lacks.
+
+    At most ``size`` less such bits are shared, at least as many as there are bits in either are in the union.
+    """
+    def bits(of) -> Column:
+        counts = [F.bit_count(of(k)) for k in range(MAPS)]
+        return sum(counts[1:], counts[0])
+
     def alone(x, y) -> Column:
-        bits = [F.bit_count(x(f"x{k}").bitwiseAND(F.bitwise_not(y(f"x{k}")))) for k in range(MAPS)]
-        return sum(bits[1:], bits[0])
+        return bits(lambda k: x(f"x{k}").bitwiseAND(F.bitwise_not(y(f"x{k}"))))
 
     most = F.least(a("size") - alone(a, b), b("size") - alone(b, a))
-    return most >= F.lit(similarity) * (a("size") + b("size") - most)
+    return most >= F.lit(similarity) * bits(lambda k: a(f"x{k}").bitwiseOR(b(f"x{k}")))
 
 
 def in_buckets(mapped: DataFrame, *more: str) -> DataFrame:

@@ -290,6 +290,24 @@ def test_lines_without_spaces_are_judged_in_whole(spark):
     assert lines_left(spark, lines) == set(range(len(lines) - 1))
 
 
+def test_lines_with_one_changed_character(spark):
+    rnd = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines, linked = [], 0
+    for _ in range(150):
+        line = ""
+        while len(line) < 50:
+            line = " ".join("".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 9))) for _ in range(rnd.randrange(9, 20)))[:150].strip()
+        k = rnd.randrange(len(line))
+        lines += [line, line[:k] + "7" + line[k + 1:]]
+        x, y = full_shingles(lines[-2]), full_shingles(lines[-1])
+        linked += len(x & y) >= 0.8 * len(x | y)
+    left = lines_left(spark, lines)
+    assert linked >= 0.98 * 150  # of words' starts far fewer
+    assert left >= set(range(0, len(lines), 2))
+    assert 0.98 * linked <= len(lines) - len(left) <= linked
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
