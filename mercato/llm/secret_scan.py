@@ -4,9 +4,11 @@ Two first-order models over characters, one of random strings and one of
 ordinary identifiers, are trained from labelled samples; a long token whose
 mean log-likelihood ratio per character pair exceeds ``MARGIN`` is a secret.
 The labelled samples come from a bounded number of documents taken by hash
-(``SAMPLE_DOCS``): their words, alone and joined as identifiers are, are
-ordinary; digests of their ids in hex, base64 and base36 are random.  The
-counts behind both models are one aggregate of at most 2 * 128 * 128 rows.
+(``SAMPLE_DOCS``): the short tokens of their whole texts, their words joined as
+identifiers, paths and assignments are (``SHAPES``), dates, numbers and rules of
+separators are ordinary; digests of their ids in hex, base64 and base36 are
+random.  The counts behind both models are one aggregate of at most
+2 * 128 * 128 rows.
 
 DataFrame functions only.
 """
@@ -22,12 +24,14 @@ from mercato.llm.common import partitions
 
 #: Documents that the two models are trained on, at most about this many.
 SAMPLE_DOCS = 2_000
-#: Random strings made of each sampled document's id; words taken of each text.
-STRINGS, WORDS = 4, 400
+#: Random strings, and of each kind numbers and dates, made of each sampled document's id.
+STRINGS = 4
 #: Least length of a token that the models judge, and least mean ratio (nats) of a secret.
 LEAST, MARGIN = 20, 0.5
 TOKEN = f"[A-Za-z0-9+/_=-]{{{LEAST},}}"
-ALPHABET = 66
+#: Characters of a token; both models are smoothed over them.
+ALPHABET = 67
+SEPARATORS = "-_=/+"
 
 # The patterns of the base kinds, in their order.
 ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -71,16 +75,43 @@ def with_base(rows: DataFrame) -> DataFrame:
     return rows.withColumn("base", F.array_sort(F.concat("_assign", "_access", "_hex"))).drop("_assign", "_access", "_hex")
 
 
+def number(i: Column, digits: int) -> Column:
+    """The i-th number of a document as so many digits."""
+    return F.lpad(F.pmod(F.xxhash64("doc_id", F.lit("number"), i), F.lit(10**digits)).cast("string"), digits, "0")
+
+
+def day(i: Column) -> Column:
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.pmod(F.xxhash64("doc_id", F.lit("day"), i), F.lit(25_000)).cast("int")).cast("string")
+
+
+def shaped(words: Column, i: Column) -> Column:
+    """Words joined as in code, file names and links, in the shape whose turn it is."""
+    low, names = F.transform(words, F.lower), F.transform(words, F.initcap)
+    shapes = [
+        F.array_join(low, "_"), F.array_join(low, "-"), F.upper(F.array_join(low, "_")), F.array_join(names, ""),
+        F.concat(F.get(low, 0), F.array_join(F.slice(names, 2, 2), "")), F.concat(F.lit("/"), F.array_join(low, "/")),
+        F.concat(F.get(low, 0), number(i, 1), F.lit("/"), F.array_join(F.slice(low, 2, 2), "-")), F.concat(F.array_join(F.slice(low, 1, 2), "_"), F.lit("_"), number(i, 4)),
+        F.concat(F.get(low, 0), F.lit("/"), F.translate(day(i), "-", "/"), F.lit("/"), F.get(low, 1)), F.concat(F.array_join(F.slice(low, 1, 2), "="), F.lit("-"), number(i, 2)),
+    ]
+    turn = F.pmod(i, F.lit(len(shapes)))
+    out = F.when(turn == 0, shapes[0])
+    for k, shape in enumerate(shapes[1:], 1):
+        out = out.when(turn == k, shape)
+    return out
+
+
 def samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``random, token``: labelled strings from about ``sample_docs`` documents."""
     total = docs.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("secret sample")), F.lit(1 << 30))
     some = docs.where(F.col("doc_id").isNotNull() & (draw < int((1 << 30) * min(1.0, sample_docs / max(total, 1))))).limit(2 * sample_docs).repartition(partitions(docs.sparkSession))
-    some = some.withColumn("words", F.slice(F.regexp_extract_all("text", F.lit(r"\b([A-Za-z]{3,})\b"), F.lit(1)), 1, WORDS))
-    words = F.col("words")
-    joined = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))),
-                         lambda i: F.when(i % 2 == 0, F.concat_ws("_", F.slice(words, i, F.lit(3)))).otherwise(F.concat_ws("-", F.slice(words, i, F.lit(3)))))
-    ordinary = some.where(F.size(words) > 0).select(F.lit(False).alias("random"), F.explode(F.concat(words, joined)).alias("token"))
+    some = some.withColumns({"short": F.filter(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]+"), F.lit(0)), lambda x: F.length(x) < LEAST),
+                             "words": F.regexp_extract_all("text", F.lit(r"\b([A-Za-z]{3,})\b"), F.lit(1))})
+    threes = F.transform(F.sequence(F.lit(0), F.floor(F.size("words") / 3).cast("int") - 1), lambda i: shaped(F.slice("words", 3 * i + 1, F.lit(3)), i))
+    joined = F.when(F.size("words") >= 3, threes).otherwise(F.array().cast("array<string>"))
+    numbers = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(STRINGS)), lambda i: F.array(number(i, 18), F.concat(day(i), number(i, 15)), F.concat(F.translate(day(i), "-", ""), number(i, 12)))))
+    rules = F.array(*[F.lit(c * 2 * LEAST) for c in SEPARATORS])
+    ordinary = some.select(F.lit(False).alias("random"), F.explode(F.concat("short", joined, numbers, rules)).alias("token"))
     digest = lambda i: F.sha2(F.concat_ws("|", F.col("doc_id").cast("string"), i.cast("string")), 256)
     made = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(STRINGS)), lambda i: F.array(
         F.substring(digest(i), 1, 40), F.rtrim(F.base64(F.unhex(digest(i))), F.lit("=")),

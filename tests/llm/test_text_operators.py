@@ -206,6 +206,26 @@ def test_random_strings_are_told_from_identifiers(spark):
         assert spans == sorted(spans) and [s for s in spans if s[1] < 3] == base_spans(text or "")
 
 
+ORDINARY = [
+    "-" * 24, "_" * 24, "=" * 40, "-" * 200, "getUserAccountBalanceById", "20240115103000123456789", "/usr/local/lib/python3/site-packages",
+    "MAX_NUMBER_OF_OPEN_FILES", "reports/2023/11/28/weekly-summary", "2023-11-28_weekly_summary_17",
+]
+
+
+def test_ordinary_shapes_are_no_secrets_and_random_strings_are(spark):
+    import base64
+
+    table = secret_scan.train(secret_scan.samples(read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")))
+    rnd = random.Random(5)
+    made = ["".join(rnd.choice("0123456789abcdefghijklmnopqrstuvwxyz") for _ in range(30)) for _ in range(100)]
+    made += [base64.b64encode(rnd.randbytes(30)).decode() for _ in range(100)]
+    texts = [(k, f"see {x} here") for k, x in enumerate(ORDINARY)] + [(1000 + k, f"see {x} here") for k, x in enumerate(made)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"] for r in secret_scan.scan(docs, table).collect() if any(s["rank"] == 3 for s in r["spans"])}
+    assert [ORDINARY[k] for k in sorted(found) if k < 1000] == []
+    assert sum(k >= 1000 for k in found) >= 0.95 * len(made)
+
+
 # ---------------------------------------------------------------- chat formatting
 def rotated(turns, part):
     """Plain Python: parts of at most ``part`` turns inside blocks of turn numbers."""
