@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import divergence, mixing, perspectives, substring_dedup
+from mercato.llm import divergence, filter_audit, mixing, perspectives, substring_dedup, vector_codes
 from mercato.llm.common import read
 
 QUERIES = {}
@@ -13,6 +13,8 @@ ORACLE_SQL: dict[str, str] = {
     "op2_quality_divergence": divergence.oracle_sql(),
     "op6_perspectives": perspectives.oracle_sql(),
     "op7_substring_dedup": substring_dedup.oracle_sql(),
+    "op11_filter_audit": filter_audit.oracle_sql(),
+    "op12_vector_codes": vector_codes.oracle_sql(),
 }
 
 
@@ -96,3 +98,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     done = drop_repeated_lines(read(spark, sf_dir, "documents"), counts=True)
     return done.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "n_chars", "text")
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.summary(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.license_scan import summary
+
+    return summary(read(spark, sf_dir, "documents"))
