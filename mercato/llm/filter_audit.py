@@ -4,10 +4,10 @@ Five filters with a bit each: few words (A), few distinct words (B), many
 capitals (C), markup symbols (D), and a text that a smaller id has as well
 (E).  The first four are functions of a row.  E is an existential self-join:
 the documents left-semi joined with themselves on the text's hash, the exact
-text and a smaller id.  Only rows whose hash occurs twice enter it, its right
-side is reduced to the smallest id of each text before it is shuffled, and a
-text of very many copies is dealt to as many parts as its number of rows asks
-for.  The ids it finds are united with the rows that carry the other failures;
+text and a smaller id.  Its right side is reduced to the smallest id of each
+text that occurs twice, by an aggregate that combines before it is shuffled,
+and a text of very many copies is dealt to as many parts as its number of rows
+asks for.  The ids it finds are united with the rows that carry the other failures;
 one aggregate gives each document's combination of bits, another the number of
 documents of each combination.  All orders are then read off those at most 32
 counts a part, so no order costs a pass over the documents.
@@ -21,15 +21,14 @@ from math import factorial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import words_of
+from mercato.llm.common import partitions, words_of
 from mercato.plans.lineage import materialize
+from mercato.plans.ranges import MAX_LOOKUP_ROWS, attach_lookup
 
 FILTERS = "ABCDE"
 BIT = {f: 1 << k for k, f in enumerate(FILTERS)}
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 3
 SYMBOLS = "[#$%&*|]"
-#: Copies of one text that are compared with its smallest id in one task.
-PART_ROWS = 20_000
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFrame:
@@ -55,22 +54,31 @@ def own_failures(rows: DataFrame) -> DataFrame:
     return figures.select("doc_id", "part", "h", "g", bits.alias("bits"), F.lit(1).cast("long").alias("docs"))
 
 
-def copies_of_smaller(rows: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """``doc_id, part, h, g`` of the rows whose text some smaller id has, too.  A null id is neither smaller nor larger than another."""
-    repeated = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-                           .select(F.col("h").alias("repeated"), F.ceil(F.col("n") / part_rows).cast("int").alias("cuts")))
-    suspects = rows.join(repeated, rows["h"] == repeated["repeated"]).select("doc_id", "part", "h", "g", "text", "cuts")
-    # the part and the hash ride along so that both sides of the self-join read the same columns, and so one shuffle
-    known = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "part", "g"))
-    smallest = (suspects.groupBy("h", "text").agg(F.min(known).alias("of"), F.max("cuts").alias("cuts")).where(F.col("of").isNotNull())
-                .select(F.col("h").alias("w_h"), F.col("text").alias("w_text"), F.col("of.doc_id").alias("w_id"),
-                        F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("w_salt")))
-    dealt = suspects.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int"))
+def copies_of_smaller(rows: DataFrame, part_rows: int | None = None) -> DataFrame:
+    """``doc_id, part, h, g`` of the rows whose text some smaller id has, too.  A null id is neither smaller nor larger than another.
+
+    Rows of a hash with more than ``part_rows`` rows (by default a task's fair
+    share of all rows, so there are fewer such hashes than tasks) are dealt to
+    several parts, and their smallest ids go to each of them.
+    """
+    tasks = partitions(rows.sparkSession)
+    share = part_rows or max(1, rows.count() // tasks)
+    hot = (rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
+           .select("h", F.ceil(F.col("n") / share).cast("int").alias("cuts")))
+    hot = materialize(hot)
+
+    def with_cuts(df: DataFrame, salt_by: str) -> DataFrame:
+        return attach_lookup(df, hot, ["h"], F.col(salt_by), max_rows=max(MAX_LOOKUP_ROWS, tasks)).withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+
+    smallest = rows.groupBy("h", "text").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col("first").isNotNull())
+    smallest = with_cuts(smallest, "first").select(
+        F.col("h").alias("w_h"), F.col("text").alias("w_text"), F.col("first").alias("w_id"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("w_salt"))
+    dealt = with_cuts(rows, "doc_id").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int"))
     same = (dealt["h"] == smallest["w_h"]) & (dealt["salt"] == smallest["w_salt"]) & (dealt["text"] == smallest["w_text"])
     return dealt.join(smallest, same & (smallest["w_id"] < dealt["doc_id"]), "left_semi").select("doc_id", "part", "h", "g")
 
 
-def failures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", part_rows: int = PART_ROWS) -> DataFrame:
+def failures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", part_rows: int | None = None) -> DataFrame:
     """``doc_id, part, h, g, bits, docs``: the combination of failed filters of each distinct row, and how often the row occurs."""
     rows = keyed(docs, id_col, text_col, part_col)
     marked = copies_of_smaller(rows, part_rows).select("*", F.lit(BIT["E"]).alias("bits"), F.lit(0).cast("long").alias("docs"))
