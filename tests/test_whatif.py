@@ -149,6 +149,64 @@ def test_a_thousand_buckets_need_no_larger_code(spark):
     assert took[1000] < 8 * took[4] + 5
 
 
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-3, 3)), min_size=1, max_size=120), per_block=st.sampled_from([1, 3, 1024]), descending=st.booleans())
+def test_blocks_of_buckets_hand_their_offsets_down(spark, vals, per_block, descending):
+    df = spark.createDataFrame([(v, i, None if i % 5 == 2 else i) for i, v in enumerate(vals)], "k int, id int, x int")
+    out, _ = ranked_prefix_sums(df, ["k", "id"], ["x"], rows_per_bucket=4, descending=descending, lag_cols=["x"], buckets_per_block=per_block)
+    rows = sorted(((v is not None, v or 0, i, None if i % 5 == 2 else i) for i, v in enumerate(vals)), reverse=descending)
+    cum, before, want = 0, None, []
+    for n, (_, _, i, x) in enumerate(rows, 1):
+        want.append((n, i, cum, cum + (x or 0), before))
+        cum, before = cum + (x or 0), x
+    assert sorted((r["rank"], r["id"], r["before_x"] or 0, r["cum_x"], r["previous_x"]) for r in out.collect()) == want
+
+
+def test_the_plan_of_five_thousand_buckets_is_that_of_one(spark):
+    df = spark.range(50_000).selectExpr("id", "cast(pmod(id * 7919, 50021) as double) as v", "id % 13 as x")
+    plans = []
+    for per_bucket in (2_000_000, 10):
+        out, totals = ranked_prefix_sums(df, ["v"], ["x"], rows_per_bucket=per_bucket, lag_cols=["x"])
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        got = out.selectExpr("max(rank)", "max(cum_x)", "count(distinct rank)", "sum(if(previous_x is null, 1, 0))").first()
+        assert tuple(got) == (50_000, totals.sums["x"], 50_000, 1)
+        executed = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in executed and "Join" not in executed
+    assert len(plans[0].splitlines()) == len(plans[1].splitlines()) and abs(len(plans[0]) - len(plans[1])) < 200
+
+
+def test_a_key_that_holds_most_rows_fills_many_buckets(spark):
+    from mercato.plans.ranking import bucketed
+
+    df = spark.range(4000).selectExpr("id", "if(id % 4 = 0, id, -1) as k", "xxhash64(id) as tie")
+    sizes = [r["count"] for r in bucketed(df, [df["k"].asc(), df["tie"].asc()], 20).groupBy("_bucket").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 600
+
+
+@pytest.mark.parametrize("query", ["describe_column", "ols_summary"])
+def test_jobs_inside_an_operator_have_no_nested_loops(spark, sf001, monkeypatch, query):
+    """The plans whose results these operators fetch themselves, which the registered query's own plan doesn't show."""
+    from mercato.plans import quantiles
+    from mercato.operators import orders, regression, stats
+
+    seen = []
+
+    def noted(*args, **kwargs):
+        out, totals = ranked_prefix_sums(*args, **kwargs)
+        seen.append(out._jdf.queryExecution().executedPlan().toString())
+        return out, totals
+
+    monkeypatch.setattr(quantiles, "ranked_prefix_sums", noted)
+    monkeypatch.setattr(regression, "ranked_prefix_sums", noted)
+    table = orders.order_training(sf001)
+    if query == "describe_column":
+        stats.describe_column(table, "price").collect()
+    else:
+        model = regression.fit(table, "review_score", ["wait_time"])
+        regression.ols_summary(table, model, order_by=["order_id"]).collect()
+    assert seen and not [p for p in seen if "NestedLoop" in p or "Cartesian" in p]
+
+
 def test_no_self_join_in_the_greedy_plan(spark):
     df = sellers_df(spark, [("a", 1.0, 1), ("b", 2.0, 1)])
     plan = W.whatif_greedy_optimum(df)._jdf.queryExecution().executedPlan().toString()
