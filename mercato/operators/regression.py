@@ -1,9 +1,11 @@
 """Ordinary least squares with an intercept, fitted from one aggregation pass.
 
-The data never leaves the executors: one ``agg`` returns the count, the
-means and the population covariances of ``y`` and the regressors, and the
-(k+1)x(k+1) normal equations are solved on the driver.  Scoring is a plain
-projection with the coefficients as literals.
+The data never leaves the executors: one pass returns the triangular factor
+of the design and ``y`` (a tree of QR factorisations, ``blocks.Triangle``), and
+a (k+1)x(k+1) problem is solved on the driver.  No normal equations are formed,
+so regressors that are nearly multiples of each other are told apart down to
+``RCOND`` and not only to its root.  Scoring is a plain projection with the
+coefficients as literals.
 
 Rank-deficient designs (for example two identical regressors) get the
 minimum-norm solution of the pseudo-inverse and rank-based degrees of
@@ -21,10 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.functions.distributions import chi2_sf_2df, f_sf, omnibus, t_quantile, t_two_sided_p
+from mercato.plans.blocks import Moments, Range, Triangle, block_states
 from mercato.plans.ranking import ranked_prefix_sums
 
 INTERCEPT = "Intercept"
-RCOND = 1e-10
+#: Directions of the scaled design that are shorter than this share of the longest count as none.
+RCOND = 1e-11
 
 
 @dataclass
@@ -135,97 +139,69 @@ def fit(
 
     ``standardize`` names regressors that enter as z-scores (population std,
     statistics over all rows, as ``stats.zscore`` computes them).  Z-scoring
-    is affine, so the z-score moments follow from the raw ones and the fit
-    still takes one aggregation pass.  A standardised column that has missing
+    is affine, so the factor of the z-scores follows from the raw one and the
+    fit still takes one pass.  A standardised column that has missing
     values (its z-scores would all be missing) or no spread cannot be fitted.
     ``with_range`` also takes the range of each regressor in the same pass.
     """
-    cols = [y] + list(xs)
-    std = [x for x in xs if x in set(standardize or [])]
-    ok = None
-    for c in cols:
-        v = F.col(c).cast("double")
-        cond = v.isNotNull() & ~F.isnan(v)
-        ok = cond if ok is None else ok & cond
-    # one projection evaluates the completeness test once per row; the
-    # aggregates then read plain columns (f*: complete rows only, z*: all rows)
-    proj = df.select(
-        F.when(ok, F.lit(1)).alias("ok"),
-        *[F.when(ok, F.col(c).cast("double")).alias(f"f{i}") for i, c in enumerate(cols)],
-        *[F.col(x).cast("double").alias(f"z{j}") for j, x in enumerate(std)],
-    )
-    aggs = [F.count("ok").alias("n")] + [F.avg(f"f{i}").alias(f"m{i}") for i in range(len(cols))]
-    if with_range:
-        aggs += [f(f"f{i}").alias(f"{name}{i}") for i in range(1, len(cols)) for name, f in (("lo", F.min), ("hi", F.max))]
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            aggs.append(F.covar_pop(f"f{i}", f"f{j}").alias(f"c{i}_{j}"))
-    for j, x in enumerate(std):
-        v = F.col(f"z{j}")
-        aggs += [F.avg(v).alias(f"zm_{x}"), F.stddev_pop(v).alias(f"zs_{x}"),
-                 F.count(F.when(v.isNull() | F.isnan(v), F.lit(1))).alias(f"zn_{x}")]
-    row = proj.agg(*aggs).first()
-    n = int(row["n"])
     k = len(xs)
+    cols = list(xs) + [y]
+    std = [x for x in xs if x in set(standardize or [])]
+    design, own = list(range(k + 1)), [xs.index(x) for x in std]
+    kinds = [(Triangle, design)] + ([(Moments, own)] if std else []) + ([(Range, design)] if with_range else [])
+    states = block_states(df, cols, kinds)
+    factor = states[0]
+    n = factor.n
     if n == 0:
         raise ValueError("no complete rows to fit")
-    mu = np.array([row[f"m{i}"] for i in range(k + 1)], dtype=float)
-    C = np.zeros((k + 1, k + 1))
-    for i in range(k + 1):
-        for j in range(i, k + 1):
-            C[i, j] = C[j, i] = row[f"c{i}_{j}"]
+    means, C = factor.means, factor.centred
     shift, scale_x = np.zeros(k), np.ones(k)
-    for j, x in enumerate(xs):
-        if x in std:
-            if row[f"zn_{x}"] or not row[f"zs_{x}"]:
-                raise ValueError(f"z-scores of {x} are all missing (missing values or no spread)")
-            shift[j], scale_x[j] = row[f"zm_{x}"], row[f"zs_{x}"]
-    if std:
-        # moments of (x - shift) / scale from the moments of x
-        t = np.concatenate([[1.0], 1.0 / scale_x])
-        mu = np.concatenate([[mu[0]], (mu[1:] - shift) / scale_x])
-        C = C * np.outer(t, t)
-    muy, mux = mu[0], mu[1:]
-    vy, cxy, Cxx = C[0, 0], C[1:, 0], C[1:, 1:]
+    for i, x in enumerate(std):
+        m = states[1]
+        sd = math.sqrt(max(m.square[i, i], 0.0) / m.n[i, i]) if m.n[i, i] else 0.0
+        if m.n[i, i] < m.rows or not sd:
+            raise ValueError(f"z-scores of {x} are all missing (missing values or no spread)")
+        shift[own[i]], scale_x[own[i]] = m.mean[i, i], sd
+    # the factor of (x - shift) / scale from that of x: columns by their scale
+    mux, muy = (means[:k] - shift) / scale_x, means[k]
+    Cx, cy, rest = C[:k, :k] / scale_x, C[:k, k], C[k, k]
 
     # Rank from the centred, scaled design (well conditioned): [1, (x - mean) / sd].
-    sd = np.sqrt(np.clip(np.diag(Cxx), 0.0, None))
-    scale = np.where(sd > 0, sd, 1.0)
-    R = Cxx / np.outer(scale, scale)
-    eig = np.linalg.eigvalsh(R) if k else np.array([])
-    top = max(1.0, float(eig.max()) if k else 1.0)
-    rank = 1 + int(np.sum(eig > rcond * top))
+    norm = np.sqrt((Cx * Cx).sum(0))
+    scale = np.where(norm > 0, norm, 1.0)
+    U, S, Vt = np.linalg.svd(Cx / scale) if k else (np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0)))
+    rank = 1 + int(np.sum(S > rcond * max(1.0, float(S.max(initial=0.0)))))
 
     if rank == k + 1:
         # unique solution: solve in the scaled basis, map back
-        g = np.linalg.solve(R, cxy / scale) if k else np.array([])
-        b = g / scale
+        half = (Vt.T / S) / scale[:, None]
+        b = half @ (U.T @ cy)
         a = muy - mux @ b
-        Cinv = np.linalg.inv(Cxx) if k else np.zeros((0, 0))
+        inner = half @ half.T
         XtX_inv = np.empty((k + 1, k + 1))
-        XtX_inv[0, 0] = (1.0 + mux @ Cinv @ mux) / n
-        XtX_inv[0, 1:] = XtX_inv[1:, 0] = -(Cinv @ mux) / n
-        XtX_inv[1:, 1:] = Cinv / n
+        XtX_inv[0, 0] = 1.0 / n + mux @ inner @ mux
+        XtX_inv[0, 1:] = XtX_inv[1:, 0] = -(inner @ mux)
+        XtX_inv[1:, 1:] = inner
         beta = np.concatenate([[a], b])
     else:
-        # minimum-norm solution of the normal equations in the original basis
-        G = np.empty((k + 1, k + 1))
-        G[0, 0] = 1.0
-        G[0, 1:] = G[1:, 0] = mux
-        G[1:, 1:] = Cxx + np.outer(mux, mux)
-        G *= n
-        Xty = n * np.concatenate([[muy], cxy + mux * muy])
-        XtX_inv = np.linalg.pinv(G, rtol=rcond, hermitian=True)
-        beta = XtX_inv @ Xty
+        # minimum-norm solution in the original basis, with as many directions as the rank
+        A = np.zeros((k + 1, k + 1))
+        A[0, 0], A[0, 1:], A[1:, 1:] = math.sqrt(n), math.sqrt(n) * mux, Cx
+        U, S, Vt = np.linalg.svd(A)
+        half = Vt[:rank].T / S[:rank]
+        beta = half @ (U[:, :rank].T @ np.concatenate([[math.sqrt(n) * muy], cy]))
+        XtX_inv = half @ half.T
         a, b = beta[0], beta[1:]
 
-    resid_mean = muy - a - mux @ b
-    ssr = n * (vy - 2.0 * (b @ cxy) + b @ Cxx @ b) + n * resid_mean * resid_mean
-    ssr = max(ssr, 0.0)
+    resid_mean = float(muy - a - mux @ b)
+    ssr = float(rest * rest + np.sum((cy - Cx @ b) ** 2) + n * resid_mean * resid_mean)
+    centered_tss = float(cy @ cy + rest * rest)
+    if ssr <= (1e-13 * math.sqrt(n)) ** 2 * centered_tss:
+        ssr = 0.0  # nothing but rounding is left
     df_resid = n - rank
     sigma2 = ssr / df_resid if df_resid > 0 else float("nan")
-    x_min, x_max = (np.array([row[f"{name}{i}"] for i in range(1, k + 1)], dtype=float) if with_range else None for name in ("lo", "hi"))
-    return OlsModel(y, list(xs), n, beta, sigma2 * XtX_inv, rank, ssr, n * vy, mux, alpha,
+    x_min, x_max = (states[-1].lo[:k], states[-1].hi[:k]) if with_range else (None, None)
+    return OlsModel(y, list(xs), n, beta, sigma2 * XtX_inv, rank, ssr, centered_tss, mux, alpha,
                     shift if std else None, scale_x if std else None, x_min, x_max, resid_mean)
 
 

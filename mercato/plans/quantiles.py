@@ -25,18 +25,23 @@ def _lerp(a: float, b: float, t: float) -> float:
     return b - d * (1.0 - t) if t >= 0.5 else a + d * t
 
 
+def value_counts(df: DataFrame, col: str) -> DataFrame:
+    """``v, c``: every value of the column (null and NaN left out) and how often it occurs, written once."""
+    c = F.col(col).cast("double")
+    return materialize(df.where(c.isNotNull() & ~F.isnan(c)).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("c")))
+
+
 def exact_quantiles(
     df: DataFrame, col: str, probs: list[float], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> dict[float, float | None]:
     """Linearly interpolated quantiles at ``probs`` (as ``numpy.percentile``), nulls and NaN ignored."""
-    c = F.col(col).cast("double")
-    # the counts are read by several passes (totals, sample, bucket totals,
-    # lookup), so they are written once instead of re-aggregated each time
-    counts = materialize(
-        df.where(c.isNotNull() & ~F.isnan(c))
-        .groupBy(c.alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+    return counted_quantiles(value_counts(df, col), probs, rows_per_bucket)
+
+
+def counted_quantiles(
+    counts: DataFrame, probs: list[float], rows_per_bucket: int = ROWS_PER_BUCKET
+) -> dict[float, float | None]:
+    """``exact_quantiles`` from the ``value_counts`` of a column."""
     ranked, totals = ranked_prefix_sums(counts, ["v"], ["c"], rows_per_bucket=rows_per_bucket)
     n = int(totals.sums["c"] or 0)
     if n == 0:

@@ -223,3 +223,109 @@ def test_error_from_the_fit_equals_error_of_the_scores(spark):
     m = R.fit(df, "y", ["x"])
     a, b = R.model_error(df, m).first(), R.ols_error(R.ols_score(df, m)).first()
     assert a["mse"] == pytest.approx(b["mse"], rel=1e-12) and a["residual_mean"] == pytest.approx(0, abs=1e-12)
+
+
+def _exact_density(v, grid, bw):
+    return np.exp(-0.5 * ((grid[:, None] - v[None]) / bw) ** 2).sum(1) / (len(v) * bw * math.sqrt(2 * math.pi))
+
+
+def test_binned_density_is_exact_within_its_bound(spark):
+    rng = np.random.default_rng(8)
+    # all values distinct; heavy tails and a far outlier, so some points are beyond every kernel
+    groups = {"wide": rng.standard_cauchy(4000), "flat": rng.uniform(0, 1e6, 3000), "far": np.append(rng.normal(size=2000), 4000.0), "two": np.array([1.0, 2.0])}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [("one", 1.0), ("same", 3.0), ("same", 3.0), (None, 1.0), ("flat", None), ("flat", float("nan"))]
+    got = ST.kde_curve(spark.createDataFrame(rows, "g string, v double"), "v", "g", grid_points=120).collect()
+    assert {r["g"] for r in got} == set(groups) and len(got) == 120 * len(groups)
+    for g, v in groups.items():
+        own = sorted((r["point"], r["x"], r["density"]) for r in got if r["g"] == g)
+        bw = v.std(ddof=1) * len(v) ** -0.2
+        grid = np.linspace(v.min() - 3 * bw, v.max() + 3 * bw, 120)
+        assert [x for _, x, _ in own] == pytest.approx(list(grid), rel=1e-9, abs=1e-9)
+        want = _exact_density(v, np.array([x for _, x, _ in own]), bw)
+        bound = 1.1e-15 / (bw * math.sqrt(2 * math.pi)) + 1e-12 * want  # truncation; rounding
+        assert (np.abs(np.array([d for *_, d in own]) - want) <= bound).all()
+
+
+def test_bins_do_not_grow_with_the_values(spark):
+    values = spark.range(60_000).selectExpr("'g' as g", "cast(pmod(id * 7919, 60013) as double) as v")
+    sd, n = 17320.0, 60_000
+    params = spark.createDataFrame([("g", n, 0.0, sd * n ** -0.2)], "g string, n long, lo double, bw double")
+    bins = ST.kde_bins(values, params, "g")
+    assert bins.count() <= 60_013 / (sd * n ** -0.2 / ST.KDE_BINS) + 2
+    plan = bins._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+
+
+def test_correlations_with_missing_values_match_pandas(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 4)) * [1, 1e-3, 1e4, 1] + [1e6, 0, -5, 0.1]
+    x[:, 1] += 1e-9 * x[:, 0]
+    x[:, 3] = 0.1
+    pdf = pd.DataFrame(x, columns=list("abcd")).mask(rng.random((500, 4)) < 0.2)
+    rows = [tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(pdf.to_numpy())]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)
+
+    def want(a, b):
+        both = pdf[[a, b]].dropna().to_numpy().astype(np.longdouble)
+        z = both[:, [0, -1]] - both[:, [0, -1]].mean(0)
+        return float((z[:, 0] @ z[:, 1]) / np.sqrt((z[:, 0] @ z[:, 0]) * (z[:, 1] @ z[:, 1])))
+
+    for r in ST.correlation_matrix(df, list("abcd")).collect():
+        if "d" in (r["x"], r["y"]):
+            assert r["corr"] is None
+        else:
+            assert r["corr"] == pytest.approx(want(r["x"], r["y"]), abs=1e-12)
+    none = ST.correlation_matrix(df.where("false"), ["a", "b"]).collect()
+    assert len(none) == 4 and all(r["corr"] is None for r in none)
+
+
+def test_an_ill_conditioned_design_is_solved_as_by_a_local_qr(spark):
+    """Powers of numbers in a narrow range: the normal equations have a condition number beyond 1e13."""
+    t = np.linspace(3, 4, 400)
+    X = np.column_stack([t ** k for k in range(1, 6)])
+    y = 1 + X @ [0.5, -1, 2, -0.25, 0.125] + 1e-3 * np.sin(37 * t)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(X, y)], "x1 double, x2 double, x3 double, x4 double, x5 double, y double").repartition(9)
+    m = R.fit(df, "y", ["x1", "x2", "x3", "x4", "x5"])
+    X1 = np.column_stack([np.ones(len(t)), X])
+    z = (X - X.mean(0)) / X.std(0)
+    assert np.linalg.cond(z) ** 2 > 1e13  # what a fit from covariances would have to solve with
+    Q, r = np.linalg.qr(X1)
+    beta = np.linalg.solve(r, Q.T @ y)
+    assert m.rank == 6
+    assert m.params == pytest.approx(beta, rel=1e-5)
+    residual = y - X1 @ beta
+    assert m.ssr == pytest.approx(residual @ residual, rel=1e-9)
+    inv = np.linalg.inv(r)
+    assert m.bse == pytest.approx(np.sqrt(np.diag(inv @ inv.T) * m.ssr / m.df_resid), rel=1e-5)
+
+
+def test_a_large_mean_does_not_spoil_the_fit(spark):
+    rng = np.random.default_rng(9)
+    x = 1e9 + rng.normal(size=1000)
+    y = 2.0 * (x - 1e9) + rng.normal(size=1000) * 0.1
+    m = R.fit(spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double").repartition(11), "y", ["x"])
+    z = x - 1e9
+    b = ((z - z.mean()) @ y) / ((z - z.mean()) @ (z - z.mean()))
+    assert m.params[1] == pytest.approx(b, rel=1e-9)
+
+
+def test_states_merge_in_any_order():
+    from mercato.plans.blocks import Moments, Range, Triangle
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 3)) + [5, 0, -3]
+    x[rng.random(x.shape) < 0.1] = np.nan
+    cuts = np.split(x, [0, 7, 8, 120, 299])
+    for kind in (Moments, Triangle, Range):
+        whole = kind.of(x)
+        for parts in (cuts, cuts[::-1]):
+            got = kind.of(parts[0])
+            for p in parts[1:]:
+                got = got.merged(kind.of(p))
+            if kind is Triangle:
+                assert got.n == whole.n and got.means == pytest.approx(whole.means) and got.centred == pytest.approx(whole.centred, abs=1e-9)
+            else:
+                for a, b in zip(vars(got).values(), vars(whole).values()):
+                    assert np.asarray(a) == pytest.approx(np.asarray(b))
