@@ -29,6 +29,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.common import let
+
 #: Rare words looked up for each notice, and the share of them (of the notice's words, if it has fewer) that must agree.
 RARE, AGREE = 8, 0.6
 #: Words by which beginnings may differ, as by an inserted name or comment mark.
@@ -79,11 +81,6 @@ def literal(values: list[str]) -> Column:
     return F.split(F.lit(" ".join(values)), " ")
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once: a name inside an expression would be put in its place wherever it is used."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def words(text: Column) -> Column:
     """The words in lower case.  Of all capitals beyond A-Z only the Kelvin sign has a small letter within a-z; the Angstrom sign takes its place."""
     return F.array_remove(F.split(F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u212b"))), SEPARATOR, -1), "")

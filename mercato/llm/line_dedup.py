@@ -14,27 +14,31 @@ all.  First each line is compared with the ``HUBS`` most frequent ones of its
 bucket; what this links, a distributed union-find joins.  Then the pairs of a
 bucket whose lines are still in different components are looked at.  Pairs
 inside a component need no comparison: they could not change it.  Both steps
-verify only such pairs as an exact bound from 512-bit maps of the shingles
-leaves possible.
+verify only such pairs as two exact bounds leave possible, one from narrow maps
+of the shingles (512 bits), the other from wide ones (2048 bits).
 
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import SPACES, stored
+from mercato.llm.common import SPACES, let, stored
 from mercato.llm.components import connected_components
 
-#: Lines with fewer characters are structure, not content, and always stay.
+#: Lines with fewer characters are compared as they are only: a single edit leaves too little in common.
 LEAST = 20
+#: A line without any of these is structure, not content, and always stays.
+CONTENT = r"[\p{L}\p{N}]"
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 5
 #: A multiple of it is BANDS * ROWS.  More bins take fewer hash functions, but short lines leave more of them empty.
 BINS = 8
-MAPS, SALTS = 8, 8
+MAPS, LANES, SALTS = 8, 32, 8
 #: Lines of a bucket that all others are compared with at first, and lines of a bucket that are compared in one task.
 HUBS, TASK = 16, 10_000
 # The shingles of a line as the groups of a regular expression.
@@ -57,14 +61,14 @@ def shingle_hashes(lines: DataFrame) -> DataFrame:
 
 
 def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, of, no, line, id``: every line that is long enough, where it stands, and its hash.
+    """``doc_id, of, no, line, id, id2``: every line with a letter or digit, where it stands, and two hashes of it.
 
     A document is known by its id and its text's hash (``of``); lines are numbered from 0.
     """
     text = F.col(text_col).cast("string")
     lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("of"), F.posexplode(F.split(text, "\n", -1)).alias("no", "raw"))
-    trimmed = lines.select("doc_id", "of", "no", F.btrim("raw", F.lit(SPACES)).alias("line")).where(F.length("line") >= LEAST)
-    return trimmed.withColumn("id", F.xxhash64("line"))
+    trimmed = lines.select("doc_id", "of", "no", F.btrim("raw", F.lit(SPACES)).alias("line")).where(F.col("line").rlike(CONTENT))
+    return trimmed.withColumns({"id": F.xxhash64("line"), "id2": F.xxhash64(F.lit(1), "line")})
 
 
 def place() -> Column:
@@ -73,10 +77,16 @@ def place() -> Column:
 
 
 def candidates(lines: DataFrame) -> DataFrame:
-    """``id, n, first`` of every line that occurs again or shares a bucket; for the latter also ``line, buckets``."""
-    distinct = lines.groupBy("id").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("n"), F.min(place()).alias("first"))
+    """``id, id2, n, first`` of every line that occurs again or shares a bucket; for the latter also ``line, buckets``.
+
+    Lines of the same ``id`` but another ``id2`` (at 10^12 distinct lines some
+    ten thousand by chance) are different lines that can't be told apart from
+    here on; they are left out, so they stay.
+    """
+    distinct = (lines.groupBy("id").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("n"), F.min(place()).alias("first"), F.min("id2").alias("id2"), F.max("id2").alias("high"))
+                .where(F.col("id2") == F.col("high")).drop("high"))
     # naming ``first`` and ``n`` here keeps both uses of the distinct lines the same, so that they share one shuffle
-    hashes = shingle_hashes(distinct.where(F.col("first").isNotNull() & (F.col("n") > 0)))
+    hashes = shingle_hashes(distinct.where(F.col("first").isNotNull() & (F.col("n") > 0) & (F.length("line") >= LEAST)))
     minima = [F.min(F.xxhash64("h", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS // BINS)]
     binned = hashes.groupBy("id", F.pmod("h", F.lit(BINS)).alias("bin")).agg(*minima)
     slots = [F.min(F.when(F.col("bin") == s % BINS, F.col(f"m{s // BINS}"))).alias(f"s{s}") for s in range(BANDS * ROWS)]
@@ -87,32 +97,45 @@ def candidates(lines: DataFrame) -> DataFrame:
     shared = banded.withColumn("lines", F.count(F.lit(1)).over(bucket)).where(F.col("lines") > 1)
     buckets = shared.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))  # at most BANDS of a line
     return (distinct.join(buckets, "id", "left").where((F.col("n") > 1) | F.col("buckets").isNotNull())
-            .select("id", "n", "first", F.when(F.col("buckets").isNotNull(), F.col("line")).alias("line"), "buckets"))
+            .select("id", "id2", "n", "first", F.when(F.col("buckets").isNotNull(), F.col("line")).alias("line"), "buckets"))
+
+
+def bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
 
 
 def with_maps(known: DataFrame) -> DataFrame:
-    """``id, n, buckets`` of the lines that share a bucket, with the number of their shingles, repeated ones too (``size``), and the maps of these (``x0``...)."""
+    """``id, n, buckets`` of the lines that share a bucket, with the number of their shingles, repeated ones too (``size``), and two maps of these.
+
+    ``wide``: of the hash h bit h / LANES of word h modulo LANES.  ``x0``...: the
+    same bits, words joined that are equal modulo MAPS; narrow enough to go
+    where the line's buckets go.
+    """
     alike = known.where(F.col("line").isNotNull())
-    # dealt by line before its shingles are listed, so that the texts are shuffled and not the hashes
-    hashes = shingle_hashes(alike.select("id", "line").repartition("id"))
-    maps = hashes.groupBy("id").agg(F.count("h").cast("int").alias("size"), *[map_of(k).alias(f"x{k}") for k in range(MAPS)])
-    return alike.select("id", "n", "buckets").join(maps, "id")
+    # every line is whole in one task, so what is shuffled is one row of maps a line and neither texts nor hashes
+    hashes = shingle_hashes(alike.select("id", "line"))
+    word = lambda k: F.bit_or(F.when(F.pmod("h", F.lit(LANES)) == k, bit(F.shiftright("h", LANES.bit_length() - 1))).otherwise(F.lit(0).cast("long")))
+    maps = hashes.groupBy("id").agg(F.count("h").cast("int").alias("size"), F.array(*[word(k) for k in range(LANES)]).alias("wide"))
+    joined = [F.get("wide", F.lit(k)) for k in range(LANES)]
+    narrow = [reduce(Column.bitwiseOR, joined[k::MAPS]).alias(f"x{k}") for k in range(MAPS)]
+    return alike.select("id", "n", "buckets").join(maps.select("*", *narrow), "id")
 
 
 def hashed_shingles(line: Column) -> Column:
-    """The distinct shingles of a line as hashes."""
-    points = F.encode(line, "UTF-32")
-    return F.array_distinct(F.transform(starts(points), lambda at: hash_at(points, at)))
+    """The distinct shingles of a line as hashes; the line is brought into the form they are cut from once."""
+    return let(F.encode(line, "UTF-32"), lambda points: F.array_distinct(F.transform(starts(points), lambda at: hash_at(points, at))))
 
 
-def map_of(k: int) -> Column:
-    """The k-th map of the shingles of a group: bit h / MAPS modulo 64 for every hash h that is k modulo MAPS."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("h", MAPS.bit_length() - 1), F.lit(64)).cast("int"))
-    return F.bit_or(F.when(F.pmod("h", F.lit(MAPS)) == k, bit).otherwise(F.lit(0).cast("long")))
+def similar(line_a: Column, line_b: Column, similarity: float) -> Column:
+    """Whether the exact Jaccard similarity of two lines' shingles suffices; both sets and their intersection are made once."""
+    def enough(a: Column, b: Column) -> Column:
+        return let(F.size(F.array_intersect(a, b)), lambda n: n >= F.lit(similarity) * (F.size(a) + F.size(b) - n))
+
+    return let(hashed_shingles(line_a), lambda a: let(hashed_shingles(line_b), lambda b: enough(a, b)))
 
 
 def possible(a, b, similarity: float) -> Column:
-    """Whether two lines can be similar enough: a bit of one's maps that the other's lack is a shingle the other lacks.
+    """Whether two lines can be similar enough: a bit of one's narrow maps that the other's lack is a shingle the other lacks.
 
     At most ``size`` less such bits are shared, at least as many as there are bits in either are in the union.
     """
@@ -127,6 +150,16 @@ def possible(a, b, similarity: float) -> Column:
     return most >= F.lit(similarity) * bits(lambda k: a(f"x{k}").bitwiseOR(b(f"x{k}")))
 
 
+def possible_in_detail(similarity: float) -> Column:
+    """The same bound for a pair of ``wide_a, size_a`` and ``wide_b, size_b``."""
+    def bits(of) -> Column:
+        return F.aggregate(F.zip_with("wide_a", "wide_b", lambda a, b: F.bit_count(of(a, b))), F.lit(0), lambda total, x: total + x)
+
+    alone_a, alone_b = bits(lambda a, b: a.bitwiseAND(F.bitwise_not(b))), bits(lambda a, b: b.bitwiseAND(F.bitwise_not(a)))
+    most = F.least(F.col("size_a") - alone_a, F.col("size_b") - alone_b)
+    return most >= F.lit(similarity) * bits(lambda a, b: a.bitwiseOR(b))
+
+
 def in_buckets(mapped: DataFrame, *more: str) -> DataFrame:
     """A row for each bucket of each line."""
     return mapped.select("id", "n", "size", *more, *[f"x{k}" for k in range(MAPS)], F.explode("buckets").alias("bucket"))
@@ -147,24 +180,27 @@ def hub_pairs(mapped: DataFrame, similarity: float) -> DataFrame:
     return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough."""
+def verified(pairs: DataFrame, mapped: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are similar enough; only of pairs that the wide maps leave possible the texts are fetched."""
+    def ends(df: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
+        for end in ("a", "b"):
+            df = df.join(of.select(F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        return df
+
+    worth = ends(pairs, mapped, "wide", "size").where(possible_in_detail(similarity)).select("a", "b")
     # the texts travel and not the sets, which are many times larger
-    text = known.where(F.col("line").isNotNull()).select("id", "line")
-    both = (pairs.join(text.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
-            .join(text.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
-            .select("a", "b", hashed_shingles(F.col("line_a")).alias("s_a"), hashed_shingles(F.col("line_b")).alias("s_b")))
-    counted = both.select("a", "b", F.size("s_a").alias("n_a"), F.size("s_b").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).alias("n"))
-    return counted.where(F.col("n") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("n"))).select("a", "b")
+    both = ends(worth, known.where(F.col("line").isNotNull()), "line")
+    return both.where(similar(F.col("line_a"), F.col("line_b"), similarity)).select("a", "b")
 
 
 def remaining_pairs(mapped: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Pairs of a bucket in different components that the maps don't rule out, each in the first bucket that both are in."""
     rows = (in_buckets(mapped, "buckets").drop("n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")))
-    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
+    mixed = (rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("lines"))
+             .where(F.col("low") < F.col("high")).select("bucket", F.ceil(F.col("lines") / TASK).cast("int").alias("cuts")))
     open_rows = rows.join(mixed, "bucket")
-    a = open_rows.select(*[F.col(c).alias(f"{c}_a") for c in open_rows.columns]).withColumn("salt_a", F.pmod(F.xxhash64("id_a"), F.lit(SALTS)).cast("int"))
-    b = open_rows.select(*[F.col(c).alias(f"{c}_b") for c in open_rows.columns]).withColumn("salt_b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    a = open_rows.select(*[F.col(c).alias(f"{c}_a") for c in open_rows.columns]).withColumn("salt_a", F.pmod(F.xxhash64("id_a"), F.col("cuts_a")).cast("int"))
+    b = open_rows.select(*[F.col(c).alias(f"{c}_b") for c in open_rows.columns]).withColumn("salt_b", F.explode(F.sequence(F.lit(0), F.col("cuts_b") - 1)))
     on = ((F.col("bucket_a") == F.col("bucket_b")) & (F.col("salt_a") == F.col("salt_b")) & (F.col("root_a") < F.col("root_b"))
           & possible(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"), similarity)
           & (F.col("bucket_a") == F.array_min(F.array_intersect("buckets_a", "buckets_b"))))
@@ -176,22 +212,22 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc
     lines = judged_lines(docs, id_col, text_col)
     known = stored(candidates(lines))
     mapped = stored(with_maps(known))
-    near = stored(verified(hub_pairs(mapped, similarity), known, similarity))
+    near = stored(verified(hub_pairs(mapped, similarity), mapped, known, similarity))
     roots = stored(connected_components(near))
-    more = verified(remaining_pairs(mapped, roots, similarity), known, similarity)
+    more = verified(remaining_pairs(mapped, roots, similarity), mapped, known, similarity)
     # the second round only joins components, so it works on their roots
     root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
     between = (more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
                .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
     joined = stored(connected_components(between)).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    grouped = (known.select("id", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-               .join(joined, "root", "left").select("id", "first", F.coalesce("top", "root").alias("root")))
+    grouped = (known.select("id", "id2", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+               .join(joined, "root", "left").select("id", "id2", "first", F.coalesce("top", "root").alias("root")))
     firsts = grouped.groupBy("root").agg(F.min("first").alias("stays"))
-    verdicts = stored(grouped.join(firsts, "root").select("id", "stays"))
+    verdicts = stored(grouped.join(firsts, "root").select("id", "id2", "stays"))
     # a line that a third of all documents have is spread over salts
     told = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     where = lines.drop("line").withColumn("salt", F.pmod(F.xxhash64("of", "no"), F.lit(SALTS)).cast("int"))
-    gone = where.join(told, ["id", "salt"]).where(place() != F.col("stays"))
+    gone = where.join(told, ["id", "id2", "salt"]).where(place() != F.col("stays"))
     return gone.groupBy("doc_id", "of").agg(F.collect_set("no").alias("gone"))
 
 
@@ -199,8 +235,9 @@ def drop_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col:
     """The documents, all columns as they are, with the text of the lines that stay; ``n_chars``, if there, follows the text.
 
     Of each component of (nearly) equal lines the first stays, in order of
-    id, text and line number.  Blank lines and lines of under ``LEAST``
-    characters stay.  Null texts stay null, empty ones empty; a document all
+    id, text and line number.  Lines without a letter or digit stay;
+    lines of under ``LEAST`` characters go only if they repeat an earlier one
+    exactly.  Null texts stay null, empty ones empty; a document all
     of whose lines go keeps an empty text.  Null ids come last.  Rows with the
     same id and text are one document here and are treated alike.  With
     ``counts`` the columns ``_n_lines`` and ``_n_removed`` are added.

@@ -209,11 +209,11 @@ def kept_lines(rows, similarity=0.8):
     for r in rows:
         for k, line in enumerate((r["text"] or "").split("\n") if r["text"] is not None else []):
             x = line.strip(" \t\n\x0b\x0c\r")
-            if len(x) >= line_dedup.LEAST:
+            if any(c.isalnum() for c in x):
                 where.setdefault(x, []).append((r["doc_id"] is None, r["doc_id"] or 0, r["of"], k))
     lines = list(where)
     sets = [set(shingle.findall(x)) for x in lines]
-    links = [(a, b) for a in range(len(lines)) for b in range(a) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+    links = [(a, b) for a in range(len(lines)) for b in range(a) if min(len(lines[a]), len(lines[b])) >= line_dedup.LEAST and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
     group = dict(zip(lines, groups_of(len(lines), links)))
     first = {}
     for x in lines:
@@ -225,7 +225,7 @@ def kept_lines(rows, similarity=0.8):
         stay = []
         for k, line in enumerate(r["text"].split("\n")):
             x = line.strip(" \t\n\x0b\x0c\r")
-            if len(x) < line_dedup.LEAST or first[group[x]] == (r["doc_id"] is None, r["doc_id"] or 0, r["of"], k):
+            if x not in where or first[group[x]] == (r["doc_id"] is None, r["doc_id"] or 0, r["of"], k):
                 stay.append(line)
         out.append((r["doc_id"], "\n".join(stay)))
     return sorted(out, key=lambda x: (x[0] is None, x[0] or 0, x[1] or ""))
