@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from mercato.compare import canonical_sql
 from mercato.sources.fixture import CTE_NAMES, oracle_ctes
+from mercato.sources.schemas import SCHEMAS
 
 DAY = "86400000000.0"
 MONTH = "2629746000000.0"
@@ -478,13 +479,19 @@ TABLE_COLUMNS = {
     "order_reviews": "review_id order_id review_score",
     "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
     "customers": "customer_id customer_zip_code_prefix",
-    "geolocation": "ordinal geolocation_zip_code_prefix geolocation_lat geolocation_lng",
+    "geolocation": "geolocation_zip_code_prefix geolocation_lat geolocation_lng",
     "products": "product_id product_category_name product_name_lenght product_description_lenght product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm",
     "product_category_name_translation": "product_category_name product_category_name_english",
 }
-register("load_tables", [], "\nunion all\n".join(
-    f"select '{t}' as \"table\", '{c}' as \"column\", count(*) as rows, count(*) - count({c}) as nulls from {CTE_NAMES[t]}"
-    for t, cols in TABLE_COLUMNS.items() for c in cols.split()), [])
+def profile_sql(table: str, column: str) -> str:
+    """A column of the mapped table as the declared type says it is to be read from CSV."""
+    declared = SCHEMAS[table][column].simpleString()
+    value = {"string": f"length({column}::varchar)", "timestamp_ntz": f"epoch({column}::timestamp)"}.get(declared, column)
+    return (f"select '{table}' as \"table\", '{column}' as \"column\", '{declared}' as type, count(*) as rows, count(*) - count({column}) as nulls, "
+            f"coalesce(sum({value}::double), 0.0::double) as checksum from {CTE_NAMES[table]}")
+
+
+register("load_tables", [], "\nunion all\n".join(profile_sql(t, c) for t, cols in TABLE_COLUMNS.items() for c in cols.split()), ["checksum"])
 
 
 # ---------------------------------------------------------------- regression by elimination

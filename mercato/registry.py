@@ -8,10 +8,12 @@ matching DuckDB oracle in ``mercato.oracles``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.compare import canonical
 from mercato.operators import orders as O
@@ -20,7 +22,8 @@ from mercato.operators import regression as R
 from mercato.operators import sellers as S
 from mercato.operators import stats as ST
 from mercato.operators import whatif as W
-from mercato.plans.lineage import materialize
+from mercato.plans.lineage import ensure_checkpoint_dir, materialize
+from mercato.sources.csv_tables import load_tables, write_tables
 from mercato.sources.fixture import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,19 +44,39 @@ def query(name: str):
 
 
 # ---------------------------------------------------------------- sources
+def _checksum(name: str, dtype: T.DataType) -> Column:
+    """A sum over a column that shows what type it was read as: of numbers, of seconds, of lengths."""
+    c = F.col(name)
+    if isinstance(dtype, T.StringType):
+        c = F.length(c)
+    elif isinstance(dtype, T.TimestampNTZType):
+        c = F.unix_timestamp(c.cast("timestamp"))
+    return F.coalesce(F.sum(c.cast("double")), F.lit(0.0))
+
+
 def table_profile(tables: dict) -> DataFrame:
-    """``table, column, rows, nulls`` for every column of the eight tables: one aggregate per table."""
+    """``table, column, type, rows, nulls, checksum`` for every column of the tables: one aggregate per table."""
     out = None
     for name in sorted(tables):
-        df = tables[name]
-        counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_n_{c}") for c in df.columns])
-        cells = F.array(*[F.struct(F.lit(c).alias("column"), (F.col("_rows") - F.col(f"_n_{c}")).alias("nulls")) for c in df.columns])
-        rows = counts.select(F.lit(name).alias("table"), F.col("_rows").alias("rows"), F.explode(cells).alias("x")).select("table", "x.column", "rows", "x.nulls")
+        df = tables[name].drop("ordinal")
+        types = {f.name: f.dataType for f in df.schema.fields}
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_n_{c}") for c in types], *[_checksum(c, t).alias(f"_s_{c}") for c, t in types.items()])
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t.simpleString()).alias("type"), (F.col("_rows") - F.col(f"_n_{c}")).alias("nulls"), F.col(f"_s_{c}").alias("checksum"))
+                          for c, t in types.items()])
+        rows = counts.select(F.lit(name).alias("table"), F.col("_rows").alias("rows"), F.explode(cells).alias("x")).select("table", "x.column", "x.type", "rows", "x.nulls", "x.checksum")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-query("load_tables")(table_profile)
+def _loaded_from_csv(tables: dict) -> DataFrame:
+    """The mapped tables written as a folder of CSV files in the shared folder, loaded from there and profiled."""
+    spark = next(iter(tables.values())).sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    write_tables(tables, folder)
+    return table_profile(load_tables(spark, folder))
+
+
+query("load_tables")(_loaded_from_csv)
 
 
 # ---------------------------------------------------------------- orders

@@ -91,6 +91,17 @@ def load_tables(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
     return {table_key(p): read_table(spark, p) for p in paths}
 
 
+def write_tables(tables: dict[str, DataFrame], csv_dir: str) -> None:
+    """Every table as ``<csv_dir>/<name>.csv``, a folder of part files that ``load_tables`` reads back.
+
+    A null is an empty cell.  Rows with an ``ordinal`` are written in its
+    order, as the position in the file stands for it.
+    """
+    for name, df in tables.items():
+        rows = df.orderBy("ordinal").drop("ordinal") if "ordinal" in df.columns else df
+        rows.write.option("header", True).option("escape", '"').csv(f"{csv_dir.rstrip('/')}/{name}.csv")
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """Make every table queryable from SQL under its key (session temp views)."""
     for name, df in tables.items():

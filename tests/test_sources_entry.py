@@ -144,3 +144,31 @@ def test_a_missing_folder_raises(spark):
         load_tables(spark, tempfile.mkdtemp(prefix="mercato-empty-"))
     with pytest.raises(FileNotFoundError):
         load_tables(spark, "/no/such/folder")
+
+
+def test_the_profile_of_loaded_tables_shows_a_wrong_type(spark):
+    """Tables written as CSV come back with their types, over many splits, too; a column read as another type changes its row."""
+    from mercato.registry import table_profile
+    from mercato.sources import csv_tables
+    from mercato.sources.fixture import fixture_tables
+
+    d = tempfile.mkdtemp(prefix="mercato-roundtrip-")
+    csv_tables.write_tables(fixture_tables(spark, "/root/testdata/sf0.001"), d)
+    rows = lambda: {(r["table"], r["column"]): (r["type"], r["rows"], r["nulls"], round(r["checksum"], 4)) for r in table_profile(load_tables(spark, d)).collect()}
+    whole = rows()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert rows() == whole
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert whole["order_items", "price"][0] == "double" and whole["orders", "order_purchase_timestamp"][0] == "timestamp_ntz"
+    declared = csv_tables.SCHEMAS["order_items"]
+    original = declared["price"]
+    try:
+        declared["price"] = declared["product_id"]
+        assert rows()["order_items", "price"] != whole["order_items", "price"]
+    finally:
+        declared["price"] = original
