@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +34,19 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame | Callable[[], DataFrame]) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read from there.
 
     The shuffle files behind it serve nothing any more.  Spark removes them
     when the driver collects their handles as garbage, which it is asked to
     do here: otherwise the files of all steps would lie on the executors'
-    disks until the driver happens to run out of memory.
+    disks until the driver happens to run out of memory.  A large step is
+    given as a function: a caller that names or passes the DataFrame itself
+    holds on to its files for as long as the call lasts.
     """
-    out = materialize(df)
-    del df
+    made = df() if callable(df) else df
+    out = materialize(made)
+    del df, made
     gc.collect()
     out.sparkSession.sparkContext._jvm.System.gc()
     return out

@@ -210,20 +210,28 @@ def remaining_pairs(mapped: DataFrame, roots: DataFrame, similarity: float) -> D
 def repeated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, of, gone``: of each document with lines to remove their numbers."""
     lines = judged_lines(docs, id_col, text_col)
-    known = stored(candidates(lines))
-    mapped = stored(with_maps(known))
-    near = stored(verified(hub_pairs(mapped, similarity), mapped, known, similarity))
-    roots = stored(connected_components(near))
-    more = verified(remaining_pairs(mapped, roots, similarity), mapped, known, similarity)
-    # the second round only joins components, so it works on their roots
-    root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    between = (more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
-               .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
-    joined = stored(connected_components(between)).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    grouped = (known.select("id", "id2", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-               .join(joined, "root", "left").select("id", "id2", "first", F.coalesce("top", "root").alias("root")))
-    firsts = grouped.groupBy("root").agg(F.min("first").alias("stays"))
-    verdicts = stored(grouped.join(firsts, "root").select("id", "id2", "stays"))
+    known = stored(lambda: candidates(lines))
+    mapped = stored(lambda: with_maps(known))
+    near = stored(lambda: verified(hub_pairs(mapped, similarity), mapped, known, similarity))
+    roots = stored(lambda: connected_components(near))
+
+    def between() -> DataFrame:
+        """Links of the second round, between the roots of the first: it only joins components."""
+        root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+        more = verified(remaining_pairs(mapped, roots, similarity), mapped, known, similarity)
+        return (more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+                .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+
+    links = stored(between)
+    joined = stored(lambda: connected_components(links)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+
+    def judged() -> DataFrame:
+        grouped = (known.select("id", "id2", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+                   .join(joined, "root", "left").select("id", "id2", "first", F.coalesce("top", "root").alias("root")))
+        firsts = grouped.groupBy("root").agg(F.min("first").alias("stays"))
+        return grouped.join(firsts, "root").select("id", "id2", "stays")
+
+    verdicts = stored(judged)
     # a line that a third of all documents have is spread over salts
     told = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     where = lines.drop("line").withColumn("salt", F.pmod(F.xxhash64("of", "no"), F.lit(SALTS)).cast("int"))
