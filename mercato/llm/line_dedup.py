@@ -22,6 +22,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -180,14 +181,20 @@ def hub_pairs(mapped: DataFrame, similarity: float) -> DataFrame:
     return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, mapped: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough; only of pairs that the wide maps leave possible the texts are fetched."""
+def verified(pairs: Callable[[], DataFrame], mapped: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are similar enough; only of pairs that the wide maps leave possible the texts are fetched.
+
+    Pairs are narrow, and what it takes to find or to judge them is not: each
+    step's pairs are stored, so that the shuffles of one step are gone before
+    those of the next are written.
+    """
     def ends(df: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
         for end in ("a", "b"):
             df = df.join(of.select(F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
         return df
 
-    worth = ends(pairs, mapped, "wide", "size").where(possible_in_detail(similarity)).select("a", "b")
+    found = stored(pairs)
+    worth = stored(lambda: ends(found, mapped, "wide", "size").where(possible_in_detail(similarity)).select("a", "b"))
     # the texts travel and not the sets, which are many times larger
     both = ends(worth, known.where(F.col("line").isNotNull()), "line")
     return both.where(similar(F.col("line_a"), F.col("line_b"), similarity)).select("a", "b")
@@ -212,13 +219,13 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc
     lines = judged_lines(docs, id_col, text_col)
     known = stored(lambda: candidates(lines))
     mapped = stored(lambda: with_maps(known))
-    near = stored(lambda: verified(hub_pairs(mapped, similarity), mapped, known, similarity))
+    near = stored(lambda: verified(lambda: hub_pairs(mapped, similarity), mapped, known, similarity))
     roots = stored(lambda: connected_components(near))
 
     def between() -> DataFrame:
         """Links of the second round, between the roots of the first: it only joins components."""
         root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-        more = verified(remaining_pairs(mapped, roots, similarity), mapped, known, similarity)
+        more = verified(lambda: remaining_pairs(mapped, roots, similarity), mapped, known, similarity)
         return (more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
                 .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
 

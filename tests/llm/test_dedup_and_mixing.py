@@ -275,6 +275,42 @@ def lines_left(spark, lines):
     return {r["doc_id"] for r in line_dedup.drop_repeated_lines(docs).collect() if r["text"]}
 
 
+def test_a_pair_of_lines_is_encoded_once_each(spark):
+    """The optimised plan brings either line into the form its shingles are cut from once, and its time grows with the line."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    def rows(n):
+        return spark.createDataFrame([(prose(k, n), prose(k, n - 3) + " alpha beta gamma") for k in range(40)], "line_a string, line_b string").repartition(4)
+
+    def pairs(n):
+        return rows(n).where(line_dedup.similar(F.col("line_a"), F.col("line_b"), 0.8))
+
+    plan = pairs(10)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("encode(") <= 2 and plan.count("array_intersect(") == 1
+    took = []
+    for n in (200, 2000, 8000, 16_000):
+        began = time.time()
+        assert pairs(n).count() == 40
+        took.append(time.time() - began)
+    assert took[3] < 3 * took[2] + 1
+
+
+def test_short_lines_go_only_if_they_repeat_exactly(spark):
+    lines = ["Read more", "Read more!", "}", "}", "Read more", "---", "---", "a", "a "]
+    assert lines_left(spark, lines) == {0, 1, 2, 3, 5, 6, 7}
+
+
+def test_lines_of_one_hash_are_not_taken_for_each_other(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    judged = line_dedup.judged_lines
+    monkeypatch.setattr(line_dedup, "judged_lines", lambda *a: judged(*a).withColumn("id", F.when(F.col("line").startswith("same"), 5).otherwise(F.col("id")).cast("long")))
+    lines = ["same " + prose(1, 30), "same " + prose(2, 30), prose(3, 30), prose(3, 30)]
+    assert lines_left(spark, lines) == {0, 1, 2}
+
+
 def test_lines_without_spaces_are_judged_in_whole(spark):
     start = "https://www.example.com/"
     chinese = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u4e00\u8d77\u53bb\u516c\u56ed\u6563\u6b65\u5427"  # 17 characters
