@@ -6,15 +6,25 @@ subword, hashed to one of ``BUCKETS``.  The text is the mean of its subwords'
 embeddings; class scores are linear in it.  Embeddings and weights are
 trained together by stochastic gradient descent in numpy on a bounded
 sample (``PER_LANG`` documents of each language, taken by hash), on the
-driver.  A temperature fitted on a part of the sample that was not trained
-on calibrates the probabilities; a text is rejected below the threshold
-that ``REJECT_SHARE`` of the rightly recognised calibration texts fall
-under, at most ``LARGEST_THRESHOLD``.
+driver.
+
+A part of the sample that is not trained on calibrates the model.  What it
+must reject is made from that part: each text with its own language left out
+of the model (an unlearned language), and each with its letters shuffled
+(noise).  The temperature is the one at which texts of known languages get
+their language and the others get all languages alike.  Rejection goes by how
+usual a text's subwords are in the language predicted, as softmax
+probabilities say only which of the languages fits best: the mean of log
+(share of the subword in that language's training texts / share if all
+were alike), standardised by what texts of that length vary by.  Below the
+value that ``REJECT_SHARE`` of the rightly recognised calibration texts fall
+under, a text is rejected.  The shares of calibration texts, of unlearned
+languages and of noise that this accepts or rejects are kept in the model.
 """
 
 from __future__ import annotations
 
-import unicodedata
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +38,13 @@ from mercato.llm.common import partitions
 #: Bound of the training sample: documents of each language, and languages.
 PER_LANG, MAX_LANGS = 600, 200
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 14, 16, 6, 2.0
-REJECT_SHARE, LARGEST_THRESHOLD = 0.002, 0.5
+REJECT_SHARE = 0.002
+#: Standard deviations below the mean under which ``REJECT_SHARE`` of a normal distribution lies.
+TAIL = -2.878
+#: Subwords that a document counts for at most in its language's shares, and the count that every bucket is given besides.
+WEIGHT, PRIOR = 1000, 0.5
+#: Texts of at least so many subwords vary by their content; in a shorter one a letter's subwords depend on each other.
+LONG, DEPENDENT = 300, 3
 #: Code points whose subwords are held at once.
 BLOCK = 400_000
 UNDETERMINED = "und"
@@ -108,18 +124,39 @@ def subwords(group: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(owners)
 
 
+def shuffled(text: str) -> str:
+    """The text with its letters in another order, the same each time."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    at = np.flatnonzero(letters()[points])
+    points[at] = points[at][np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass"))).permutation(len(at))]
+    return points.tobytes().decode("utf-32-le", "surrogatepass")
+
+
 @dataclass
 class Model:
     langs: list[str]
     #: Score of each bucket for each language: embeddings times weights.
     scores: np.ndarray
+    #: How usual each bucket is in each language, and what a language's texts have on average and vary by.
+    usual: np.ndarray
+    middle: np.ndarray
+    spread: np.ndarray
+    between: float = 1e-6
     temperature: float = 1.0
-    threshold: float = 0.0
+    threshold: float = float("-inf")
+    #: Shares of the calibration texts: recognised, accepted when recognised, rejected without their language, rejected when shuffled.
     held_out_accuracy: float = field(default=float("nan"))
+    accepts_known: float = field(default=float("nan"))
+    rejects_unlearned: float = field(default=float("nan"))
+    rejects_noise: float = field(default=float("nan"))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and calibrated probability of each text; without a letter ``und`` and 0."""
-        total = np.zeros((len(texts), len(self.langs)))
+    def fitting(self, usual: np.ndarray, best: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """How far the texts' mean ``usual`` is above the middle of their language ``best``, in units of what texts of ``n`` subwords vary by."""
+        return (usual - self.middle[best]) / np.sqrt(self.between + self.spread[best] / np.maximum(n, 1))
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """Language, calibrated probability and whether the text is accepted; without a letter ``und``, 0 and not."""
+        total, usual = np.zeros((len(texts), len(self.langs))), np.zeros((len(texts), len(self.langs)))
         count = np.zeros(len(texts))
         for places, group in pieces(texts):
             where, owner = subwords(group)
@@ -127,17 +164,19 @@ class Model:
             count += np.bincount(at, minlength=len(texts))
             for k in range(len(self.langs)):
                 total[:, k] += np.bincount(at, self.scores[k][where], minlength=len(texts))
-        langs, sure = [], []
-        for row, n in zip(total, count):
-            if not n or not self.langs:
-                langs.append(UNDETERMINED)
-                sure.append(0.0)
-                continue
-            p = softmax(row / n / self.temperature)
-            best = int(np.argmax(p))
-            langs.append(self.langs[best])
-            sure.append(float(p[best]))
-        return langs, sure
+                usual[:, k] += np.bincount(at, self.usual[k][where], minlength=len(texts))
+        if not self.langs:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
+        n = np.maximum(count, 1)
+        p = softmax(total / n[:, None] / self.temperature)
+        best = p.argmax(axis=1)
+        known = count > 0
+        ok = known & (self.fitting(usual[np.arange(len(best)), best] / n, best, n) >= self.threshold)
+        langs = [self.langs[b] if k else UNDETERMINED for b, k in zip(best, known)]
+        return langs, np.where(known, p.max(axis=1), 0.0).tolist(), ok.tolist()
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        return self.judge(texts)[:2]
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -145,12 +184,13 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(rows: list[tuple[str, bool, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
-    """Fits a model to (language, whether it calibrates, buckets, counts) rows."""
-    rows = [r for r in rows if len(r[2])]
+def train(rows: list[tuple[str | None, bool, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
+    """Fits a model to (language, whether it calibrates, buckets, counts) rows; rows without a language are noise to be rejected."""
+    noise = [r for r in rows if r[0] is None and len(r[2])]
+    rows = [r for r in rows if r[0] is not None and len(r[2])]
     langs = sorted({r[0] for r in rows})
     if not langs:
-        return Model([], np.zeros((0, BUCKETS), np.float32))
+        return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, BUCKETS), np.float32), np.zeros(0), np.zeros(0))
     number = {x: k for k, x in enumerate(langs)}
     fit = [r for r in rows if not r[1]] or rows
     rng = np.random.default_rng(seed)
@@ -170,15 +210,73 @@ def train(rows: list[tuple[str, bool, np.ndarray, np.ndarray]], seed: int = 7) -
             embed[where] -= rate * share[:, None] * back
             done += 1
     scores = (embed @ weight).T.astype(np.float32).copy()
-    check = [r for r in rows if r[1]] or rows
-    logits = np.array([[(s[r[2]] * r[3]).sum() / r[3].sum() for s in scores] for r in check])
-    truth = np.array([number[r[0]] for r in check])
-    losses = {t: -np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in np.geomspace(0.05, 20, 60)}
-    heat = float(min(losses, key=losses.get))
-    p = softmax(logits / heat)
-    right = p.argmax(axis=1) == truth
-    limit = float(np.quantile(p.max(axis=1)[right], REJECT_SHARE)) if right.any() else 0.0
-    return Model(langs, scores, heat, min(limit, LARGEST_THRESHOLD), float(right.mean()))
+    return calibrated(langs, scores, usualness(fit, number), [r for r in rows if r[1]] or rows, noise)
+
+
+def usualness(fit: list, number: dict[str, int]) -> np.ndarray:
+    """For each language and bucket the log of the bucket's share in the language's texts, against equal shares."""
+    counts = np.full((len(number), BUCKETS), PRIOR)
+    for lang, _, where, n in fit:
+        counts[number[lang], where] += n * min(1.0, WEIGHT / n.sum())
+    return np.log(counts / counts.sum(axis=1, keepdims=True) * BUCKETS).astype(np.float32)
+
+
+def means(rows: list, tables: np.ndarray) -> np.ndarray:
+    """For each row and table the mean of the row's subwords."""
+    return np.array([(tables[:, r[2]] @ r[3]) / r[3].sum() for r in rows], float).reshape(len(rows), len(tables))
+
+
+def temperature(known: np.ndarray, truth: np.ndarray, unknown: list[np.ndarray]) -> float:
+    """Where known texts get their language and unknown ones all languages alike; 1 if there are no unknown ones, as no value is best then."""
+    unknown = [z for z in unknown if z.size and z.shape[1] > 1]
+    if not unknown:
+        return 1.0
+    low, high = 0.05, 20.0
+    while True:
+        grid = np.geomspace(low, high, 60)
+        log = lambda z, t: np.log(softmax(z / t) + 1e-12)
+        losses = [-log(known, t)[np.arange(len(truth)), truth].mean() - sum(log(z, t).mean(axis=1).sum() for z in unknown) / sum(map(len, unknown)) for t in grid]
+        k = int(np.argmin(losses))
+        if 0 < k < len(grid) - 1 or low < 1e-6:
+            return float(grid[k])
+        low, high = low / 20, high * 20
+
+
+def calibrated(langs: list[str], scores: np.ndarray, usual: np.ndarray, check: list, noise: list) -> Model:
+    """The model with temperature and threshold from the rows ``check``, their own languages left out, and ``noise``."""
+    every = range(len(langs))
+    truth = np.array([langs.index(r[0]) for r in check])
+    n = np.array([r[3].sum() for r in check])
+    logits, typical = means(check, scores), means(check, usual)
+    best = logits.argmax(axis=1)
+    right = best == truth
+    share = np.exp(usual.astype(float)) / BUCKETS
+    expected = (share * usual).sum(axis=1)
+    spread = DEPENDENT * (share * (usual - expected[:, None]) ** 2).sum(axis=1)
+    own = [typical[(truth == k) & right, k] for k in every]
+    middle = np.array([np.median(x) if len(x) else expected[k] for k, x in enumerate(own)])
+    off = typical[np.arange(len(truth)), best] - middle[best]
+    long = off[right & (n >= LONG)]
+    # by the tail and not the bulk of long texts: junk among them must not loosen the limit of short ones
+    model = Model(langs, scores, usual, middle, spread, max((float(np.quantile(long, REJECT_SHARE)) / TAIL) ** 2, 1e-6) if len(long) else 1e-6)
+    fits = model.fitting(typical[np.arange(len(truth)), best], best, n)
+    if right.any():
+        model.threshold = float(np.quantile(fits[right], REJECT_SHARE))
+        model.accepts_known = float((fits[right] >= model.threshold).mean())
+    model.held_out_accuracy = float(right.mean())
+    noise_logits = means(noise, scores)
+    left_out = [np.delete(logits[truth == k], k, axis=1) for k in every]
+    model.temperature = temperature(logits, truth, [*left_out, noise_logits])
+    if len(langs) > 1:
+        others = logits.copy()
+        others[np.arange(len(truth)), truth] = -np.inf
+        second = others.argmax(axis=1)
+        model.rejects_unlearned = float((model.fitting(typical[np.arange(len(truth)), second], second, n) < model.threshold).mean())
+    if noise:
+        taken = noise_logits.argmax(axis=1)
+        fitting = model.fitting(means(noise, usual)[np.arange(len(taken)), taken], taken, np.array([r[3].sum() for r in noise]))
+        model.rejects_noise = float((fitting < model.threshold).mean())
+    return model
 
 
 def held_out(doc_id: Column) -> Column:
@@ -208,25 +306,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, counts = [], []
-            for text in batch.column(2).to_pylist():
-                total = np.zeros(BUCKETS, np.int64)
-                for _, group in pieces([text]):
-                    total += np.bincount(subwords(group)[0], minlength=BUCKETS)
-                at = np.flatnonzero(total)
-                where.append(at.astype(np.int32).tobytes())
-                counts.append(np.minimum(total[at], 1 << 30).astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(where, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "calibrates", "at", "n"])
+            langs, ones, where, counts = [], [], [], []
+            for lang, calibrating, text in zip(*[c.to_pylist() for c in batch.columns]):
+                for noise in (False, True)[:1 + calibrating]:
+                    total = np.zeros(BUCKETS, np.int64)
+                    for _, group in pieces([text]):
+                        total += np.bincount(subwords([shuffled(t) for t in group] if noise else group)[0], minlength=BUCKETS)
+                    at = np.flatnonzero(total)
+                    langs.append(None if noise else lang)
+                    ones.append(calibrating)
+                    where.append(at.astype(np.int32).tobytes())
+                    counts.append(np.minimum(total[at], 1 << 30).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(ones, pa.bool_()), pa.array(where, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "calibrates", "at", "n"])
 
     found = sample.mapInArrow(features, "lang string, calibrates boolean, at binary, n binary").collect()
-    return train(sorted(((r["lang"], r["calibrates"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32).astype(float)) for r in found), key=lambda r: (r[0], r[2].tobytes(), r[3].tobytes())))
+    return train(sorted(((r["lang"], r["calibrates"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32).astype(float)) for r in found), key=lambda r: (r[0] is None, r[0] or "", r[2].tobytes(), r[3].tobytes())))
 
 
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Predicts the language of every whole text in one pass: ``doc_id, held_out, lang_pred, score, accepted``.
 
     Null, empty and letterless texts are ``und`` with score 0 and not
-    accepted.  Documents with a null language or id are predicted but never
+    accepted; texts in a language never learned, or in none, are told by
+    subwords unusual in the predicted one and not accepted either.  Documents
+    with a null language or id are predicted but never
     learned from; without any labelled document everything is ``und``.
     Repeated rows each give a row; other columns are not read.
     """
@@ -235,8 +338,7 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, sure = shared.value.predict(batch.column(2).to_pylist())
-            ok = [x != UNDETERMINED and p >= shared.value.threshold for x, p in zip(langs, sure)]
+            langs, sure, ok = shared.value.judge(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(sure, pa.float64()), pa.array(ok, pa.bool_())], names=["doc_id", "held_out", "lang_pred", "score", "accepted"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
@@ -251,7 +353,6 @@ def keep_identified(docs: DataFrame, model: Model | None = None, text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, sure = shared.value.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([x != UNDETERMINED and p >= shared.value.threshold for x, p in zip(langs, sure)], pa.bool_()))
+            yield batch.filter(pa.array(shared.value.judge(batch.column(at).to_pylist())[2], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

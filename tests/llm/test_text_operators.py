@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import duckdb
 import pytest
@@ -141,6 +142,66 @@ def test_language_of_hard_cases(spark):
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
 
 
+def plain_subwords(text):
+    """The buckets of a text's subwords, character by character."""
+    words = "".join(c.lower()[0] if c.isalpha() else " " for c in text or "").split()
+    stream = [0]
+    for w in words:
+        stream += [ord(c) for c in w] + [0]
+    low = 0xFFFFFFFF
+    found = []
+    for i in range(len(stream) - 1):
+        h = stream[i] * 0x9E3779B1 & low
+        for n in (2, 3, 4):
+            if i + n > len(stream) or 0 in stream[i + 1:i + n - 1]:
+                break
+            h = ((h ^ h >> 15) * 0x85EBCA77 + stream[i + n - 1] * 0xC2B2AE3D) & low
+            found.append(((h ^ h >> 13) * 0x27D4EB2F & low) >> 18)
+    return found
+
+
+def test_predictions_against_plain_python(spark):
+    import math
+
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    model = langid.fit(docs)
+    some = docs.where("doc_id % 20 = 0").unionByName(documents(spark).select(*docs.columns))
+    rows = [(r["text"], r["doc_id"]) for r in some.collect()]
+    got = langid.identify(some, model).collect()
+    assert len(got) == len(rows)
+    for r, (text, doc_id) in zip(got, rows):
+        at = plain_subwords(text)
+        assert r["held_out"] == (doc_id is None or zlib.crc32(str(doc_id).encode()) % 5 == 0)
+        if not at:
+            assert (r["lang_pred"], r["score"], r["accepted"]) == ("und", 0.0, False)
+            continue
+        z = [math.fsum(float(s[b]) for b in at) / len(at) / model.temperature for s in model.scores]
+        e = [math.exp(x - max(z)) for x in z]
+        best = e.index(max(e))
+        fits = (math.fsum(float(model.usual[best][b]) for b in at) / len(at) - model.middle[best]) / math.sqrt(model.between + model.spread[best] / len(at))
+        assert r["lang_pred"] == model.langs[best] and r["score"] == pytest.approx(max(e) / sum(e), rel=1e-6)
+        assert r["accepted"] == (fits >= model.threshold) or abs(fits - model.threshold) < 1e-6
+
+
+def test_unlearned_languages_and_noise_are_rejected(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents").where("length(text) >= 100")
+    for left in ("de", "en"):
+        model = langid.fit(docs.where(docs["lang"] != left))
+        got = langid.identify(docs, model).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+        unknown = [r["accepted"] for r in got if r["lang"] == left]
+        known = [r["accepted"] for r in got if r["lang"] != left]
+        assert sum(unknown) <= 0.1 * len(unknown) and sum(known) >= 0.97 * len(known) and min(len(unknown), len(known)) > 15
+    model = langid.fit(docs)
+    assert 0.05 < model.temperature < 20 and -10 < model.threshold < 0
+    assert model.rejects_unlearned >= 0.9 and model.rejects_noise >= 0.9 and model.accepts_known >= 0.97
+    strange = ["Příliš žluťoučký kůň úpěl ďábelské ódy a všichni lidé rodí se svobodní", "Bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar",
+               "Все люди рождаются свободными и равными в своем достоинстве", "人は生まれながらにして自由", "sdkfj wlekrj sdlkfj xcvmn qwpoie rtzzz bvnm"]
+    assert model.judge(strange)[2] == [False] * len(strange)
+    texts = [r["text"] for r in docs.where("doc_id % 10 = 0").collect()]
+    assert sum(model.judge([langid.shuffled(t) for t in texts])[2]) <= 0.1 * len(texts)
+    assert sorted(langid.shuffled("Ab, c1d")) == sorted("Ab, c1d") and langid.shuffled("a") == "a" and langid.shuffled("") == ""
+
+
 def _counts(text):
     import numpy as np
 
