@@ -47,6 +47,8 @@ WEIGHT, PRIOR = 1000, 0.5
 LONG, DEPENDENT = 300, 3
 #: Code points whose subwords are held at once.
 BLOCK = 400_000
+#: Subwords from which on a text's are counted by bucket.
+DENSE = 2000
 UNDETERMINED = "und"
 
 
@@ -156,15 +158,18 @@ class Model:
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         """Language, calibrated probability and whether the text is accepted; without a letter ``und``, 0 and not."""
-        total, usual = np.zeros((len(texts), len(self.langs))), np.zeros((len(texts), len(self.langs)))
-        count = np.zeros(len(texts))
+        tables = np.concatenate([self.scores, self.usual]).astype(float)
+        by_bucket = np.ascontiguousarray(tables.T)
+        sums, count = np.zeros((len(texts), len(tables))), np.zeros(len(texts))
         for places, group in pieces(texts):
             where, owner = subwords(group)
-            at = np.asarray(places)[owner]
-            count += np.bincount(at, minlength=len(texts))
-            for k in range(len(self.langs)):
-                total[:, k] += np.bincount(at, self.scores[k][where], minlength=len(texts))
-                usual[:, k] += np.bincount(at, self.usual[k][where], minlength=len(texts))
+            where = where[np.argsort(owner, kind="stable")]
+            ends = np.cumsum(np.bincount(owner, minlength=len(group)))
+            for place, found in zip(places, np.split(where, ends[:-1])):
+                count[place] += len(found)
+                # many subwords are counted by bucket first, few are looked up each
+                sums[place] += tables @ np.bincount(found, minlength=BUCKETS) if len(found) > DENSE else by_bucket[found].sum(axis=0)
+        total, usual = np.split(sums, 2, axis=1)
         if not self.langs:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
         n = np.maximum(count, 1)
