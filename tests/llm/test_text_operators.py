@@ -289,27 +289,24 @@ def test_ordinary_shapes_are_no_secrets_and_random_strings_are(spark):
 
 # ---------------------------------------------------------------- chat formatting
 def rotated(turns, part):
-    """Plain Python: parts of at most ``part`` turns inside blocks of turn numbers."""
+    """Plain Python: parts of at most ``part`` turns of each conversation."""
     out, convs = [], {}
     for conv, turn, role, text in turns:
         convs.setdefault(conv, []).append((turn is not None, turn or 0, role or "unknown", text or ""))
     for conv, said in convs.items():
         speakers = {r for _, _, r, _ in said if r != "system"}
-        blocks = {}
-        for x in said:
-            blocks.setdefault(x[1] // part if x[0] else None, []).append(x)
-        for block, xs in blocks.items():
-            xs.sort()
-            for cut in range(0, len(xs), part):
-                for me in speakers:
-                    text, mask, own = "", [], 0
-                    for _, _, role, words in xs[cut:cut + part]:
-                        text += "<|assistant|>\n" if role == me else "<|system|>\n" if role == "system" else f"<|user name={role}|>\n"
-                        if role == me:
-                            mask.append(f"{len(text)}:{len(text) + len(words)}")
-                            own += 1
-                        text += words + "\n<|end|>\n"
-                    out.append((conv, -1 if block is None else block, cut // part, me, len(xs[cut:cut + part]), own, text, ",".join(mask)))
+        said.sort()
+        for cut in range(0, len(said), part):
+            xs = said[cut:cut + part]
+            for me in speakers:
+                text, mask, own = "", [], 0
+                for _, _, role, words in xs:
+                    text += "<|assistant|>\n" if role == me else "<|system|>\n" if role == "system" else f"<|user name={role}|>\n"
+                    if role == me:
+                        mask.append(f"{len(text)}:{len(text) + len(words)}")
+                        own += 1
+                    text += words + "\n<|end|>\n"
+                out.append((conv, cut // part, me, len(xs), own, text, ",".join(mask)))
     return out
 
 
@@ -317,6 +314,9 @@ TURNS = [
     (1, 0, "system", "be kind"), (1, 1, "ann", "héllo"), (1, 2, "bob", "hi ann"), (1, 3, "cy", ""), (1, 4, "ann", "bye"), (1, 4, "bob", "bye"), (1, 4, "bob", "bye"),
     (2, 0, "system", "nobody"), (3, None, None, None), (3, 1, "user", "x"), (None, 5, "user", "no conversation"), (None, 6, "assistant", "none"),
 ] + [(7, k, "user" if k % 2 else "assistant", f"turn {k}") for k in range(23)] + [(8, 3, "a", f"tie {k}") for k in range(9)]
+# numbered across a multiple of the part, by timestamps, by negative and extreme numbers
+TURNS += [(20, k, "ab"[k % 2], f"late {k}") for k in range(505, 525)] + [(21, 1_700_000_000_000 + k * k * 977_000, "abc"[k % 3], f"stamp {k}") for k in range(30)]
+TURNS += [(22, k, "a", f"below {k}") for k in range(-7, 4)] + [(23, k, "b", "far") for k in (-(1 << 63), -1, 0, 5, (1 << 63) - 1)] + [(24, None, "a", f"none {k}") for k in range(6)]
 
 
 @pytest.mark.parametrize("part", [512, 4])
@@ -326,9 +326,9 @@ def test_perspectives_against_plain_python(spark, part):
     got = [tuple(r) for r in perspectives.rotate(turns, part).collect()]
     assert same(sorted(got, key=key), sorted(rotated(TURNS, part), key=key))
     for r in got:
-        for span in filter(None, r[7].split(",")):
+        for span in filter(None, r[6].split(",")):
             a, b = map(int, span.split(":"))
-            assert r[6][:a].endswith("<|assistant|>\n") and r[6][b:].startswith("\n<|end|>")
+            assert r[5][:a].endswith("<|assistant|>\n") and r[5][b:].startswith("\n<|end|>")
     assert perspectives.rotate(turns.limit(0)).count() == 0
 
 
