@@ -620,3 +620,21 @@ grid as (
   from fin f, (select min(delay_vs_expected) as lo, max(delay_vs_expected) as hi, var_pop(delay_vs_expected) as var_x from zs) r, range(100) g(i))"""],
         f"select point, x, b0 + b1 * x as fitted, b0 + b1 * x - {_Q} * {_BAND} as ci_low, b0 + b1 * x + {_Q} * {_BAND} as ci_high from grid",
         ["x", "fitted", "ci_low", "ci_high"])
+
+# Poisson draws with mean 1 from 16 bits of a hash: one for each step of the distribution that the bits can tell.
+_STEPS = "select k, floor(65536 * sum(exp(-1.0::double) / gamma(k + 1.0)) over (order by k)) as cut from range(8) s(k)"
+regress("regression_line_resampled", TRAINING_DEPS, [*normal_equations("training", "review_score", ["wait_time"]), f"""
+steps as materialized ({_STEPS}),
+hashed as materialized (
+  select wait_time - m0 as dx, review_score - my as dy, g, md5('0/' || order_id || '/' || g) as h from training, fin, range(25) r(g)),
+drawn as (
+  select dx, dy, g * 8 + p as replicate, ('0x' || substr(h, (p * 4 + 1)::int, 4))::int as draw from hashed, range(8) r(p)),
+counted as (select dx, dy, replicate, (select count(*) from steps where cut <= draw) as w from drawn),
+sums as (select replicate, sum(w) as n, sum(w * dx) as sx, sum(w * dy) as sy, sum(w * dx * dx) as sxx, sum(w * dx * dy) as sxy from counted group by replicate),
+lines as (select sx / n as ux, sy / n as uy, (sxy - sx * sy / n) / (sxx - sx * sx / n) as slope from sums),
+grid as (
+  select f.*, cast(i as integer) as point, case when i = 99 then hi else i::double * ((hi - lo) / 99) + lo end as x
+  from fin f, (select min(wait_time) as lo, max(wait_time) as hi from training) r, range(100) g(i))"""],
+        "select point, x, b0 + b1 * x as fitted, quantile_cont(my + uy + slope * (x - m0 - ux), 0.025) as ci_low, "
+        "quantile_cont(my + uy + slope * (x - m0 - ux), 0.975) as ci_high from grid, lines group by point, x, b0, b1",
+        ["x", "fitted", "ci_low", "ci_high"])

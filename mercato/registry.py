@@ -19,6 +19,7 @@ from mercato.compare import canonical
 from mercato.operators import orders as O
 from mercato.operators import products as P
 from mercato.operators import regression as R
+from mercato.operators import resampling as RS
 from mercato.operators import sellers as S
 from mercato.operators import stats as ST
 from mercato.operators import whatif as W
@@ -219,3 +220,5 @@ query("histogram_residuals")(lambda t: ST.histogram(_scored(t), "residual", 10,
 query("histogram_predicted")(lambda t: ST.histogram(materialize(_scored(t).select("predicted")), "predicted", 10))
 query("regression_line")(
     lambda t: R.regression_line(ST.zscore(_orders(t, "review_score", "delay_vs_expected"), ["delay_vs_expected"]), "review_score", "delay_vs_expected"))
+query("regression_line_resampled")(
+    lambda t: RS.regression_line_resampled(_orders(t, "order_id", "review_score", "wait_time"), "review_score", "wait_time", ["order_id"], replicates=200))
