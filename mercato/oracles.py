@@ -121,6 +121,7 @@ def swapped(old: str, new: str) -> list[str]:
 F["training_without_distance"] = _no_distance
 register("order_training_any_status", swapped("wait", "wait_any"), "select * from training", [*_DOUBLES, "distance_seller_customer"])
 register("order_training_without_distance", ["wait", "rev", "istats", "training_without_distance"], "select * from training", _DOUBLES)
+register("order_training_bucketed", ["wait", "rev", "istats", "training_without_distance"], "select * from training", _DOUBLES)
 register("order_training_distinct_sellers", swapped("istats", "istats_distinct"), "select * from training", [*_DOUBLES, "distance_seller_customer"])
 register("order_number_sellers_distinct", ["istats_distinct"], "select order_id, number_of_sellers from istats", [])
 

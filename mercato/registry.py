@@ -24,6 +24,7 @@ from mercato.operators import sellers as S
 from mercato.operators import stats as ST
 from mercato.operators import whatif as W
 from mercato.plans.lineage import ensure_checkpoint_dir, materialize
+from mercato.sources.bucketed import open_bucketed, write_bucketed
 from mercato.sources.csv_tables import load_tables, write_tables
 from mercato.sources.fixture import fixture_tables
 
@@ -89,6 +90,18 @@ query("order_price_freight")(O.order_price_freight)
 query("haversine_km")(O.order_item_distance)
 query("order_distance")(O.order_distance)
 query("order_training")(O.order_training)
+
+
+def _bucketed(tables: dict, *names: str) -> dict:
+    """Some of the mapped tables, stored by buckets in the shared folder and opened from the catalog."""
+    spark = next(iter(tables.values())).sparkSession
+    mark = f"bucketed_{uuid.uuid4().hex}"
+    write_bucketed({n: tables[n] for n in names}, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{mark}", mark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return open_bucketed(spark, mark, list(names))
+
+
+query("order_training_bucketed")(
+    lambda t: O.order_training(_bucketed(t, "orders", "order_items", "order_reviews"), with_distance_seller_customer=False))
 query("order_training_any_status")(lambda t: O.order_training(t, is_delivered=False))
 query("order_training_without_distance")(lambda t: O.order_training(t, with_distance_seller_customer=False))
 query("order_training_distinct_sellers")(lambda t: O.order_training(t, distinct_sellers=True))
