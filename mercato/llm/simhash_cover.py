@@ -252,8 +252,10 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, salt_by: str, salts
 def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one row left of each component: that with the smallest id; all columns as they are.
 
-    Of repeated rows with that id one stays.  A component without any id
-    keeps one of its rows.
+    Of rows that share that id and its fingerprint the one with the smallest
+    text stays (none first), of those with the same text the one with the
+    smallest hash of all columns.  A component without any id keeps one of its
+    rows, by its smallest fingerprint and then alike.
     """
     found = with_roots(docs, shingle, max_bits, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "print")
@@ -269,4 +271,6 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
 
     printed = base.mapInArrow(run, base.schema)
     kept = printed.join(keep, (printed["_print"] == keep["_keep_print"]) & printed[id_col].cast("long").eqNullSafe(keep["_keep_id"]))
-    return kept.dropDuplicates(["_print", "_keep_id"]).select(*docs.columns)
+    # rows that share an id are reduced in their tasks first
+    tie = F.struct(F.col(text_col).cast("string"), F.xxhash64(*docs.columns))
+    return kept.groupBy("_print", "_keep_id").agg(F.min_by(F.struct(*docs.columns), tie).alias("_row")).select("_row.*")

@@ -163,6 +163,19 @@ def test_fingerprints_and_components_against_all_pairs(spark):
     assert simhash_cover.near_duplicates(empty(spark)).count() == 0
 
 
+def test_ties_between_rows_of_one_id_are_settled(spark):
+    words = "alpha beta gamma delta epsilon zeta"
+    rows = [(1, words, "en"), (1, words.upper(), "de"), (1, words.upper(), "fr"), (2, words, "en"), (None, "other words that stand apart here", "en"), (None, "other words that stand apart here", "de")]
+    kept = set()
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(3)
+        got = simhash_cover.keep_representatives(docs)
+        assert got.columns == docs.columns
+        kept.add(tuple(sorted((str(tuple(r)) for r in got.collect()))))
+    (only,) = kept
+    assert len(only) == 2 and any(words.upper() in r and r.startswith("(1,") for r in only) and any(r.startswith("(None,") for r in only)
+
+
 @pytest.mark.parametrize("bits", [0, 1, 3, 4, 6])
 def test_linked_fingerprints_share_an_anchor(bits):
     rng = np.random.default_rng(bits)
