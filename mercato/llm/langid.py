@@ -16,9 +16,11 @@ their language and the others get all languages alike.  Rejection goes by how
 usual a text's subwords are in the language predicted, as softmax
 probabilities say only which of the languages fits best: the mean of log
 (share of the subword in that language's training texts / share if all
-were alike), standardised by what texts of that length vary by.  Below the
-value that ``REJECT_SHARE`` of the rightly recognised calibration texts fall
-under, a text is rejected.  The shares of calibration texts, of unlearned
+were alike), standardised by what texts of that length vary by.  The
+threshold is the value that ``REJECT_SHARE`` of the rightly recognised
+calibration texts fall under; if the value that ``FOREIGN_SHARE`` of the
+unlearned languages and the noise fall under is lower still, the middle of the
+two, as the lowest of few texts says little.  The shares of calibration texts, of unlearned
 languages and of noise that this accepts or rejects are kept in the model.
 """
 
@@ -39,8 +41,11 @@ from mercato.llm.common import partitions
 PER_LANG, MAX_LANGS = 600, 200
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 14, 16, 6, 2.0
 REJECT_SHARE = 0.002
+FOREIGN_SHARE = 0.98
 #: Standard deviations below the mean under which ``REJECT_SHARE`` of a normal distribution lies.
 TAIL = -2.878
+#: Training takes so many steps at least, as a small sample is not learned in ``EPOCHS`` passes.
+STEPS = 6000
 #: Subwords that a document counts for at most in its language's shares, and the count that every bucket is given besides.
 WEIGHT, PRIOR = 1000, 0.5
 #: Texts of at least so many subwords vary by their content; in a shorter one a letter's subwords depend on each other.
@@ -201,8 +206,9 @@ def train(rows: list[tuple[str | None, bool, np.ndarray, np.ndarray]], seed: int
     rng = np.random.default_rng(seed)
     embed = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     weight = np.zeros((DIMENSIONS, len(langs)))
-    steps, done = EPOCHS * len(fit), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // len(fit)))
+    steps, done = epochs * len(fit), 0
+    for _ in range(epochs):
         for k in rng.permutation(len(fit)):
             lang, _, where, counts = fit[k]
             rate = RATE * (1 - done / steps)
@@ -265,22 +271,26 @@ def calibrated(langs: list[str], scores: np.ndarray, usual: np.ndarray, check: l
     # by the tail and not the bulk of long texts: junk among them must not loosen the limit of short ones
     model = Model(langs, scores, usual, middle, spread, max((float(np.quantile(long, REJECT_SHARE)) / TAIL) ** 2, 1e-6) if len(long) else 1e-6)
     fits = model.fitting(typical[np.arange(len(truth)), best], best, n)
-    if right.any():
-        model.threshold = float(np.quantile(fits[right], REJECT_SHARE))
-        model.accepts_known = float((fits[right] >= model.threshold).mean())
-    model.held_out_accuracy = float(right.mean())
     noise_logits = means(noise, scores)
     left_out = [np.delete(logits[truth == k], k, axis=1) for k in every]
     model.temperature = temperature(logits, truth, [*left_out, noise_logits])
+    unlearned, strange = np.zeros(0), np.zeros(0)
     if len(langs) > 1:
         others = logits.copy()
         others[np.arange(len(truth)), truth] = -np.inf
         second = others.argmax(axis=1)
-        model.rejects_unlearned = float((model.fitting(typical[np.arange(len(truth)), second], second, n) < model.threshold).mean())
+        unlearned = model.fitting(typical[np.arange(len(truth)), second], second, n)
     if noise:
         taken = noise_logits.argmax(axis=1)
-        fitting = model.fitting(means(noise, usual)[np.arange(len(taken)), taken], taken, np.array([r[3].sum() for r in noise]))
-        model.rejects_noise = float((fitting < model.threshold).mean())
+        strange = model.fitting(means(noise, usual)[np.arange(len(taken)), taken], taken, np.array([r[3].sum() for r in noise]))
+    if right.any():
+        low = float(np.quantile(fits[right], REJECT_SHARE))
+        foreign = np.concatenate([unlearned, strange])
+        high = float(np.quantile(foreign, FOREIGN_SHARE)) if len(foreign) else low
+        model.threshold = min(low, (low + high) / 2)
+        model.accepts_known = float((fits[right] >= model.threshold).mean())
+    model.held_out_accuracy = float(right.mean())
+    model.rejects_unlearned, model.rejects_noise = (float((x < model.threshold).mean()) if len(x) else float("nan") for x in (unlearned, strange))
     return model
 
 
