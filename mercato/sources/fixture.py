@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.plans.spread import spread
+
 MAPPINGS: dict[str, str] = {
     "orders": """
 select o_orderkey as order_id, o_custkey as customer_id,
@@ -81,6 +83,9 @@ from {nation} lateral view explode(array(0, 1, 2)) z as k
 """,
 }
 
+# What the sources of order_items are joined by.
+ORDER_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
 SOURCE_TABLES = ("orders", "lineitem", "supplier", "customer", "part", "nation")
 
 # Integer widths differ between engines; these columns are pinned so both sides agree.
@@ -131,10 +136,13 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     src = read_sources(spark, sf_dir)
+    rows = src["lineitem"].count()  # the files' footers tell
     out: dict[str, DataFrame] = {}
     for name, shared in MAPPINGS.items():
         sql = SPARK_MAPPINGS.get(name, shared)
         used = {t: df for t, df in src.items() if "{" + t + "}" in sql}
+        if name == "order_items":  # both sides of its join, which the steps by order after it go on from
+            used = {t: spread(used[t], rows, key) for t, key in ORDER_KEYS.items()}
         df = spark.sql(sql, **used)
         casts = {c: F.col(c).cast("int") for c in _INT_COLUMNS.get(name, [])}
         out[name] = df.withColumns(casts) if casts else df

@@ -37,3 +37,29 @@ def test_a_stored_status_is_filtered_in_the_scan(spark, tmp_path):
     plan = O.order_wait_time(stored)._jdf.queryExecution().executedPlan().toString()
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
     assert "EqualTo(order_status,delivered)" in pushed
+
+
+def test_items_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    """A task's share of the items stays the same however many there are; the rows are those of the undivided table."""
+    from mercato.plans import spread
+    from mercato.sources import fixture
+
+    whole = fixture._build(spark, "/root/testdata/sf0.001")["order_items"]
+    monkeypatch.setattr(spread, "ROWS_PER_TASK", 100)
+    dealt = fixture._build(spark, "/root/testdata/sf0.001")["order_items"]
+    sizes = [n for n in dealt.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
+    assert sum(sizes) == whole.count() and max(sizes) < 3 * spread.ROWS_PER_TASK
+    assert dealt.exceptAll(whole).count() == 0 and whole.exceptAll(dealt).count() == 0
+
+
+def test_review_scores_over_dealt_items(spark, monkeypatch):
+    from mercato.operators.products import product_review_score
+    from mercato.plans import spread
+    from mercato.sources import fixture
+
+    def rows():
+        return sorted(tuple(round(x, 9) for x in r) for r in product_review_score(fixture._build(spark, "/root/testdata/sf0.001")).collect())
+
+    whole = rows()
+    monkeypatch.setattr(spread, "ROWS_PER_TASK", 100)
+    assert rows() == whole
