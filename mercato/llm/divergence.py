@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import words_of
+from mercato.llm.common import SPACES, words_of
 from mercato.plans.ranges import attach_lookup
 
 #: Most frequent words of a language that a histogram counts.
@@ -31,13 +31,18 @@ CLASSES = [("lower", "[a-z]+"), ("space", "[\\x20\\x09-\\x0D]+"), ("upper", "[A-
 SYMBOLS = "[#*$%&|<>]+"
 
 
+def without_class(text: Column, name: str, pattern: str) -> Column:
+    """A text without the characters of a class; white space, mostly single here, is quicker looked up than matched."""
+    return F.translate(text, SPACES, "") if name == "space" else F.regexp_replace(text, pattern, "")
+
+
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per document: words, counts of the character classes, and the base figures."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), text.alias("text"))
     out = out.withColumn("left_0", F.col("text"))
-    for k, (_, pattern) in enumerate(CLASSES):  # each pass reads only what the one before has left
-        out = out.withColumn(f"left_{k + 1}", F.regexp_replace(f"left_{k}", pattern, ""))
+    for k, (name, pattern) in enumerate(CLASSES):  # each pass reads only what the one before has left
+        out = out.withColumn(f"left_{k + 1}", without_class(F.col(f"left_{k}"), name, pattern))
     sizes = [F.length(f"left_{k}") for k in range(len(CLASSES) + 1)]
     counts = F.array(*[(a - b) for a, b in zip(sizes, sizes[1:])], sizes[-1])
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
@@ -52,8 +57,8 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     out = out.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     n = F.size("words")
     low = (1 << PLACE_BITS) - 1
-    out = out.withColumn("windows", F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
-        F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)))).otherwise(F.array().cast("array<bigint>")))
+    out = out.withColumn("windows", F.when(n >= 3, F.transform(F.slice("hashes", 1, n - 2), lambda h, i: F.xxhash64(
+        h, F.get("hashes", i + 1), F.get("hashes", i + 2)))).otherwise(F.array().cast("array<bigint>")))
     high = lambda x: F.shiftright(x, PLACE_BITS)
     out = out.withColumn("packed", F.sort_array(F.transform("windows", lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long")))))
     out = out.withColumn("same", F.filter("packed", lambda x, k: (high(x) == high(F.get("packed", k - 1))) | (high(x) == high(F.get("packed", k + 1)))))
@@ -75,8 +80,8 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def class_counts(text: Column) -> Column:
     """The sizes of the character classes of a text, the rest last (as ``described`` has them)."""
     left, sizes = text, [F.length(text)]
-    for _, pattern in CLASSES:
-        left = F.regexp_replace(left, pattern, "")
+    for name, pattern in CLASSES:
+        left = without_class(left, name, pattern)
         sizes.append(F.length(left))
     return F.array(*[a - b for a, b in zip(sizes, sizes[1:])], sizes[-1])
 
@@ -124,8 +129,12 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, id_col: str = "doc_id"
     row; an empty table gives none; other columns are not read.
     """
     refs = references(docs, text_col, lang_col) if refs is None else refs
+    refs = refs.withColumns({"common_hashes": F.transform("common", lambda w: F.xxhash64(w)), "longest": F.array_max(F.transform("common", lambda w: F.length(w)))})
     rows = attach_lookup(described(docs, id_col, text_col, lang_col).withColumnRenamed("lang", "ref_lang"), refs, ["ref_lang"], F.col("doc_id"))
-    places = F.transform("words", lambda w: F.array_position("common", F.lower(w)))
+    # few words are no longer than a common one and have the hash of one (lower case never shortens); only they are looked up
+    short = F.transform(F.filter("words", lambda w: F.length(w) <= F.col("longest")), lambda w: F.lower(w))
+    rows = rows.withColumn("near", F.filter(short, lambda w: F.array_contains("common_hashes", F.xxhash64(w))))
+    places = F.transform("near", lambda w: F.array_position("common", w))
     rows = rows.withColumn("hits", F.array_remove(F.when(F.col("common").isNotNull(), places), F.lit(0).cast("long")))
     count = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size("hits") - F.size(F.array_remove("hits", k.cast("long"))))
     rows = rows.withColumn("word_hist", F.transform(F.concat(count, F.array(F.col("n_words").cast("int") - F.size("hits"))), lambda c: c / F.col("n_words")))

@@ -1,6 +1,7 @@
 """Quality rules, fingerprints, language identification, secrets and chat formatting."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -334,3 +335,30 @@ def test_perspectives_against_plain_python(spark, part):
 
 def test_perspectives_equal_their_sql(spark):
     assert same(rows(perspectives.rotate(read(spark, SF, "conversations"))), oracle(perspectives.oracle_sql(), "conversations"))
+
+
+def test_common_words_are_counted_as_listed(spark):
+    """Words as long as a common one, in either case, with marks and letters that change their length in lower case."""
+    docs = documents(spark).limit(0).select("doc_id", "text", "lang")
+    texts = ["Alpha beta ALPHA İ i̇ K k | alpha. alphas " * 12, "ÉTÉ été | beta beta\x0bbeta\r\nK " * 12, "zeta " * 60 + "Σίγμας ΣΊΓΜΑΣ " * 5, None, ""]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], docs.schema)
+    refs = [("en", ["alpha", "beta", "k", "i̇", "été", "|", "σίγμας"], [0.2, 0.2, 0.1, 0.1, 0.1, 0.1, 0.1, 0.1], [1 / 7] * 7)]
+    refs = spark.createDataFrame(refs, "ref_lang string, common array<string>, word_shares array<double>, class_shares array<double>")
+    got = {r["doc_id"]: r["js_word"] for r in divergence.judge(docs, refs).collect()}
+    common, shares = refs.first()["common"], refs.first()["word_shares"]
+    for k, text in enumerate(texts):
+        words = [w.lower() for w in WORD.findall(text or "")]
+        if len(words) < divergence.LEAST_WORDS:
+            assert got[k] is None
+            continue
+        hist = [words.count(c) / len(words) for c in common]
+        hist.append(1 - sum(hist))
+        part = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+        js = sum((part(p, q) + part(q, p)) / 2 for p, q in zip(hist, shares))
+        assert got[k] == pytest.approx(math.sqrt(max(js, 0)), abs=2e-6)
+
+
+def test_words_are_looked_up_once(spark):
+    """Only words that can be common are compared with the common ones."""
+    plan = divergence.judge(documents(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_position" in plan and "common_hashes" in plan
