@@ -384,3 +384,23 @@ def test_pipeline_stages(spark, tmp_path):
     for r in kept[5].collect()[:50]:
         assert list(r["ids"]) == encoder.encode(texts[r["doc_id"]]) and r["n_tokens"] == len(r["ids"])
     assert kept[5].count() == kept[4].count()
+
+
+def test_whole_rows_are_dealt_once_for_representatives(spark):
+    """What the join with the chosen keys deals the rows by also serves their grouping: no exchange above the join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = simhash_cover.keep_representatives(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan.split("SortMergeJoin")[0]
+    assert "Aggregate" in above and "Exchange" not in above
+
+
+def test_representatives_of_rows_without_id_and_of_id_zero(spark):
+    """No id is told from id zero; of the same id and text one row stays."""
+    rows = [(0, prose(1, 40)), (None, prose(2, 40)), (0, prose(3, 40)), (None, prose(3, 40)), (0, prose(1, 40)), (7, prose(2, 40)), (None, prose(4, 40))]
+    kept = simhash_cover.keep_representatives(documents(spark, rows), max_bits=0).select("doc_id", "text").collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in kept) == sorted(
+        [(False, 0, prose(1, 40)), (False, 0, prose(3, 40)), (False, 7, prose(2, 40)), (True, 0, prose(4, 40))])
