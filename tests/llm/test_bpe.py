@@ -6,7 +6,8 @@ import struct
 import pytest
 from cases import documents, empty
 
-from mercato.llm.bpe import Bpe, Encoder, Utf8Machine, decode, encode_documents, load_spec, sufficient_lookahead
+from mercato.llm.bpe import Bpe, Encoder, Utf8Machine, decode, encode_documents, id_lists, load_spec, sufficient_lookahead
+from mercato.llm.common import held, parts
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
@@ -36,6 +37,29 @@ def odd_texts():
         yield "".join(rnd.choice(letters) for _ in range(4000))
 
 
+def test_ids_become_lists_without_an_object_each():
+    texts = [[1, 2, 48894], [], [0]]
+    assert id_lists([struct.pack(f"<{len(x)}I", *x) for x in texts]).to_pylist() == texts
+    assert id_lists([b"", b""]).to_pylist() == [[], []]
+
+
+def test_a_worker_keeps_one_thing_and_takes_batches_in_parts():
+    import weakref
+
+    import pyarrow as pa
+
+    class Made:
+        pass
+
+    vocabulary, model = object(), object()
+    first = weakref.ref(held(vocabulary, Made))
+    assert held(vocabulary, Made) is first()
+    assert held(model, lambda: "model") == "model" and first() is None
+    batches = [pa.record_batch({"x": list(range(n))}) for n in (2500, 0, 10)]
+    assert [p.num_rows for p in parts(iter(batches))] == [1000, 1000, 500, 10]
+    assert [x for p in parts(iter(batches)) for x in p.column(0).to_pylist()] == [*range(2500), *range(10)]
+
+
 def test_ids_and_text_equal_the_library(library, bpe):
     encoder = Encoder(bpe)
     for text in odd_texts():
