@@ -310,6 +310,23 @@ def test_a_pair_of_lines_is_encoded_once_each(spark):
     assert took[3] < 3 * took[2] + 1
 
 
+def test_long_lines_that_differ_make_no_pairs(spark):
+    """Maps of long lines are nearly full of bits; with the numbers of distinct shingles they still tell lines apart, and rule out no similar pair."""
+    rnd = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = ["".join(rnd.choices(letters, k=1500 + 40 * k)) for k in range(30)]
+    lines += ["".join(rnd.choice(letters) if rnd.random() < share else c for c in lines[k]) for k in range(8) for share in (0.002, 0.01, 0.02, 0.03)]
+    lines += ["abcdefgh" * 20]
+    known = spark.createDataFrame([(k, 1, line, [7]) for k, line in enumerate(lines)], "id long, n long, line string, buckets array<long>")
+    mapped = line_dedup.with_maps(known)
+    sets = [full_shingles(line) for line in lines]
+    assert {r["id"]: r["size"] for r in mapped.collect()} == {k: len(x) for k, x in enumerate(sets)}
+    got = {(r["a"], r["b"]) for r in line_dedup.remaining_pairs(mapped, spark.createDataFrame([], "node long, root long"), 0.8).collect()}
+    likeness = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in range(len(lines)) for a in range(b)}
+    similar = {pair for pair, x in likeness.items() if x >= 0.8}
+    assert similar and similar <= got and all(likeness[pair] > 0.4 for pair in got)
+
+
 def test_short_lines_go_only_if_they_repeat_exactly(spark):
     lines = ["Read more", "Read more!", "}", "}", "Read more", "---", "---", "a", "a "]
     assert lines_left(spark, lines) == {0, 1, 2, 3, 5, 6, 7}
