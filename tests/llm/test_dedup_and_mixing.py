@@ -327,6 +327,28 @@ def test_long_lines_that_differ_make_no_pairs(spark):
     assert similar and similar <= got and all(likeness[pair] > 0.4 for pair in got)
 
 
+def test_files_of_a_stored_step_go_when_it_ends(spark, monkeypatch):
+    """Shuffle files lie on the disk no longer than the step that made them, though its DataFrame is held and no garbage collected; the session's setting stays."""
+    import pathlib
+    import time
+
+    from mercato.llm import common
+
+    monkeypatch.setattr(common, "released", lambda *a: None, raising=False)
+    folders = [pathlib.Path(str(x)) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {x for d in folders for x in d.rglob("shuffle_*")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(key)
+    df = spark.range(1000).repartition(5, "id").groupBy("id").count()
+    held = common.stored(df)
+    for _ in range(40):
+        if not files() - before:
+            break
+        time.sleep(0.25)
+    assert not files() - before
+    assert held.count() == df.count() == 1000 and spark.conf.get(key) == setting
+
+
 def test_short_lines_go_only_if_they_repeat_exactly(spark):
     lines = ["Read more", "Read more!", "}", "}", "Read more", "---", "---", "a", "a "]
     assert lines_left(spark, lines) == {0, 1, 2, 3, 5, 6, 7}
