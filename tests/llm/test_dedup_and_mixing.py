@@ -349,6 +349,49 @@ def test_files_of_a_stored_step_go_when_it_ends(spark, monkeypatch):
     assert held.count() == df.count() == 1000 and spark.conf.get(key) == setting
 
 
+def exchanges(df):
+    """The exchanges of a plan that has run, each with whether it was made anew."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [(line, "ReusedExchange" not in line) for line in plan.split("\n") if re.search(r"Exchange (hash|single|range)|ReusedExchange", line)]
+
+
+def test_lines_go_to_their_buckets_once(spark):
+    """Hubs are met where the rows of a bucket lie; both sides of the pairs left are one shuffle, without the lists of buckets."""
+    lines = [prose(k, 30) for k in range(20)] + [prose(k, 30) + " edit" for k in range(6)]
+    known = spark.createDataFrame([(k, 1, line, [k % 3, 7]) for k, line in enumerate(lines)], "id long, n long, line string, buckets array<long>")
+    mapped = line_dedup.with_maps(known).checkpoint()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hubs = exchanges(line_dedup.hub_pairs(mapped, 0.8))
+        left = exchanges(line_dedup.remaining_pairs(mapped, spark.createDataFrame([], "node long, root long"), 0.8))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(hubs) == 2  # to the buckets, and the pairs by their ends
+    wide = re.compile(r"hashpartitioning\(bucket_a|hashpartitioning\(bucket_b")
+    assert sum(made for line, made in left if wide.search(line)) == 1
+
+
+def test_buckets_of_several_parts_lose_no_pair(spark, monkeypatch):
+    """With parts of 5 lines and 2 hubs the same lines stay as by comparing all pairs."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(5)
+    lines = [prose(500 + k, 40) for k in range(3)]
+
+    def varied(line):
+        words = line.split()
+        words[rnd.randrange(40)] = rnd.choice(["edit", "other", "alpha", "beta"])
+        return " ".join(words)
+
+    docs = documents(spark, [(k, "\n".join(varied(rnd.choice(lines)) for _ in range(3))) for k in range(30)])
+    monkeypatch.setattr(line_dedup, "TASK", 5)
+    monkeypatch.setattr(line_dedup, "HUBS", 2)
+    got = sorted(((r["doc_id"], r["text"]) for r in line_dedup.drop_repeated_lines(docs).collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1] or ""))
+    assert same(got, kept_lines(docs.withColumn("of", F.xxhash64("text")).collect()))
+
+
 def test_short_lines_go_only_if_they_repeat_exactly(spark):
     lines = ["Read more", "Read more!", "}", "}", "Read more", "---", "---", "a", "a "]
     assert lines_left(spark, lines) == {0, 1, 2, 3, 5, 6, 7}
