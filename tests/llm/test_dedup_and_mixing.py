@@ -327,6 +327,48 @@ def test_long_lines_that_differ_make_no_pairs(spark):
     assert similar and similar <= got and all(likeness[pair] > 0.4 for pair in got)
 
 
+def test_lines_that_share_a_bucket_by_chance_are_no_candidates(spark):
+    """Long lines of few words agree in some band; the rest of their signatures tells them from similar ones, of which none is lost."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdefgh", k=3)) for _ in range(30)]
+    lines = [" ".join(rnd.choices(words, k=150)) for _ in range(120)]
+    near = [" ".join(w if rnd.random() > 0.02 else "edit" for w in line.split()) for line in lines[:15]]
+    sets = [full_shingles(line) for line in lines + near]
+    similar = {k for b in range(len(sets)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for k in (a, b)}
+    judged = line_dedup.judged_lines(documents(spark, list(enumerate(lines + near))))
+    shared = line_dedup.signatures(judged).select("id", F.explode(F.array(*[line_dedup.band(b) for b in range(line_dedup.BANDS)])).alias("bucket"))
+    alone = {r["bucket"] for r in shared.groupBy("bucket").count().where("count = 1").collect()}
+    by_chance = {r["id"] for r in shared.collect() if r["bucket"] not in alone}
+    got = {r["id"] for r in line_dedup.shared_buckets(judged, 0.8).collect()}
+    assert {r["id"] for r in judged.collect() if r["doc_id"] in similar} <= got
+    assert len(got) < 0.6 * len(by_chance)
+
+
+def test_pairs_that_join_nothing_are_not_judged(spark, monkeypatch):
+    """Of the pairs of a group of near copies as many are judged as it takes to join it, and groups come out as by judging all."""
+    rnd = random.Random(9)
+    lines = [prose(700 + g, 40).split() for g in range(3)]
+    edits = [rnd.randrange(40) for _ in range(36)]
+    lines = [" ".join(w if k != edits[j] else "edit" for k, w in enumerate(lines[j % 3])) for j in range(36)]
+    known = spark.createDataFrame([(k, 1, line, [7]) for k, line in enumerate(lines)], "id long, n long, line string, buckets array<long>")
+    pairs = [(a, b) for b in range(len(lines)) for a in range(b) if a % 3 == b % 3 or a == 20]
+    judged, verified = [], line_dedup.verified
+
+    def watched(pairs, known, similarity):
+        judged.extend((r["a"], r["b"]) for r in pairs().collect())
+        return verified(pairs, known, similarity)
+
+    monkeypatch.setattr(line_dedup, "verified", watched)
+    made = spark.createDataFrame(pairs, "a long, b long")
+    got = [(r["a"], r["b"]) for r in line_dedup.linked(lambda: made, known, 0.8).collect()]
+    sets = [full_shingles(line) for line in lines]
+    links = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(links) > 150 and same(groups_of(len(lines), got), groups_of(len(lines), links)) and set(got) <= set(links)
+    assert len(judged) == len(set(judged)) and len(set(judged) & set(links)) < len(links) / 2
+
+
 def test_files_of_a_stored_step_go_when_it_ends(spark, monkeypatch):
     """Shuffle files lie on the disk no longer than the step that made them, though its DataFrame is held and no garbage collected; the session's setting stays."""
     import pathlib
